@@ -1,0 +1 @@
+"""No streaming operators: every metric of this library is a batch query."""
