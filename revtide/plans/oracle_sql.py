@@ -472,7 +472,7 @@ _HEADING = r"(?im)^\s*(" + "|".join(_SECTIONS) + r")\s*:\s*$"
 
 def _section_content(name: str) -> str:
     """Content after the last heading of that name; the whole text if there is none."""
-    hits = f"list_filter(parts, x -> lower(x.head) = '{name.lower()}')"
+    hits = f"list_filter(parts, lambda x: lower(x.head) = '{name.lower()}')"
     found = f"coalesce({hits}[len({hits})].body, '')"
     if name == "Executive Summary":
         return f"case when len(parts) = 0 then t else {found} end"
@@ -491,7 +491,7 @@ def _replies() -> str:
             line = trim.format("l")
             items = (
                 f"list_filter(list_transform(string_split({content}, chr(10)),"
-                f" l -> {trim.format(f'regexp_extract({line}, {numbered}, 1)')}), i -> i <> '')"
+                f" lambda l: {trim.format(f'regexp_extract({line}, {numbered}, 1)')}), lambda i: i <> '')"
             )
             rows.append(
                 f"select conv_id, turn, '{name}', cast(unnest(range(1, len(xs) + 1)) as int), unnest(xs)"
@@ -516,7 +516,7 @@ clean as (select conv_id, turn,
   from unquoted),
 cut as (select conv_id, turn, t, list_transform(
     string_split(regexp_replace(t, '{_HEADING}', {one} || '\\1' || {two}, 'g'), {one})[2:],
-    x -> {{'head': string_split(x, {two})[1],
+    lambda x: {{'head': string_split(x, {two})[1],
            'body': {trim.format(f"string_split(x, {two})[2]")}}}) as parts
   from clean)
 {chr(10).join(rows[:1])}
