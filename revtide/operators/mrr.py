@@ -89,25 +89,21 @@ def fct_mrr_complete(mrr: DataFrame, accounts: DataFrame, dim_date: DataFrame) -
     own_month = (F.col("at") > 0) & (F.col("k") == 0)
     month_after = (F.col("at") > 0) & (F.col("k") == 1)
     adjacent = F.col("before_at") == F.col("at") - 1
-    zero = F.col("total_mrr") * 0
+    zero = F.lit(0).cast(mrr.schema["total_mrr"].dataType)
     previous = (
         F.when(own_month & adjacent, F.col("before_mrr"))
         .when(month_after, F.col("total_mrr"))
-        .otherwise(0)
+        .otherwise(zero)
     )
     grid = unfolded.select(
         "account_id",
         "month",
-        F.when(own_month, F.col("total_mrr")).otherwise(zero).cast(_type_of(mrr)).alias("total_mrr"),
-        previous.cast(_type_of(mrr)).alias("before"),
+        F.when(own_month, F.col("total_mrr")).otherwise(zero).alias("total_mrr"),
+        previous.alias("before"),
     )
     return _with_movement(grid, F.col("before"))
 
 
-def _type_of(mrr: DataFrame):
-    return mrr.schema["total_mrr"].dataType
-
-
 def fct_arr(complete: DataFrame) -> DataFrame:
     """Annualised revenue by account and month."""
     return complete.select(

@@ -18,8 +18,10 @@ HEADINGS = ("Headline", "Executive Summary", "Key Risks", "Recommended Actions")
 LIST_HEADINGS = ("Key Risks", "Recommended Actions")
 DEFAULT_HEADING = "Executive Summary"
 
-# Unicode whitespace and digits; lines end at a line feed only.
+# Case-insensitive, Unicode classes, and lines that end at a line feed only.
 _FLAGS = "(?imdU)"
+# Every character that counts as whitespace at either end of a text.
+_SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 _NUMBERED = r"(?dU)^\d+\.\s*(.+)$"
 # Control characters around a found heading.
@@ -27,21 +29,27 @@ _BEFORE, _AFTER = "\x01\x02\x01", "\x02\x01\x02"
 
 
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(_SPACES))
 
 
-def normalised(text: Column) -> Column:
-    """Trimmed text without outer quotes and ``#``, with escaped breaks restored."""
-    trimmed = _strip(F.coalesce(text, F.lit("")))
+def _unquoted(trimmed: Column) -> Column:
     quoted = F.lit(False)
     for mark in ('"', "'"):
         quoted = quoted | (trimmed.startswith(mark) & trimmed.endswith(mark))
-    inner = F.when(
-        quoted, _strip(F.substring(trimmed, F.lit(2), F.greatest(F.length(trimmed) - 2, F.lit(0))))
-    ).otherwise(trimmed)
-    restored = F.replace(inner, F.lit("\\n"), F.lit("\n"))
-    restored = F.replace(restored, F.lit("\\t"), F.lit("\t"))
-    return _strip(F.replace(restored, F.lit("#"), F.lit("")))
+    inner = F.substring(trimmed, F.lit(2), F.greatest(F.length(trimmed) - 2, F.lit(0)))
+    return F.when(quoted, _strip(inner)).otherwise(trimmed)
+
+
+def _restored(text: Column) -> Column:
+    for written, meant in (("\\n", "\n"), ("\\t", "\t"), ("#", "")):
+        text = F.replace(text, F.lit(written), F.lit(meant))
+    return _strip(text)
+
+
+def normalised(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
+    """``whole``: trimmed text without outer quotes and ``#``, escaped breaks restored."""
+    trimmed = df.select(*keep, _strip(F.coalesce(text_col, F.lit(""))).alias("trimmed"))
+    return trimmed.select(*keep, _restored(_unquoted(F.col("trimmed"))).alias("whole"))
 
 
 def response_sections(
@@ -66,7 +74,7 @@ def response_sections(
     parts = F.split(marked, _BEFORE)
     entries = F.transform(F.slice(F.col("parts"), 2, F.size("parts")), _entry)
     split_up = (
-        df.select(*id_cols, normalised(F.col(text_col)).alias("whole"))
+        normalised(df, text_col, id_cols)
         .select(*id_cols, "whole", parts.alias("parts"))
         .select(*id_cols, "whole", entries.alias("entries"))
         .select(*id_cols, *(_section(h, default_heading).alias(h) for h in headings))
@@ -85,7 +93,7 @@ def _entry(part: Column) -> Column:
 def _section(heading: str, default_heading: str) -> Column:
     entries = F.col("entries")
     matches = F.filter(entries, lambda e: e["heading"] == heading.lower())
-    found = F.coalesce(F.get(matches, F.size(matches) - 1)["content"], F.lit(""))
+    found = F.coalesce(F.try_element_at(matches, F.lit(-1))["content"], F.lit(""))
     if heading != default_heading:
         return found
     return F.when(F.size(entries) == 0, F.col("whole")).otherwise(found)

@@ -217,17 +217,23 @@ def subscriptions(read: Reader) -> DataFrame:
 
 
 def subscription_monthly_mrr(read: Reader) -> DataFrame:
+    """Twelve months per order, as far as orders go.
+
+    Keys and money are converted before a row is multiplied by its months.
+    """
     orders = read("orders")
     last_day = orders.agg(F.max(_order_day())).scalar()
+    months = F.sequence(F.lit(0), F.lit(SUBSCRIPTION_MONTHS - 1))
     return (
-        orders.select(
+        _spread(orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+        .select(
             _key("o_orderkey").alias("subscription_id"),
             _key("o_custkey").alias("account_id"),
             _bucket("o_orderkey", 200).alias("product_id"),
             F.trunc(_order_day(), "MM").alias("first_month"),
             _money("o_totalprice").alias("mrr"),
-            F.explode(F.sequence(F.lit(0), F.lit(SUBSCRIPTION_MONTHS - 1))).alias("n"),
         )
+        .select("*", F.explode(months).alias("n"))
         .select(
             "subscription_id",
             "account_id",
@@ -240,6 +246,15 @@ def subscription_monthly_mrr(read: Reader) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Use all cores where a scan has fewer tasks than that, as for one small file.
+
+    A large table has more scan tasks than the cluster has cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def invoices(read: Reader) -> DataFrame:
     return read("orders").select(
         _key("o_orderkey").alias("invoice_id"),

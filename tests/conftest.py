@@ -1,0 +1,35 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path[:0] = [str(Path(__file__).parents[1]), str(Path(__file__).parent)]
+
+from revtide.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    home = tmp_path_factory.mktemp("spark")
+    session = local_session(
+        4,
+        shuffle_partitions=4,
+        **{
+            "spark.sql.warehouse.dir": str(home / "warehouse"),
+            "spark.checkpoint.dir": str(home / "checkpoints"),
+            "spark.driver.memory": "4g",
+        },
+    )
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def frame(spark):
+    """Build a small frame: frame("a string, b date", [(...), ...])."""
+    return lambda schema, rows: spark.createDataFrame(rows, schema)
+
+
+@pytest.fixture(scope="session")
+def small():
+    return "/root/testdata/sf0.001"

@@ -1,0 +1,32 @@
+import pytest
+
+from revtide.sources import catalog
+
+
+def test_layers_tables_and_resolution(spark, frame):
+    catalog.ensure_layers(spark)
+    df = frame("account_id string, n int", [("a", 1), ("b", 2)])
+    with pytest.raises(catalog.MissingTables, match="accounts, fct_mrr, fct_pipeline"):
+        catalog.resolve_tables(spark)
+    for table in ("raw.accounts", "marts.fct_mrr", "marts.fct_pipeline"):
+        catalog.write_mart(df, table)
+    resolved = catalog.resolve_tables(spark)
+    assert resolved["fct_mrr"] == "marts.fct_mrr"
+    assert resolved["support_tickets"] is None
+    catalog.write_mart(df, "marts.fct_mrr_complete")
+    assert catalog.resolve_tables(spark)["fct_mrr"] == "marts.fct_mrr_complete"
+    report = {tuple(r) for r in catalog.resolution_report(spark, resolved).collect()}
+    assert ("support_tickets", "NOT FOUND") in report and len(report) == 7
+
+
+def test_write_mart_replaces(frame, tmp_path):
+    path = str(tmp_path / "mart")
+    catalog.write_mart(frame("a int, b string", [(1, "x"), (2, "y")]), path)
+    stored = catalog.write_mart(frame("a int, b string", [(3, "z")]), path, ["a"])
+    assert [tuple(r) for r in stored.collect()] == [(3, "z")]
+    assert stored.columns == ["a", "b"]
+
+
+def test_register_view(spark, frame):
+    catalog.register_view(frame("a int", [(1,)]), "v_one")
+    assert spark.sql("select a from v_one").first().a == 1
