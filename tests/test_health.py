@@ -1,0 +1,123 @@
+from datetime import date, timedelta
+from decimal import Decimal
+
+import pytest
+
+from revtide.operators import health as h
+from revtide.operators.filters import Context
+
+ACCOUNTS = (
+    "account_id string, account_name string, segment string, region string, industry string,"
+    " owner_rep_id string"
+)
+MRR = "account_id string, month date, total_mrr decimal(28,2)"
+
+
+def money(x):
+    return Decimal(x).quantize(Decimal("0.01"))
+
+
+@pytest.fixture
+def accounts(frame):
+    return lambda ids: frame(ACCOUNTS, [(i, i.upper(), "s", "r", "i", None) for i in ids])
+
+
+@pytest.fixture
+def dense(frame):
+    """Values per account for months 1.. of 2024, then one empty month."""
+    def build(values):
+        rows = [(a, date(2024, k + 1, 1), money(v))
+                for a, vs in values.items() for k, v in enumerate([*vs, 0])]
+        return frame(MRR, rows)
+    return build
+
+
+def test_stored_model(frame, accounts, dense):
+    values = {
+        "grow": [1, 2, 3], "decl": [3, 2, 1], "risk": [1, 5, 4], "lost": [5, 5, 0],
+        "flat": [2, 2, 2], "bump": [5, 1, 2], "rich": [100000, 100000, "100000.01"],
+        "edge": [100000, 100000, 100000],
+    }
+    pipe = frame("account_id string, is_closed boolean, amount decimal(18,2)",
+                 [("decl", False, money(9)), ("flat", True, money(9)), ("lost", False, money(1)),
+                  ("risk", False, money(0))])
+    got = h.account_health(accounts([*values, "none"]), dense(values), pipe)
+    rows = {r.account_id: r for r in got.collect()}
+
+    def of(name):
+        r = rows[name]
+        return r.mrr_trend_3m, r.high_value_flag, r.health_score, r.health_status
+
+    assert of("grow") == ("Growing", 0, 1, "Growing")
+    assert of("decl") == ("Declining", 0, 0, "At Risk")
+    assert of("risk") == ("Stable", 0, -1, "High Risk")
+    assert of("lost") == ("Stable", 0, -2, "Lost")
+    assert of("flat") == ("Stable", 0, 0, "Stable")
+    assert of("bump") == ("Stable", 0, 1, "Growing")
+    assert of("rich") == ("Stable", 1, 1, "Growing")
+    assert of("edge") == ("Stable", 0, 0, "Stable")
+    assert of("none") == ("Stable", 0, 0, "Stable")
+    assert (rows["decl"].latest_mrr, rows["decl"].mrr_1m_ago, rows["decl"].mrr_2m_ago) == (1, 2, 3)
+    assert rows["decl"].open_pipeline_value == 9 and rows["none"].latest_mrr == 0
+
+
+def test_stored_model_in_the_first_month_has_no_earlier_values(frame, accounts, dense):
+    pipe = frame("account_id string, is_closed boolean, amount decimal(18,2)", [])
+    row = h.account_health(accounts(["a"]), dense({"a": [5]}), pipe).first()
+    assert (row.mrr_1m_ago, row.health_score, row.health_status) == (0, 0, "Stable")
+
+
+def test_stored_model_without_revenue(frame, accounts, dense):
+    pipe = frame("account_id string, is_closed boolean, amount decimal(18,2)", [])
+    row = h.account_health(accounts(["a"]), dense({"a": [0, 0]}), pipe).first()
+    assert (row.latest_mrr, row.health_score, row.health_status) == (0, 0, "Stable")
+
+
+def test_computed_model(frame, accounts):
+    last = date(2024, 3, 1)
+    values = {
+        "up": [1, 2, 4], "down": [4, 4, 2], "gone": [3, 3, 0], "zero": [0, 0, 0], "same": [2, 2, 2],
+        "t3": [2, 2, 2], "t4": [2, 2, 2], "t7": [1, 1, 2], "t8": [1, 1, 2], "gone8": [3, 3, 0],
+        "late": [2, 2, 2],
+    }
+    mrr = frame(MRR, [(a, date(2024, k + 1, 1), money(v))
+                      for a, vs in values.items() for k, v in enumerate(vs)]
+                + [("old", date(2024, 2, 1), money(9)), ("new", last, money(9))])
+    counts = {"t3": 3, "t4": 4, "t7": 7, "t8": 8, "gone8": 8}
+    edge = last - timedelta(days=90)
+    tickets = frame("ticket_id string, account_id string, created_date date",
+                    [(f"{a}{i}", a, edge) for a, n in counts.items() for i in range(n)]
+                    + [(f"l{i}", "late", edge - timedelta(days=1)) for i in range(9)]
+                    + [("f", "late", date(2030, 1, 1))])
+    ids = [*values, "old", "new"]
+    ctx = Context(mrr, mrr, accounts(ids), tickets=tickets)
+    got = h.computed_health(ctx, date(2024, 1, 1), last)
+    rows = {r.account_id: r for r in got.collect()}
+    assert "old" not in rows
+    scored = {a: (r.ticket_cnt_90d, r.health_score, r.health_status) for a, r in rows.items()}
+    assert scored == {
+        "up": (0, 85, "Growing"), "down": (0, 55, "At Risk"), "gone": (0, 5, "Lost"),
+        "zero": (0, 70, "Stable"), "same": (0, 70, "Stable"), "t3": (3, 70, "Stable"),
+        "t4": (4, 60, "Stable"), "t7": (7, 75, "Growing"), "t8": (8, 65, "High Risk"),
+        "gone8": (8, 0, "Lost"), "late": (1, 70, "Stable"), "new": (0, 85, "Growing"),
+    }
+    assert (rows["up"].mom_mrr_pct, rows["up"].mrr_avg_3m) == (1.0, 2.33)
+    assert rows["gone"].mom_mrr_pct == -1.0 and rows["zero"].mom_mrr_pct is None
+    assert rows["new"].mrr_avg_3m == 9.0 and rows["new"].prev_mrr == 0
+
+    bare = Context(mrr, mrr, accounts(ids))
+    assert {r.health_score for r in h.computed_health(bare, date(2024, 1, 1), last)
+            .where("account_id = 't8'").collect()} == {85}
+
+    distribution = {r.health_status: r["count"] for r in h.health_distribution(got).collect()}
+    assert distribution == {"Growing": 3, "At Risk": 1, "Lost": 2, "Stable": 5, "High Risk": 1}
+    assert [r.account_id for r in h.at_risk(got, 3).collect()] == ["gone8", "gone", "down"]
+    by_status = h.at_risk(got.drop("health_score"), 2).collect()
+    assert [r.account_id for r in by_status] == ["down", "new"]
+
+
+def test_latest_snapshot(frame):
+    mrr = frame(MRR, [("a", date(2024, 1, 1), money(1)), ("a", date(2024, 2, 1), money(2)),
+                      ("b", date(2024, 5, 1), money(3))])
+    got = h.latest_snapshot(mrr, date(2024, 1, 1), date(2024, 3, 1)).collect()
+    assert [tuple(r) for r in got] == [("a", date(2024, 2, 1), money(2))]
