@@ -18,6 +18,8 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(home / "warehouse"),
             "spark.checkpoint.dir": str(home / "checkpoints"),
             "spark.driver.memory": "4g",
+            # Plan texts are read by tests.
+            "spark.sql.maxMetadataStringLength": "2000",
         },
     )
     yield session
