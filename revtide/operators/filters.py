@@ -64,8 +64,9 @@ class DimFilter:
 
         ``rep_key`` names the role of the rep: ``owner_rep_id`` for the account's
         owner, ``rep_id`` for the fact's own rep. The dimensions are filtered and cut
-        to their keys before the join; whether they are broadcast is left to the
-        planner, which knows their size.
+        to their keys first. Whether they are broadcast is left to the planner, which
+        knows their size; if they are, it moves the semi-join below the fact's own
+        shuffles, down to its scan.
         """
         if rep_key not in ("owner_rep_id", "rep_id"):
             raise ValueError(f"unknown rep key: {rep_key!r}")
@@ -73,20 +74,23 @@ class DimFilter:
             accounts,
             {"segment": self.segments, "region": self.regions, "industry": self.industries},
         )
-        if not self.by_rep(reps):
-            return df.join(selected.select("account_id"), "account_id").select(df.columns)
-        team = _selection(reps, {"team": self.rep_teams, "region": self.rep_regions})
-        if rep_key == "rep_id":
-            scoped = df.join(team.select("rep_id"), "rep_id")
-            return scoped.join(selected.select("account_id"), "account_id").select(df.columns)
-        owners = team.select(F.col("rep_id").alias("owner_rep_id"))
-        owned = selected.select("account_id", "owner_rep_id").join(owners, "owner_rep_id")
-        return df.join(owned.select("account_id"), "account_id").select(df.columns)
+        if self.by_rep(reps):
+            team = _selection(reps, {"team": self.rep_teams, "region": self.rep_regions})
+            if rep_key == "rep_id":
+                df = _having(df, team, "rep_id")
+            else:
+                owners = team.select(F.col("rep_id").alias("owner_rep_id"))
+                selected = _having(selected, owners, "owner_rep_id")
+        return _having(df, selected, "account_id")
 
 
 EVERYTHING = DimFilter()
 
 
+def _having(df: DataFrame, selected: DataFrame, key: str) -> DataFrame:
+    return df.join(selected.select(key), key, "left_semi").select(df.columns)
+
+
 def _selection(df: DataFrame, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
     for column, values in wanted.items():
         if values:
@@ -102,6 +106,15 @@ def scoped_mrr(ctx: Context, start: date, end: date, filt: DimFilter = EVERYTHIN
     return filt.apply(months, ctx.accounts, ctx.reps, "owner_rep_id")
 
 
+def newest_month(rows: DataFrame) -> Column:
+    """Scalar: the last month among ``rows`` of (account_id, month, total_mrr).
+
+    It reads the same columns as the query around it. When the fact is still a plan,
+    both then share one shuffle, instead of computing the fact twice.
+    """
+    return rows.agg(F.max(F.struct("month", "total_mrr"))["month"]).scalar()
+
+
 def scoped_sums(
     facts: DataFrame,
     ctx: Context,

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from revtide.functions.numbers import ratio, zero_if_null
 from revtide.functions.periods import in_months
-from revtide.operators.filters import EVERYTHING, Context, DimFilter, scoped_mrr
+from revtide.operators.filters import (
+    EVERYTHING,
+    Context,
+    DimFilter,
+    newest_month,
+    scoped_mrr,
+)
 
 # Fixed values of the stored health model.
 HIGH_VALUE_ABOVE = 100000
@@ -25,9 +31,11 @@ AT_RISK_ROWS = 50
 def _recent_months(complete: DataFrame) -> Column:
     """Scalar struct of the last month with revenue and the two calendar months before.
 
-    The calendar is read off the fact itself; it has one entry per month.
+    The calendar is read off the fact itself; it has one entry per month. Accounts
+    without an id have no revenue and are skipped, as the join with accounts does, so
+    that both readers of a fact that is still a plan share its shuffle.
     """
-    seen = complete.agg(
+    seen = complete.where(F.col("account_id").isNotNull()).agg(
         F.max(F.when(F.col("total_mrr") > 0, F.col("month"))).alias("latest"),
         F.array_sort(F.collect_set("month")).alias("calendar"),
     )
@@ -112,7 +120,7 @@ def computed_health(
     """
     tickets = ctx.tickets if tickets is None else tickets
     rows = scoped_mrr(ctx, start, end, filt)
-    newest = rows.agg(F.max("month")).scalar()
+    newest = newest_month(rows)
     timeline = Window.partitionBy("account_id").orderBy("month")
     last_three = timeline.rowsBetween(-2, 0)
     snapshot = rows.select(

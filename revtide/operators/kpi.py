@@ -94,23 +94,25 @@ def alerts(
     Nulls never fire. Annualised revenue is falling when the newest of its last rows is
     below the oldest of them; zero months count and fewer rows do not fire.
     """
-    nrr, grr, cover = (
-        F.col(c) for c in ("nrr_latest", "grr_latest", "pipeline_coverage_ratio")
-    )
     # Message texts.
-    fired = [
-        _below(
-            retention_kpis, "nrr", nrr, thresholds.nrr_below,
+    retention = [
+        _candidate(
+            "nrr", F.col("nrr_latest"), thresholds.nrr_below,
             f"Net Revenue Retention below {thresholds.nrr_below:.0f}% (NRR=", "%).",
         ),
-        _below(
-            retention_kpis, "grr", grr, thresholds.grr_below,
+        _candidate(
+            "grr", F.col("grr_latest"), thresholds.grr_below,
             f"Gross Revenue Retention below {thresholds.grr_below:.0f}% (GRR=", "%).",
         ),
-        _below(
-            coverage, "coverage", cover, thresholds.coverage_below,
-            f"Pipeline coverage below {thresholds.coverage_below:.1f}x (Coverage=", "x).",
-        ),
+    ]
+    cover = _candidate(
+        "coverage", F.col("pipeline_coverage_ratio"), thresholds.coverage_below,
+        f"Pipeline coverage below {thresholds.coverage_below:.1f}x (Coverage=", "x).",
+    )
+    # The candidates of one row are unfolded together, so each input is computed once.
+    fired = [
+        row.select(F.inline(F.array(*rules))).where(F.col("value") < F.col("threshold"))
+        for row, rules in ((retention_kpis, retention), (coverage, [cover]))
     ]
     newest = arr_series.orderBy(F.col("month").desc()).limit(thresholds.arr_months)
     ends = newest.agg(
@@ -129,11 +131,9 @@ def alerts(
     return reduce(DataFrame.unionAll, fired)
 
 
-def _below(
-    row: DataFrame, rule: str, value: Column, limit: float, before: str, after: str
-) -> DataFrame:
+def _candidate(rule: str, value: Column, limit: float, before: str, after: str) -> Column:
     number = value.cast("double")
-    return row.where(number < limit).select(
+    return F.struct(
         F.lit(rule).alias("rule"),
         number.alias("value"),
         F.lit(limit).alias("threshold"),

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from revtide.functions.movement import movement_class
 from revtide.functions.numbers import zero_if_null
-from revtide.operators.filters import EVERYTHING, Context, DimFilter, scoped_mrr
+from revtide.operators.filters import (
+    EVERYTHING,
+    Context,
+    DimFilter,
+    newest_month,
+    scoped_mrr,
+)
 
 MONTHS_PER_YEAR = 12
 
@@ -144,7 +150,7 @@ def top_movers(
     account_id. Account attributes are looked up for the ``n`` winners only.
     """
     rows = scoped_mrr(ctx, start, end, filt)
-    newest = rows.agg(F.max("month")).scalar()
+    newest = newest_month(rows)
     month, mrr = F.col("month"), F.col("total_mrr")
     pair = (
         rows.where((month <= newest) & (month >= F.add_months(newest, -1)))

@@ -79,3 +79,41 @@ def test_a_hot_account_is_summed_exactly(spark, frame):
     got = fct_mrr(rows)
     assert got.count() == n - n // 3 + 1
     assert float(got.where("account_id = 'hot'").first().total_mrr) == 100.0
+
+
+def test_a_hot_account_is_split_when_rows_meet_their_account(spark, frame):
+    """Stage rows are joined row by row; the adaptive planner cuts the hot account up."""
+    from pyspark.sql import functions as F
+
+    from revtide.operators.filters import Context
+    from revtide.operators.stages import stage_duration
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    n = 60000
+    day = F.lit("2024-01-01").cast("date")
+    hist = spark.range(0, n, 1, 8).select(
+        F.col("id").cast("string").alias("opp_id"),
+        F.when(F.col("id") % 3 == 0, "0").otherwise((F.col("id") % 997).cast("string")).alias("account_id"),
+        F.lit("P").alias("stage"),
+        day.alias("stage_start_date"),
+        F.date_add(day, (F.col("id") % 5).cast("int")).alias("stage_end_date"),
+    )
+    accounts = spark.range(0, 1000).select(F.col("id").cast("string").alias("account_id"))
+    for name in ("segment", "region", "industry", "owner_rep_id"):
+        accounts = accounts.withColumn(name, F.lit("x"))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = stage_duration(Context(hist, hist, accounts, history=hist))
+        assert [tuple(r) for r in df.collect()] == [("P", n, 2.0)]
+        assert "SortMergeJoin(skew=true)" in plan(df)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
