@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from revtide.operators import deals, health, mrr, retention, semantic, stages
+from revtide.operators.filters import Context
 from revtide.sources.catalog import write_mart
 
 
@@ -50,7 +51,8 @@ class Marts:
 
     @cached_property
     def monthly_revenue(self) -> DataFrame:
-        return retention.monthly_revenue(self.fct_mrr_complete)
+        """Shared by three marts; one row per month."""
+        return self.keep("monthly_revenue", retention.monthly_revenue(self.fct_mrr_complete))
 
     @property
     def fct_mrr_enriched(self) -> DataFrame:
@@ -161,21 +163,45 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """Write every mart to ``target(name)``, a folder or table name, facts first.
 
-    Marts built on a fact read the stored fact, so each fact is computed once.
+    Marts built on a fact read the stored fact, so each fact is computed once. The
+    monthly sums behind three of the marts are stored as ``monthly_revenue``.
     """
 
     def write(name: str, df: DataFrame) -> DataFrame:
         return write_mart(df, target(name), ["month"] if name in BY_MONTH else [])
 
-    stored: dict[str, DataFrame] = {}
+    built: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        stored[name] = write(name, df)
-        return stored[name]
+        built[name] = write(name, df)
+        return built[name]
 
     marts = Marts(raw, as_of, keep)
     for name in MART_NAMES:
         df = getattr(marts, name)
-        if name not in stored:
-            stored[name] = write(name, df)
-    return stored
+        if name not in built:
+            built[name] = write(name, df)
+    return built
+
+
+def governed_view(marts: Mapping[str, DataFrame]) -> DataFrame:
+    """The monthly view over stored marts."""
+    return semantic.gtm_metrics(
+        marts["metrics_arr_monthly"],
+        marts["metrics_nrr_monthly"],
+        marts["metrics_grr_monthly"],
+        marts["metrics_pipeline_monthly"],
+        marts["metrics_pipeline_coverage"],
+    )
+
+
+def context_of(tables: Mapping[str, DataFrame | None]) -> Context:
+    """A context over tables named as ``resolve_tables`` names them."""
+    return Context(
+        mrr=tables["fct_mrr"],
+        pipeline=tables["fct_pipeline"],
+        accounts=tables["accounts"],
+        reps=tables.get("sales_reps"),
+        history=tables.get("stage_history"),
+        tickets=tables.get("support_tickets"),
+    )

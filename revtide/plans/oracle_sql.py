@@ -11,6 +11,7 @@ import re
 from datetime import date
 
 from revtide.plans import queries as q
+from revtide.schemas import LOADED_TABLES
 
 # The raw tables, derived from the star schema.
 RAW_TABLES: dict[str, str] = {
@@ -529,7 +530,7 @@ _VALUE = f"(cast(cast(a as double) / 100 as double) * cast({_AMOUNT_SCALES}[cast
 
 BODIES: dict[str, str] = {
     "load_row_counts": "\nunion all ".join(
-        f"select '{t}' as table_name, count(*) as row_count from {t}" for t in q.LOADED_TABLES
+        f"select '{t}' as table_name, count(*) as row_count from {t}" for t in LOADED_TABLES
     ),
     "filtered_arr_trend": _arr(q.START, q.END, q.OWNER_FILTER),
     "filtered_open_pipeline": f"""

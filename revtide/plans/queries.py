@@ -23,6 +23,7 @@ from revtide.operators import (
 )
 from revtide.operators.filters import Context, DimFilter
 from revtide.plans.marts import Marts
+from revtide.schemas import LOADED_TABLES
 from revtide.session import stored
 from revtide.sources.csv_files import row_counts
 from revtide.sources.star_schema import RawTables
@@ -36,19 +37,6 @@ AS_OF = date(2001, 9, 1)
 COHORT = date(2001, 7, 1)
 ACCOUNT_ID = "7"
 TARGET_X = 3.0
-LOADED_TABLES = (
-    "accounts",
-    "sales_reps",
-    "products",
-    "contacts",
-    "dim_date",
-    "opportunities",
-    "opportunity_stage_history",
-    "activities",
-    "subscriptions",
-    "subscription_monthly_mrr",
-    "invoices",
-)
 OWNER_FILTER = DimFilter(
     segments=("BUILDING", "MACHINERY", "AUTOMOBILE"),
     regions=("ASIA", "EUROPE", "AMERICA"),

@@ -129,6 +129,9 @@ COLUMNS: dict[str, list[tuple[str, str]]] = {
     ],
 }
 
+# Every table above is loaded from a file except the tickets, which may be absent.
+LOADED_TABLES = tuple(table for table in COLUMNS if table != "support_tickets")
+
 # Texts read as null. The date marker applies to the tables loaded
 # after the first six.
 NULL_TOKENS = ("NULL", "null", "")

@@ -73,6 +73,13 @@ def load_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return load_table(read_raw_csv(spark, path, table), table)
 
 
+def load_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The loaded tables by name, each from ``<folder>/<table>.csv``."""
+    return {
+        table: load_csv(spark, f"{folder}/{table}.csv", table) for table in schemas.LOADED_TABLES
+    }
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, row_count), one row per table."""
     counts = [

@@ -4,21 +4,30 @@ from revtide.sources import catalog
 
 
 def test_layers_tables_and_resolution(spark, frame):
-    catalog.ensure_layers(spark)
+    candidates = {
+        dataset: [name.replace(".", "_x.") for name in names]
+        for dataset, names in catalog.CANDIDATES.items()
+    }
+    catalog.ensure_layers(spark, [f"{layer}_x" for layer in catalog.LAYERS])
     df = frame("account_id string, n int", [("a", 1), ("b", 2)])
     with pytest.raises(catalog.MissingTables, match="accounts, fct_mrr, fct_pipeline"):
-        catalog.resolve_tables(spark)
-    for table in ("raw.accounts", "marts.fct_mrr", "marts.fct_pipeline"):
+        catalog.resolve_tables(spark, candidates)
+    for table in ("raw_x.accounts", "marts_x.fct_mrr", "marts_x.fct_pipeline"):
         catalog.write_mart(df, table)
-    resolved = catalog.resolve_tables(spark)
-    assert resolved["fct_mrr"] == "marts.fct_mrr"
+    resolved = catalog.resolve_tables(spark, candidates)
+    assert resolved["fct_mrr"] == "marts_x.fct_mrr"
     assert resolved["support_tickets"] is None
-    catalog.write_mart(df, "marts.fct_mrr_complete")
-    assert catalog.resolve_tables(spark)["fct_mrr"] == "marts.fct_mrr_complete"
+    catalog.write_mart(df, "marts_x.fct_mrr_complete")
+    assert catalog.resolve_tables(spark, candidates)["fct_mrr"] == "marts_x.fct_mrr_complete"
     report = {tuple(r) for r in catalog.resolution_report(spark, resolved).collect()}
     assert ("support_tickets", "NOT FOUND") in report and len(report) == 7
 
 
+def test_only_tables_can_be_bucketed(frame, tmp_path):
+    with pytest.raises(ValueError):
+        catalog.write_mart(frame("account_id string", []), str(tmp_path / "x"), buckets=2)
+
+
 def test_write_mart_replaces(frame, tmp_path):
     path = str(tmp_path / "mart")
     catalog.write_mart(frame("a int, b string", [(1, "x"), (2, "y")]), path)
