@@ -117,3 +117,38 @@ def test_a_hot_account_is_split_when_rows_meet_their_account(spark, frame):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def months_read(df, folder):
+    """Month folders that each scan of the stored fact read, after running ``df``."""
+    df.collect()
+    read = []
+
+    def walk(node):
+        if node.nodeName().startswith("Scan parquet") and f"{folder}]" in node.toString():
+            read.append(node.metrics().apply("numPartitions").value())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            walk(node.plan())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return read
+
+
+def test_month_bounds_prune_the_stored_fact(spark, small, tmp_path):
+    from revtide.operators import health, mrr
+    from revtide.operators.filters import Context
+    from revtide.sources.catalog import write_mart
+
+    marts = q._marts(spark, small)
+    folder = str(tmp_path / "dense")
+    fact = write_mart(marts.fct_mrr_complete, folder, ["month"])
+    ctx = Context(fact, marts.fct_pipeline, marts.raw["accounts"])
+    assert months_read(health.latest_snapshot(fact, q.START, q.END), folder) == [1]
+    assert months_read(mrr.top_movers(ctx, q.START, q.END)[0], folder) == [2]
+    assert months_read(mrr.arr_trend(ctx, q.COHORT, q.END), folder) == [2]
+    scored = health.account_health(ctx.accounts, fact, ctx.pipeline)
+    assert months_read(scored, folder) == [3]
