@@ -429,6 +429,42 @@ from arr x join arr y on x.pos = 1 and y.pos = 3 where x.total_arr < y.total_arr
 """
 
 
+def _evidence() -> str:
+    arr, ret = _arr(q.START, q.END), _retention(q.START, q.END)
+    closed = _closed_series(q.START, q.END)
+    steps = {
+        "a": _newest(arr, "month", "total_arr", {"total_arr": "v"}),
+        "r": _newest(ret, "month", "start_mrr", {"nrr_pct": "n", "grr_pct": "g"}),
+        "w": _newest(closed, "close_month", "total_closed_revenue", {"win_rate_pct": "v"}),
+        "c": _coverage(q.START, q.END),
+        "d": _quality(False, q.COHORT, q.END),
+        "arr": f"select total_arr as v, row_number() over (order by month desc) as pos from ({arr})",
+        "ret": f"select end_mrr as v, row_number() over (order by month desc) as pos from ({ret})",
+        "clo": "select total_closed_revenue as v, row_number() over (order by close_month desc) as pos"
+        f" from ({closed})",
+        "st": f"select max(open_pipeline) as v from ({_by_stage()})",
+        "up": "select mrr_delta as v, row_number() over (order by mrr_delta desc) as pos"
+        f" from ({_movers(q.START, q.END, 'desc')})",
+        "dn": "select mrr_delta as v, row_number() over (order by mrr_delta) as pos"
+        f" from ({_movers(q.START, q.END, 'asc')})",
+    }
+    sources = (
+        ("v_latest", "a"), ("v_delta", "a"), ("n_latest", "r"), ("g_latest", "r"),
+        ("v_latest", "w"), ("v_delta", "w"), ("pipeline_coverage_ratio", "c"),
+        ("total_open_pipeline", "c"), ("avg_3m_closed_revenue", "c"), ("cohort_accounts", "d"),
+        ("next_month_accounts", "d"), ("next_month_coverage_pct", "d"),
+        ("v", "arr where pos = 12"), ("v", "arr where pos = 1"), ("v", "ret where pos = 12"),
+        ("v", "clo where pos = 1"), ("v", "st"), ("v", "up where pos = 1"), ("v", "up where pos = 5"),
+        ("v", "dn where pos = 1"), ("v", "dn where pos = 5"),
+    )
+    rows = "\nunion all ".join(
+        f"select '{field}' as field, cast({column} as double) as value from {source}"
+        for field, (column, source) in zip(q.EVIDENCE_FIELDS, sources, strict=True)
+    )
+    ctes = ",\n".join(f"{name} as ({_with(body)})" for name, body in steps.items())
+    return f"with {ctes}\n{rows}"
+
+
 def _quality(strict: bool, cohort: date, end: date) -> str:
     scope = _scope(q.START, end)
     following = f"(date '{cohort}' + interval 1 month)"
@@ -764,5 +800,6 @@ union all select month, 'grr_pct', grr_pct from ({_retention(q.START, q.END)})
 ORACLE_SQL: dict[str, str] = {
     **{name: _with(body) for name, body in BODIES.items()},
     "kpi_alerts": _alerts().strip(),
+    "evidence_pack_fields": _evidence(),
     "response_sections": _replies().strip(),
 }

@@ -167,6 +167,43 @@ def _evidence_pack(spark: SparkSession, folder: str) -> DataFrame:
     return evidence.evidence_pack(kept, START, END, target_x=TARGET_X)
 
 
+EVIDENCE_FIELDS = (
+    "metrics.arr_latest",
+    "metrics.arr_delta_mom",
+    "metrics.nrr_pct",
+    "metrics.grr_pct",
+    "metrics.win_rate_pct",
+    "metrics.win_rate_delta_mom",
+    "metrics.pipeline_coverage_ratio_x",
+    "metrics.total_open_pipeline",
+    "metrics.avg_3m_closed_revenue",
+    "data_quality.cohort_accounts",
+    "data_quality.next_month_accounts",
+    "data_quality.next_month_coverage_pct",
+    "series.arr_trend_last_12[0].TOTAL_ARR",
+    "series.arr_trend_last_12[11].TOTAL_ARR",
+    "series.retention_last_12[0].END_MRR",
+    "series.closed_rev_last_12[11].TOTAL_CLOSED_REVENUE",
+    "pipeline.open_by_stage_top_8[0].OPEN_PIPELINE",
+    "mrr_movement.top_expansions[0].MRR_DELTA",
+    "mrr_movement.top_expansions[4].MRR_DELTA",
+    "mrr_movement.top_contractions[0].MRR_DELTA",
+    "mrr_movement.top_contractions[4].MRR_DELTA",
+)
+
+
+def _evidence_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """(field, value): figures read back from the evidence document."""
+    fields = [
+        F.struct(
+            F.lit(path).alias("field"),
+            F.get_json_object("pack_json", f"$.{path}").cast("double").alias("value"),
+        )
+        for path in EVIDENCE_FIELDS
+    ]
+    return _evidence_pack(spark, folder).select(F.inline(F.array(*fields)))
+
+
 QUERIES: dict[str, Query] = {
     # Sources.
     "load_row_counts": _load_row_counts,
@@ -271,6 +308,7 @@ QUERIES: dict[str, Query] = {
     "quality_checks": _on_context(quality.quality_checks),
     "display_formats": _on_marts(_formats),
     "evidence_pack": _evidence_pack,
+    "evidence_pack_fields": _evidence_fields,
     "retention_series_long": _on_context(
         lambda c: kpi.melt_series(
             retention.retention_trend(c, START, END), "month", ["nrr_pct", "grr_pct"]
