@@ -69,12 +69,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _random(seed: int, n: int) -> np.ndarray:
+def random_odd(seed: int, n: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 2**63, n, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_BYTE = _random(1, 256)
-_FACTOR = int(_random(2, 1)[0])
+_BYTE = random_odd(1, 256)
+_FACTOR = int(random_odd(2, 1)[0])
 _INVERSE = pow(_FACTOR, -1, 2**64)
 _powers: dict[int, np.ndarray] = {}
 
@@ -142,7 +142,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mixed(own + (ends - starts).astype(np.uint64))
 
 
-_PLACE = _random(3, 64)
+_PLACE = random_odd(3, 64)
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import chat, mixing
+from revtide.llm import chat, mixing, near_duplicates, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of each document at a similarity of 0.85."""
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 1024 tokens."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that attacks the marks, formatted and read back."""
     attack = spark.sql(
@@ -43,6 +55,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_minhash_near_duplicates": op6_minhash_near_duplicates,
+    "op7_packing": op7_packing,
     "op8_chat_formatting": op8_chat_formatting,
     "op10_mixing": op10_mixing,
 }
