@@ -52,6 +52,19 @@ def remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string")) % n
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, n: int) -> DataFrame:
+    """Id, text and label (0 or 1) of at most n labelled documents outside the held-out fold."""
+    rows = (
+        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), folds) != held_out))
+        .groupBy("doc_id")
+        .agg(F.max(label).alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(n)
+    )
+    # Of at most n rows, so it may be broadcast.
+    return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "label")
+
+
 # --- bytes of text in numpy -------------------------------------------------
 
 _SPACE = np.zeros(256, bool)

@@ -6,13 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import chat, mixing, near_duplicates, packing
+from revtide.llm import chat, mixing, near_duplicates, packing, quality_model, toxicity
+from revtide.llm.common import remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a model of the documents outside the held-out quarter."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.learn(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), quality_model.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op6_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of each document at a similarity of 0.85."""
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
@@ -47,6 +56,14 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model of the documents outside the held-out fifth."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -55,8 +72,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_minhash_near_duplicates": op6_minhash_near_duplicates,
     "op7_packing": op7_packing,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
