@@ -51,9 +51,9 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    both = links.union(links.select("v", "u"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    """Moves each link's smaller end to that one's smallest neighbour, if it is smaller still."""
+    least = links.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
+    return links.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
