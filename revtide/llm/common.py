@@ -175,3 +175,26 @@ def within(bounds: np.ndarray, n: int) -> np.ndarray:
     for begin, length in zip(bounds[:-1][lengths >= n], lengths[lengths >= n]):
         good[begin : begin + length - n + 1] = True
     return good
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each group; the batches come sorted by keys."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for x in columns:
+            change[1:] |= x[1:] != x[:-1]
+        edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            key = tuple(x[a] for x in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

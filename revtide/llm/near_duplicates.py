@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import gram_hashes, mixed, random_odd, steps, stored, text_bytes, within, word_hashes, word_spans
+from revtide.llm.common import gram_hashes, grouped, mixed, random_odd, steps, stored, text_bytes, within, word_hashes, word_spans
 from revtide.llm.components import Forest, components
 
 SHINGLE = 5
@@ -142,29 +142,6 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("node"), part.column("candidates"), part.column("blocks"), rows], ["node", "candidates", "blocks", "grams"])
 
 
-def _by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The rows of each group; the batches come sorted by keys."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy() for k in keys]
-        change = np.zeros(batch.num_rows, bool)
-        for x in columns:
-            change[1:] |= x[1:] != x[:-1]
-        edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for a, b in zip(edges, edges[1:]):
-            key = tuple(x[a] for x in columns)
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _links_of(group: pa.Table, percent: int, miss: float, across: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links that join the rows of a group, confirmed on their sets.
 
@@ -217,7 +194,7 @@ def _links_of(group: pa.Table, percent: int, miss: float, across: bool) -> tuple
 
 def _verified(rows: DataFrame, keys: list[str], percent: int, miss: float, across: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _by_group(batches, keys):
+        for group in grouped(batches, keys):
             if group.num_rows > 1:
                 a, b = _links_of(group, percent, miss, across)
                 if len(a):

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import chat, mixing, near_duplicates, packing, quality_model, toxicity
+from revtide.llm import chat, embeddings, mixing, near_duplicates, packing, quality_model, substrings, toxicity
 from revtide.llm.common import remainder
 
 
@@ -14,6 +14,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of each vector at a cosine of 0.93, among equal labels."""
+    return embeddings.embedding_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+def op3_substring_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that windows of 20 words repeat from earlier ones."""
+    return substrings.removal_report(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=20)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by a model of the documents outside the held-out quarter."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,6 +82,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_embedding_duplicates": op2_embedding_duplicates,
+    "op3_substring_duplicates": op3_substring_duplicates,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_minhash_near_duplicates": op6_minhash_near_duplicates,
     "op7_packing": op7_packing,

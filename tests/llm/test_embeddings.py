@@ -1,0 +1,66 @@
+import numpy as np
+
+from revtide.llm import embeddings
+
+
+def expected(rows, least=0.93):
+    """Brute force: vec_id to (n_links, component)."""
+    def good(v, label):
+        return label is not None and v and None not in v and np.isfinite(v).all() and np.any(np.array(v, float) != 0)
+
+    able = [(d, np.array(v, np.float64), label) for d, v, label in rows if good(v, label)]
+    parent, links = {d: d for d, _, _ in rows}, {d: 0 for d, _, _ in rows}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for k, (a, x, label) in enumerate(able):
+        for b, y, other in able[k + 1 :]:
+            if label == other and len(x) == len(y) and x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)) >= least:
+                links[a] += 1
+                links[b] += 1
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    return {d: (links[d], root(d)) for d in parent}
+
+
+def found(df):
+    return {r.vec_id: (r.n_links, r.component_id) for r in embeddings.embedding_duplicates(df).collect()}
+
+
+def test_table_as_brute_force(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
+    assert found(df) == expected(rows)
+
+
+def test_close_groups_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CHUNK", 16)
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(6, 20))
+    rows = []
+    for k in range(220):
+        x = centres[k % 6] + rng.normal(size=20) * rng.choice((0.1, 0.25, 0.4))
+        rows.append((k, (x * rng.uniform(0.1, 9)).astype(np.float32).tolist(), int(k % 4 == 3)))
+    rows += [(300 + k, rows[0][1], rows[0][2]) for k in range(40)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, label int, node string")
+    want = expected(rows)
+    assert max(n for n, _ in want.values()) > 40
+    assert found(df) == want
+
+
+def test_vectors_that_link_with_nothing(spark):
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.0], None), (3, None, 1), (4, [0.0, 0.0], 1), (5, [float("nan"), 1.0], 1), (6, [None, 1.0], 1), (7, [2.0, 0.1], 1), (8, [1.0], 1), (9, [-0.0, 0.0], 1), (10, [float("inf"), 1.0], 1), (11, [], 1), (12, [1.0, 0.0], 2)]
+    made = found(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    assert made == {k: (0, k) for k in range(1, 13)} | {1: (1, 1), 7: (1, 1)}
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (9, [1.0, 0.0], 1)]
+    made = sorted(map(tuple, embeddings.embedding_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()), key=str)
+    assert made == [(4, 1, 4, True), (4, 1, 4, True), (9, 1, 4, False), (None, 0, None, True)]
+
+
+def test_empty_table(spark):
+    assert found(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")) == {}
