@@ -184,7 +184,7 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(k).to_numpy() for k in keys]
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
         change = np.zeros(batch.num_rows, bool)
         for x in columns:
             change[1:] |= x[1:] != x[:-1]
