@@ -167,6 +167,16 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
+def byte_gram_hashes(data: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each run of n bytes, by its first byte."""
+    count = max(len(data) - n + 1, 0)
+    letters = _BYTE[data]
+    total = np.zeros(count, np.uint64)
+    for k in range(n):
+        total += letters[k : k + count] * _PLACE[k]
+    return mixed(total)
+
+
 def within(bounds: np.ndarray, n: int) -> np.ndarray:
     """For each run of n words, whether it lies in one text; bounds as from word_spans."""
     total = int(bounds[-1])

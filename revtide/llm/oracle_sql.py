@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from revtide.llm import quality_rules as rules
+
 _WORDS = r"len(regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+'))"
 
 _CONTROL = r"([\[<])(/?INST\]|/?s>|</?(?:SYS|ROLE)>>|</TURN>>|<SEP>>)"
@@ -71,7 +73,57 @@ with {mixed_sql()}
 select doc_id, cast(size as bigint) as size, source_size, target, cast(whole * size + once as bigint) as taken from taken
 """
 
+def _rules_sql() -> str:
+    """Figures by lists and joins, votes by the same rules, and the rounds written out."""
+    names = [name for name, *_ in rules.RULES]
+    cells = [(n, v, f"{n}_{k}") for n in names for k, v in enumerate(rules.VOTES)]
+    each = (f"case v.{n} {' '.join(f'when {v} then ln(r.{n}_{k}_good / r.{n}_{k}_bad)' for k, v in enumerate(rules.VOTES))} end" for n in names)
+    chance = f"1 / (1 + exp(-({' + '.join(['ln(r.good / (1 - r.good))', *each])})))"
+    start = (f"{x}::double as {c}_{kind}" for kind in rules.START for (_, v, c) in cells for x in [rules.START[kind][v + 1]])
+    rounds = [f"r0 as (select {rules.GOOD}::double as good, {', '.join(start)})"]
+    for k in range(rules.ROUNDS):
+        kinds = {"good": "p", "bad": "(1 - p)"}
+        sums = (
+            f"(sum(case when v.{n} = {v} then n * {p} else 0.0 end) + {rules.PRIOR * rules.START[kind][v + 1]}) / (sum(n * {p}) + {rules.PRIOR}) as {c}_{kind}"
+            for kind, p in kinds.items()
+            for n, v, c in cells
+        )
+        rounds.append(
+            f"r{k + 1} as materialized (select least({rules.MOST_GOOD}, greatest({rules.LEAST_GOOD}, sum(n * p) / sum(n))) as good, {', '.join(sums)} "
+            f"from (select v.*, {chance} as p from patterns v, r{k} r) v)"
+        )
+    votes = ", ".join(f"{x} as {n}" for n, x in rules.votes().items())
+    return f"""
+with rows as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents
+), split as (
+  select *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from rows
+), windows as (
+  select rid, unnest(range(1, len(words) - 1)) as i, words from split where len(words) >= 3
+), twice as (
+  select rid, i from (select rid, i, count(*) over (partition by rid, words[i], words[i + 1], words[i + 2]) as n from windows) where n > 1
+), covered as (
+  select rid, count(distinct place) as n from (select rid, unnest([i, i + 1, i + 2]) as place from twice) group by rid
+), figures as (
+  select s.rid, doc_id, len(words) as n_words, cast(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) as bigint) as word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(c.n, 0) as n_repeat_words, len(regexp_extract_all(text, '[A-Z]')) as n_capitals, len(regexp_extract_all(text, '[.!?]')) as n_stops,
+    len(lines) as n_lines, len(list_distinct(words)) as n_distinct_words
+  from split s left join covered c on s.rid = c.rid
+), voted as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {votes} from figures
+), patterns as materialized (
+  select {", ".join(names)}, count(*) as n from voted where not base_failed group by all
+), {", ".join(rounds)}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  coalesce(not base_failed and {chance} >= 0.5, false) as kept
+from voted v, r{rules.ROUNDS} r
+"""
+
+
 ORACLE_SQL = {
+    "op5_quality_rules": _rules_sql(),
     "op8_chat_formatting": OP8,
     "op10_mixing": OP10,
 }

@@ -1,59 +1,95 @@
 """Quality classifier: hashed subword vectors averaged per document, softmax on top.
 
-A word's vector is the mean of the vectors of its hash bucket and of its character
-n-grams' buckets; a document's is the mean over its words. Vectors and softmax are learned
-together by stochastic gradient descent in numpy. A word that repeats one of the few
-before it also adds the token <again>, one in capitals <caps>. As two classes differ by one
-direction, a trained model keeps one number a bucket, and scoring adds one number a word.
-
-Defined results. Null or empty text: no words, so the bias and the token <none>. Null id:
-never trained on, scored as any other. Repeated rows: scored alike. No labels of one
-class: the share of label 1 for all, 1 without any label. Empty table: no rows. Other
-columns stay as they are.
+A word's vector is the mean of the vectors of its hash bucket and of the buckets of its
+character n-grams, cut from its UTF-8 bytes with a blank on each side; a word in capitals
+has one more. A document's vector is the mean over its words and over a token for each word
+that repeats one of the few before it. Vectors and softmax are learned together by
+stochastic gradient descent in numpy. As two classes differ by one direction, a trained
+model keeps one number a bucket, and a score is a mean of such numbers.
+
+Defined results. Null or empty text: the bias and the bucket of no word. Null id: never
+trained on, scored as any other. Repeated rows: scored alike. No labels of one class: the
+label there is, for all; 1 without any label. Empty table: no rows. Other columns stay as
+they are.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import training_rows
+from revtide.llm.common import byte_gram_hashes, steps, text_bytes, training_rows, word_hashes, word_spans
 
 #: Labelled documents learned from, at most: the only bound, on training alone.
 TRAINING_ROWS = 4_000
+#: The last buckets stand for capitals, repeats and texts without words.
 BUCKETS, SIZE = 1 << 16, 12
-SHORTEST, LONGEST = 3, 4
+CAPITALS, AGAIN, NONE = BUCKETS, BUCKETS + 1, BUCKETS + 2
+NGRAMS = (3, 4)
 EPOCHS, RATE, SEED = 5, 0.15, 7
 #: Words back to which a word counts as repeated.
-AGAIN = 3
-#: Words a worker remembers; beyond that it forgets them all.
-KNOWN = 300_000
-
-
-def tokens(text: str | None) -> list[str]:
-    """Words of a text and the tokens that mark repeats and capitals."""
-    words = (text or "").split()
-    if not words:
-        return ["<none>"]
-    out = list(words)
-    for back in range(1, AGAIN + 1):
-        out += ["<again>"] * sum(a == b for a, b in zip(words, words[back:]))
-    return out
-
-
-def buckets(word: str) -> np.ndarray:
-    """Buckets of a word and of its character n-grams."""
-    data = f"<{word}>"
-    grams = {data[k : k + n] for n in range(SHORTEST, LONGEST + 1) for k in range(len(data) - n + 1)}
-    if word.isupper() and len(word) > 1:
-        grams.add("<caps>")
-    return np.array([zlib.crc32(g.encode()) % BUCKETS for g in sorted(grams | {word})], np.int64)
+BACK = 3
+
+
+class Features:
+    """Buckets of a slice of texts: of each word, of each n-gram by its first byte."""
+
+    def __init__(self, part: pa.RecordBatch):
+        data, offsets = text_bytes(part.column("text"))
+        lengths = np.diff(offsets)
+        padded = np.full(len(data) + len(lengths) + 1, 0x20, np.uint8)
+        padded[np.arange(len(data)) + np.repeat(np.arange(1, len(lengths) + 1), lengths)] = data
+        padded[(padded >= 0x09) & (padded <= 0x0D)] = 0x20
+        begins = offsets + np.arange(len(offsets)) + 1
+        begins[-1] = len(padded)
+        self.starts, self.ends, self.bounds = word_spans(padded, begins)
+        hashes = word_hashes(padded, self.starts, self.ends)
+        self.words = (hashes % np.uint64(BUCKETS)).astype(np.int64)
+        self.grams = {n: (byte_gram_hashes(padded, n) % np.uint64(BUCKETS)).astype(np.int64) for n in NGRAMS}
+        upper, lower = (np.concatenate([[0], np.cumsum((padded >= x) & (padded < x + 26))]) for x in (0x41, 0x61))
+        count = [x[self.ends] - x[self.starts] for x in (upper, lower)]
+        self.capitals = (count[0] > 1) & (count[1] == 0)
+        #: Of each n: how many n-grams a word has.
+        self.counts = {n: np.maximum(self.ends - self.starts + 3 - n, 0) for n in NGRAMS}
+        self.size = 1 + self.capitals + sum(self.counts.values())
+        doc = np.repeat(np.arange(len(lengths)), np.diff(self.bounds))
+        self.again = np.zeros(len(lengths), np.int64)
+        for back in range(1, BACK + 1):
+            same = (hashes[back:] == hashes[:-back]) & (doc[back:] == doc[:-back])
+            self.again += np.bincount(doc[back:][same], minlength=len(lengths))
+
+    def of_text(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of a text and what each weighs in its mean."""
+        own = slice(self.bounds[k], self.bounds[k + 1])
+        total = own.stop - own.start + self.again[k]
+        if not total:
+            return np.array([NONE]), np.ones(1, np.float32)
+        each = 1 / (self.size[own] * total)
+        buckets, weights = [self.words[own], np.full(self.capitals[own].sum(), CAPITALS), [AGAIN]], [each, each[self.capitals[own]], [self.again[k] / total]]
+        for n in NGRAMS:
+            count = self.counts[n][own]
+            at = np.repeat(self.starts[own] - 1 - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            buckets.append(self.grams[n][at])
+            weights.append(np.repeat(each, count))
+        where, back = np.unique(np.concatenate(buckets).astype(np.int64), return_inverse=True)
+        return where, np.bincount(back, np.concatenate(weights)).astype(np.float32)
+
+    def means(self, margin: np.ndarray) -> np.ndarray:
+        """Mean margin of each text."""
+        value = margin[self.words] + margin[CAPITALS] * self.capitals
+        for n in NGRAMS:
+            sums = np.concatenate([[0], np.cumsum(margin[self.grams[n]])])
+            value = value + sums[self.starts - 1 + self.counts[n]] - sums[self.starts - 1]
+        sums = np.concatenate([[0], np.cumsum(value / self.size)])
+        words = sums[self.bounds[1:]] - sums[self.bounds[:-1]] + self.again * margin[AGAIN]
+        total = np.diff(self.bounds) + self.again
+        return np.where(total > 0, words / np.maximum(total, 1), margin[NONE])
 
 
 @dataclass
@@ -62,37 +98,17 @@ class Model:
     bias: float
 
 
-class _Margins(dict):
-    def __init__(self, margin: np.ndarray):
-        self.margin = margin
-
-    def __missing__(self, word: str) -> float:
-        if len(self) > KNOWN:
-            self.clear()
-        out = self[word] = float(self.margin[buckets(word)].mean())
-        return out
-
-
-class _Parts(dict):
-    def __missing__(self, word: str) -> np.ndarray:
-        out = self[word] = buckets(word)
-        return out
-
-
 def fitted(texts: list[str | None], labels: list[int]) -> Model:
     """Stochastic gradient descent over the texts, one at a time, in a random order."""
     y = np.array(labels)
     if len(set(labels)) < 2:
-        share = float(y.mean()) if len(y) else 1.0
-        return Model(np.zeros(BUCKETS, np.float32), 30.0 if share == 1 else -30.0)
-    rng, known = np.random.default_rng(SEED), _Parts()
+        return Model(np.zeros(BUCKETS + 3), -30.0 if len(y) and y[0] == 0 else 30.0)
+    rng = np.random.default_rng(SEED)
     rows = []
-    for text in texts:
-        parts = [known[w] for w in tokens(text)]
-        where, at = np.unique(np.concatenate(parts), return_inverse=True)
-        each = np.repeat([1 / (len(p) * len(parts)) for p in parts], [len(p) for p in parts])
-        rows.append((where.astype(np.int32), np.bincount(at, each).astype(np.float32)))
-    vectors = rng.uniform(-1 / SIZE, 1 / SIZE, (BUCKETS, SIZE)).astype(np.float32)
+    for part in steps([pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})]):
+        features = Features(part)
+        rows += [features.of_text(k) for k in range(part.num_rows)]
+    vectors = rng.uniform(-1 / SIZE, 1 / SIZE, (BUCKETS + 3, SIZE)).astype(np.float32)
     out, bias = np.zeros((SIZE, 2), np.float32), np.zeros(2, np.float32)
     total, done = EPOCHS * len(rows), 0
     # The rarer label counts for more, at most fourfold.
@@ -114,13 +130,13 @@ def fitted(texts: list[str | None], labels: list[int]) -> Model:
             bias -= 0.1 * rate * p
             # Scaled so that the document's own vector moves by rate * back.
             vectors[where] -= (rate / (each @ each)) * each[:, None] * back[None, :]
-    return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
+    return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
 
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, n: int = TRAINING_ROWS, label: str = "quality") -> Model:
     """A model of at most n labelled documents whose crc32 modulo folds is not held_out."""
     rows = training_rows(docs, labels, label, folds, held_out, n).collect()
-    rows.sort(key=lambda r: (zlib.crc32((r["text"] or "").encode()), r["label"]))
+    rows.sort(key=lambda r: (r["doc_id"], r["text"] or "", r["label"]))
     return fitted([r["text"] for r in rows], [r["label"] for r in rows])
 
 
@@ -128,10 +144,9 @@ def score(text: Column, model: Model) -> Column:
     """Probability of label 1."""
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _Margins(model.margin)
         for part in parts:
-            found = [list(map(known.__getitem__, tokens(text))) for text in part]
-            odds = np.array([sum(x) / len(x) for x in found]) + model.bias
-            yield pd.Series(1 / (1 + np.exp(-np.clip(odds, -700, 700))))
+            batch = pa.RecordBatch.from_pydict({"text": pa.array(part, pa.string())})
+            odds = [Features(x).means(model.margin) + model.bias for x in steps([batch])]
+            yield pd.Series(1 / (1 + np.exp(-np.clip(np.concatenate(odds), -700, 700))))
 
     return F.pandas_udf(run, "double")(text)

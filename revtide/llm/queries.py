@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import chat, embeddings, mixing, near_duplicates, packing, quality_model, substrings, toxicity
+from revtide.llm import chat, embeddings, mixing, near_duplicates, packing, quality_model, quality_rules, substrings, toxicity
 from revtide.llm.common import remainder
 
 
@@ -32,6 +32,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of each document and whether the voting rules keep it."""
+    judged = quality_rules.judged(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of each document at a similarity of 0.85."""
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
@@ -85,6 +91,7 @@ QUERIES = {
     "op2_embedding_duplicates": op2_embedding_duplicates,
     "op3_substring_duplicates": op3_substring_duplicates,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_quality_rules": op5_quality_rules,
     "op6_minhash_near_duplicates": op6_minhash_near_duplicates,
     "op7_packing": op7_packing,
     "op8_chat_formatting": op8_chat_formatting,
