@@ -75,23 +75,33 @@ select doc_id, cast(size as bigint) as size, source_size, target, cast(whole * s
 
 def _rules_sql() -> str:
     """Figures by lists and joins, votes by the same rules, and the rounds written out."""
-    names = [name for name, *_ in rules.RULES]
-    cells = [(n, v, f"{n}_{k}") for n in names for k, v in enumerate(rules.VOTES)]
-    each = (f"case v.{n} {' '.join(f'when {v} then ln(r.{n}_{k}_good / r.{n}_{k}_bad)' for k, v in enumerate(rules.VOTES))} end" for n in names)
-    chance = f"1 / (1 + exp(-({' + '.join(['ln(r.good / (1 - r.good))', *each])})))"
-    start = (f"{x}::double as {c}_{kind}" for kind in rules.START for (_, v, c) in cells for x in [rules.START[kind][v + 1]])
-    rounds = [f"r0 as (select {rules.GOOD}::double as good, {', '.join(start)})"]
-    for k in range(rules.ROUNDS):
-        kinds = {"good": "p", "bad": "(1 - p)"}
-        sums = (
-            f"(sum(case when v.{n} = {v} then n * {p} else 0.0 end) + {rules.PRIOR * rules.START[kind][v + 1]}) / (sum(n * {p}) + {rules.PRIOR}) as {c}_{kind}"
-            for kind, p in kinds.items()
-            for n, v, c in cells
+    names = rules.KINDS[1:]
+    start = ", ".join(f"('{kind}', '{name}', {v}, {x}::double)" for (kind, name, v), x in rules._start().items())
+    shares = ", ".join(f"('{kind}', {rules.GOOD if kind == 'good' else (1 - rules.GOOD) / len(names)}::double)" for kind in rules.KINDS)
+    rounds = [
+        f"start as (select * from (values {start}) t(kind, name, vote, rate))",
+        "r0 as (select * from start)",
+        f"s0 as (select * from (values {shares}) t(kind, share))",
+    ]
+    for k in range(rules.ROUNDS + 1):
+        rounds.append(
+            f"e{k} as materialized (select *, exp(l) / sum(exp(l)) over (partition by pattern) as p from (select v.pattern, r.kind, any_value(v.n) as n, "
+            f"ln(any_value(s.share)) + sum(ln(r.rate)) as l from cast_votes v join r{k} r on v.name = r.name and v.vote = r.vote join s{k} s on r.kind = s.kind group by 1, 2))"
+        )
+        rounds.append(f"t{k} as materialized (select kind, sum(n * p) as total from e{k} group by kind)")
+        rounds.append(
+            f"s{k + 1} as materialized (select kind, (total + {rules.PRIOR / len(rules.KINDS)}) / (sum(total) over () + {rules.PRIOR}) as share from t{k})"
+        )
+        rounds.append(
+            f"m{k} as materialized (select kind, name, vote, (coalesce(c.x, 0) + {rules.PRIOR} * rate) / (total + {rules.PRIOR}) as rate from start join t{k} using (kind) "
+            f"left join (select kind, name, vote, sum(e.n * p) as x from e{k} e join cast_votes v on e.pattern = v.pattern group by all) c using (kind, name, vote))"
         )
         rounds.append(
-            f"r{k + 1} as materialized (select least({rules.MOST_GOOD}, greatest({rules.LEAST_GOOD}, sum(n * p) / sum(n))) as good, {', '.join(sums)} "
-            f"from (select v.*, {chance} as p from patterns v, r{k} r) v)"
+            f"r{k + 1} as materialized (select kind, name, vote, case when bound = own then rate when vote = -1 then rate * bound / own else rate * (1 - bound) / (1 - own) end as rate "
+            f"from (select *, case when kind = name then greatest({rules.LEAST_OWN}, own) when kind = 'good' then least({rules.MOST_GOOD}, own) else own end as bound "
+            f"from (select *, max(case when vote = -1 then rate end) over (partition by kind, name) as own from m{k})))"
         )
+    pattern = " || ' ' || ".join(names)
     votes = ", ".join(f"{x} as {n}" for n, x in rules.votes().items())
     return f"""
 with rows as (
@@ -114,11 +124,12 @@ with rows as (
 ), voted as (
   select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {votes} from figures
 ), patterns as materialized (
-  select {", ".join(names)}, count(*) as n from voted where not base_failed group by all
+  select {pattern} as pattern, {", ".join(names)}, count(*) as n from voted where not base_failed group by all
+), cast_votes as materialized (
+  select pattern, n, unnest([{", ".join(f"'{x}'" for x in names)}]) as name, unnest([{", ".join(names)}]) as vote from patterns
 ), {", ".join(rounds)}
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  coalesce(not base_failed and {chance} >= 0.5, false) as kept
-from voted v, r{rules.ROUNDS} r
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(not base_failed and p >= 0.5, false) as kept
+from voted v left join e{rules.ROUNDS} e on {pattern} = e.pattern and e.kind = 'good'
 """
 
 

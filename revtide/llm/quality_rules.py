@@ -1,9 +1,11 @@
 """Quality rules under weak supervision, in DataFrame functions only.
 
 Rules on a document's figures vote for it (1), against it (-1) or abstain (0). How often
-each pattern of votes occurs is all that expectation-maximisation needs: it alternates
-between the chance that a document of a pattern is good and the rules' accuracies: how
-often each rule votes which way on good and on bad documents. A document stays if the chance of its pattern is high enough, even if some rules object.
+each pattern of votes occurs is all that expectation-maximisation needs. Documents are good,
+or bad in the way of one of the rules, as bad documents mostly fail one rule and pass the
+others: it alternates between the chance of each kind given a pattern and each rule's
+accuracy, that is how often it casts each vote on each kind. A document stays if the chance
+that it is good is high enough, even if some rule objects.
 
 Defined results. Null or empty text: all figures 0, which fails the base rule. Null id and
 repeated rows: judged like any other row. Equal trigrams are told by a 64-bit hash within
@@ -28,20 +30,32 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 RULES = (
     ("word_length", "word_chars / greatest(n_words, 1)", "> 12", "< 9"),
     ("symbols", "n_symbols / greatest(n_words, 1)", "> 0.3", "< 0.1"),
-    ("lines", "n_dup_lines / greatest(n_lines, 1)", "> 0.3", "< 0.1"),
-    ("repeats", "n_repeat_words / greatest(n_words, 1)", "> 0.3", "< 0.1"),
+    ("lines", "n_dup_lines / greatest(n_lines, 1)", "> 0.5", "< 0.35"),
+    ("repeats", "n_repeat_words / greatest(n_words, 1)", "> 0.45", "< 0.35"),
     ("capitals", "n_capitals / greatest(word_chars, 1)", "> 0.4", "< 0.2"),
     ("variety", "n_distinct_words / greatest(n_words, 1)", "< 0.2", "> 0.4"),
     ("sentences", "n_stops / greatest(n_words, 1)", "> 0.4", "between 0.01 and 0.3"),
 )
 ROUNDS = 15
 VOTES = (-1, 0, 1)
-#: Where the rounds start: how often a rule casts each vote on good and on bad documents.
-START = {"good": (0.005, 0.095, 0.9), "bad": (0.15, 0.1, 0.75)}
+#: Where the rounds start: how often a rule casts each vote on good documents, on documents
+#: that are bad in its own way and on those that are bad in another.
+ON_GOOD, ON_OWN, ON_OTHER = (0.005, 0.095, 0.9), (0.9, 0.05, 0.05), (0.1, 0.1, 0.8)
 #: Documents of each kind that a rule is taken to have voted on so, besides the real ones.
 PRIOR = 20
-#: Share of good documents at the start, and what it is kept within.
-GOOD, LEAST_GOOD, MOST_GOOD = 0.8, 0.5, 0.98
+#: A rule objects to at least this share of the documents that are bad in its way, and to
+#: at most this share of good ones.
+LEAST_OWN, MOST_GOOD = 0.9, 0.01
+#: Share of good documents at the start.
+GOOD = 0.8
+KINDS = ("good", *(name for name, *_ in RULES))
+
+Rates = dict[tuple[str, str, int], float]  # by kind, rule and vote
+
+
+def _start() -> Rates:
+    of = lambda kind, name: ON_GOOD if kind == "good" else ON_OWN if kind == name else ON_OTHER
+    return {(kind, name, v): x for kind in KINDS for name in KINDS[1:] for v, x in zip(VOTES, of(kind, name))}
 
 
 def _less(text: Column, characters: str) -> Column:
@@ -112,44 +126,49 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def learned(patterns: DataFrame) -> tuple[float, dict[str, dict[str, tuple[float, ...]]]]:
-    """Share of good documents and each rule's rates of votes; patterns has a row a pattern and n.
+def learned(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[dict[str, float], Rates]:
+    """Share of each kind and the rules' rates on it, from each pattern of votes and its count.
 
-    There are 3 to the power of rules patterns at most; a round adds them up to one row.
+    There are 3 to the power of rules patterns at most, however many documents.
     """
-    good, rates = GOOD, {name: START for name, *_ in RULES}
+    start = rates = _start()
+    shares = {kind: GOOD if kind == "good" else (1 - GOOD) / len(RULES) for kind in KINDS}
     for _ in range(ROUNDS):
-        p = chance(good, rates)
-        row = patterns.agg(
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") * p).alias("good"),
-            *(F.sum(F.when(F.col(name) == v, F.col("n") * p).otherwise(0.0)).alias(f"{name}{v}good") for name in rates for v in VOTES),
-            *(F.sum(F.when(F.col(name) == v, F.col("n") * (1 - p)).otherwise(0.0)).alias(f"{name}{v}bad") for name in rates for v in VOTES),
-        ).head()
-        if not row["n"]:
-            break
-        total = {"good": row["good"], "bad": row["n"] - row["good"]}
-        good = min(MOST_GOOD, max(LEAST_GOOD, row["good"] / row["n"]))
-        rates = {
-            name: {kind: tuple((row[f"{name}{v}{kind}"] + PRIOR * x) / (total[kind] + PRIOR) for v, x in zip(VOTES, START[kind])) for kind in START}
-            for name in rates
-        }
-    return good, rates
-
-
-def chance(good: float, rates: dict[str, dict[str, tuple[float, ...]]]) -> Column:
+        total = dict.fromkeys(KINDS, 0.0)
+        cast = dict.fromkeys(start, 0.0)
+        for votes_, n in patterns:
+            weight = {kind: shares[kind] * math.prod(rates[kind, name, v] for name, v in zip(KINDS[1:], votes_)) for kind in KINDS}
+            for kind, x in weight.items():
+                x *= n / sum(weight.values())
+                total[kind] += x
+                for name, v in zip(KINDS[1:], votes_):
+                    cast[kind, name, v] += x
+        every = sum(total.values()) + PRIOR
+        shares = {kind: (total[kind] + PRIOR / len(KINDS)) / every for kind in KINDS}
+        rates = {key: (cast[key] + PRIOR * start[key]) / (total[key[0]] + PRIOR) for key in start}
+        for name in KINDS[1:]:
+            for kind, bound in ((name, max(LEAST_OWN, rates[name, name, -1])), ("good", min(MOST_GOOD, rates["good", name, -1]))):
+                own = rates[kind, name, -1]
+                if own != bound:
+                    for v in VOTES:
+                        rates[kind, name, v] *= bound / own if v == -1 else (1 - bound) / (1 - own)
+    return shares, rates
+
+
+def chance(shares: dict[str, float], rates: Rates) -> Column:
     """The chance that a document with these votes is good."""
-    odds = F.lit(math.log(good / (1 - good)))
-    for name, own in rates.items():
-        against, none, for_ = (math.log(x / y) for x, y in zip(own["good"], own["bad"]))
-        odds = odds + F.when(F.col(name) == -1, against).when(F.col(name) == 1, for_).otherwise(none)
-    return 1 / (1 + F.exp(-odds))
+    weights = {}
+    for kind in KINDS:
+        weights[kind] = F.lit(shares[kind])
+        for name in KINDS[1:]:
+            against, none, for_ = (rates[kind, name, v] for v in VOTES)
+            weights[kind] = weights[kind] * F.when(F.col(name) == -1, against).when(F.col(name) == 1, for_).otherwise(none)
+    return weights["good"] / sum(weights.values())
 
 
 def judged(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """doc_id, the figures, the votes, base_failed, p_good and kept of each row of docs."""
     voted = stored(with_figures(docs).withColumns({name: F.expr(x) for name, x in votes().items()}))
-    names = [name for name, *_ in RULES]
-    patterns = stored(voted.where(~base_failed()).groupBy(*names).agg(F.count("*").alias("n")))
-    good, rates = learned(patterns)
-    return voted.withColumns({"base_failed": base_failed(), "p_good": chance(good, rates)}).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= least))
+    counted = voted.where(~base_failed()).groupBy(*KINDS[1:]).agg(F.count("*").alias("n")).orderBy(*KINDS[1:])
+    shares, rates = learned([(tuple(r)[:-1], r["n"]) for r in counted.collect()])
+    return voted.withColumns({"base_failed": base_failed(), "p_good": chance(shares, rates)}).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= least))
