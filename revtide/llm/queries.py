@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import chat, embeddings, mixing, near_duplicates, packing, quality_model, quality_rules, substrings, toxicity
+from revtide.llm import chat, embeddings, masked_lm, mixing, near_duplicates, packing, quality_model, quality_rules, substrings, toxicity
 from revtide.llm.common import remainder
 
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document under a network trained on all of them."""
+    return masked_lm.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of each vector at a cosine of 0.93, among equal labels."""
     return embeddings.embedding_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
@@ -88,6 +93,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_masked_lm": op1_masked_lm,
     "op2_embedding_duplicates": op2_embedding_duplicates,
     "op3_substring_duplicates": op3_substring_duplicates,
     "op4_quality_classifier": op4_quality_classifier,
