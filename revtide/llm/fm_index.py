@@ -49,19 +49,26 @@ class WaveletTree:
             self.levels.append((level, words, before, zeros))
             one = bits.astype(bool)
             values = np.concatenate([values[~one], values[one]])
+        #: Where the run of each symbol begins below the last level.
+        every = np.arange(1 << levels)
+        self.starts = self._down(every, np.zeros(len(every), np.int64))[0]
 
-    def rank(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each symbol, how many stand before low and before high."""
-        start = np.zeros(len(symbol), np.int64)
+    def _down(self, symbol: np.ndarray, *places: np.ndarray) -> list[np.ndarray]:
+        """Follows positions down the levels, along each symbol's bits."""
+        moved = list(places)
         for level, words, before, zeros in self.levels:
             one = ((symbol >> level) & 1).astype(bool)
-
-            def ones(at: np.ndarray) -> np.ndarray:
+            for k, at in enumerate(moved):
                 word = at >> 6
                 mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-                return before[word].astype(np.int64) + np.bitwise_count(words[word] & mask)
+                ones = before[word].astype(np.int64) + np.bitwise_count(words[word] & mask)
+                moved[k] = np.where(one, zeros + ones, at - ones)
+        return moved
 
-            start, low, high = (np.where(one, zeros + x, at - x) for at, x in ((at, ones(at)) for at in (start, low, high)))
+    def rank(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each symbol, how many stand before low and before high."""
+        low, high = self._down(symbol, low, high)
+        start = self.starts[symbol]
         return low - start, high - start
 
 

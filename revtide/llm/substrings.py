@@ -154,14 +154,25 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "words binary, doc long, digest long, start int, windows int, route long")
 
 
-def _searched(rows: pa.Table, length: int) -> pa.RecordBatch | None:
+def _searched(rows: pa.Table, length: int) -> pa.RecordBatch:
     """Runs of repeated windows of a shard; rows come by document and start."""
     doc, digest, start = (rows.column(c).to_numpy() for c in ("doc", "digest", "start"))
     again = np.zeros(len(doc), bool)
     again[1:] = (doc[1:] == doc[:-1]) & (digest[1:] == digest[:-1]) & (start[1:] == start[:-1])
     number: dict[bytes, int] = {}
-    sequences = [[number.setdefault(w, len(number) + 1) for w in x.split(b" ")] + [0] for x in rows.column("words").filter(pa.array(~again)).to_pylist()]
-    doc, digest, start = doc[~again], digest[~again], start[~again]
+    first: dict[bytes, int] = {}
+    sequences, new, copies = [], [], []
+    for k, words in enumerate(rows.column("words").to_pylist()):
+        if not again[k]:
+            # A segment equal to an earlier one is repeated as a whole; it need not be indexed.
+            if first.setdefault(words, len(sequences)) < len(sequences):
+                copies.append((k, first[words]))
+            else:
+                new.append(k)
+                sequences.append([number.setdefault(w, len(number) + 1) for w in words.split(b" ")] + [0])
+    copied, originals = np.array(copies, np.int64).reshape(-1, 2).T
+    whole = doc[copied], digest[copied], start[copied]
+    doc, digest, start = doc[new], digest[new], start[new]
     sizes = np.array([len(x) for x in sequences])
     text = np.concatenate([np.array(x, np.int64) for x in sequences])
     begins = np.cumsum(sizes) - sizes
@@ -176,8 +187,6 @@ def _searched(rows: pa.Table, length: int) -> pa.RecordBatch | None:
         part = part[full]
         repeated.append(part[index.first(low[full], high[full]) < part])
     found = np.concatenate(repeated)
-    if not len(found):
-        return None
     segment = np.searchsorted(begins, found, "right") - 1
     new = np.ones(len(found), bool)
     new[1:] = (np.diff(found) > 1) | (np.diff(segment) > 0)
@@ -185,10 +194,10 @@ def _searched(rows: pa.Table, length: int) -> pa.RecordBatch | None:
     segment = segment[at]
     return pa.RecordBatch.from_pydict(
         {
-            "doc": doc[segment],
-            "digest": digest[segment],
-            "start": (start[segment] + found[at] - begins[segment]).astype(np.int32),
-            "windows": np.diff(np.append(at, len(found))).astype(np.int32),
+            "doc": np.concatenate([doc[segment], whole[0]]),
+            "digest": np.concatenate([digest[segment], whole[1]]),
+            "start": np.concatenate([start[segment] + found[at] - begins[segment], whole[2]]).astype(np.int32),
+            "windows": np.concatenate([np.diff(np.append(at, len(found))), counts[originals]]).astype(np.int32),
         }
     )
 
@@ -212,9 +221,7 @@ def repeated_windows(docs: DataFrame, length: int = 20) -> tuple[DataFrame, Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, ["shard"]):
-            found = _searched(group, length)
-            if found is not None:
-                yield found
+            yield _searched(group, length)
 
     dealt = sent.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards))).repartition("shard").sortWithinPartitions("shard", "doc", "digest", "start")
     searched = dealt.select("shard", "doc", "digest", "start", "words").mapInArrow(run, "doc long, digest long, start int, windows int")
