@@ -109,7 +109,7 @@ def evidence_pack(
             ["close_month", "total_closed_revenue", "win_rate_pct", "avg_sales_cycle_days"],
         ).scalar(),
         "coverage_row": _records(coverage, F.lit(0), coverage.columns).scalar(),
-        "stages": _records(largest, F.struct(-value, "current_stage"), stages.columns).scalar(),
+        "stages": _records(largest, F.struct(value.isNull(), -value, "current_stage"), stages.columns).scalar(),
         "moves": _records(moves, F.col("movement_type"), moves.columns).scalar(),
         "rises": _records(rises, F.struct(-delta, "account_id"), rises.columns).scalar(),
         "falls": _records(falls, F.struct(delta, "account_id"), falls.columns).scalar(),

@@ -6,20 +6,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtide.functions.periods import in_months
 
 # The month range shown when no revenue is loaded starts here.
 FALLBACK_FIRST_MONTH = date(2023, 1, 1)
-# Rows shown for one account.
-ACCOUNT_ROWS = 200
 
 
 @dataclass(frozen=True)
 class Context:
-    """Frames the filterable metrics read; the last three may be absent."""
+    """Frames the filterable metrics read; the last four may be absent."""
 
     mrr: DataFrame
     pipeline: DataFrame
@@ -27,6 +25,7 @@ class Context:
     reps: DataFrame | None = None
     history: DataFrame | None = None
     tickets: DataFrame | None = None
+    health: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -106,6 +105,15 @@ def scoped_mrr(ctx: Context, start: date, end: date, filt: DimFilter = EVERYTHIN
     return filt.apply(months, ctx.accounts, ctx.reps, "owner_rep_id")
 
 
+def newest_rows(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` newest rows of each account, with their place ``back`` from 1.
+
+    Each task keeps no more than these before anything is shuffled.
+    """
+    newest_first = Window.partitionBy("account_id").orderBy(F.col("month").desc())
+    return rows.withColumn("back", F.row_number().over(newest_first)).where(F.col("back") <= n)
+
+
 def newest_month(rows: DataFrame) -> Column:
     """Scalar: the last month among ``rows`` of (account_id, month, total_mrr).
 
@@ -180,27 +188,21 @@ def account_mrr(
     filt: DimFilter = EVERYTHING,
     account_id: str | None = None,
 ) -> DataFrame:
-    """Monthly revenue by account, ordered by account and month."""
-    rows = scoped_mrr(ctx, start, end, filt)
-    if account_id is not None:
-        rows = rows.where(F.col("account_id") == account_id)
-    return rows.select("account_id", "month", F.round("total_mrr", 2).alias("total_mrr")).orderBy(
-        "account_id", "month"
+    """Monthly revenue by account; of one account, in the order of months."""
+    rows = scoped_mrr(ctx, start, end, filt).select(
+        "account_id", "month", F.round("total_mrr", 2).alias("total_mrr")
     )
+    return rows if account_id is None else rows.where(F.col("account_id") == account_id).orderBy("month")
 
 
-def _latest(df: DataFrame, account_id: str, key: str, columns: Sequence[str], n: int) -> DataFrame:
+def _latest(df: DataFrame, account_id: str, key: str, columns: Sequence[str], n: int | None) -> DataFrame:
     newest_first = F.col("created_date").desc_nulls_first()
-    return (
-        df.where(F.col("account_id") == account_id)
-        .select(*columns)
-        .orderBy(newest_first, F.col(key))
-        .limit(n)
-    )
+    rows = df.where(F.col("account_id") == account_id).select(*columns).orderBy(newest_first, F.col(key))
+    return rows if n is None else rows.limit(n)
 
 
-def account_opportunities(pipe: DataFrame, account_id: str, n: int = ACCOUNT_ROWS) -> DataFrame:
-    """The account's latest opportunities; equal dates are ordered by opp_id."""
+def account_opportunities(pipe: DataFrame, account_id: str, n: int | None = None) -> DataFrame:
+    """The account's opportunities, newest first, all or n of them; equal dates are ordered by opp_id."""
     columns = (
         "opp_id",
         "created_date",
@@ -214,7 +216,7 @@ def account_opportunities(pipe: DataFrame, account_id: str, n: int = ACCOUNT_ROW
     return _latest(pipe, account_id, "opp_id", columns, n)
 
 
-def account_tickets(tickets: DataFrame, account_id: str, n: int = ACCOUNT_ROWS) -> DataFrame:
-    """The account's latest support tickets; equal dates are ordered by ticket_id."""
+def account_tickets(tickets: DataFrame, account_id: str, n: int | None = None) -> DataFrame:
+    """The account's support tickets, newest first, all or n of them; equal dates are ordered by ticket_id."""
     columns = ("ticket_id", "created_date", "status", "priority", "category", "subject")
     return _latest(tickets, account_id, "ticket_id", columns, n)

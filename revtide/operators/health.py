@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revtide.functions.numbers import ratio, zero_if_null
@@ -14,6 +14,7 @@ from revtide.operators.filters import (
     Context,
     DimFilter,
     newest_month,
+    newest_rows,
     scoped_mrr,
 )
 
@@ -25,7 +26,6 @@ TREND_POINTS, CHURN_POINTS = 15, -50
 MANY_TICKETS, MANY_TICKETS_POINTS = 8, -20
 SOME_TICKETS, SOME_TICKETS_POINTS = 4, -10
 TICKET_DAYS = 90
-AT_RISK_ROWS = 50
 
 
 def _recent_months(complete: DataFrame) -> Column:
@@ -119,18 +119,20 @@ def computed_health(
     ``tickets`` defaults to the context's; without any, every count is zero.
     """
     tickets = ctx.tickets if tickets is None else tickets
-    rows = scoped_mrr(ctx, start, end, filt)
-    newest = newest_month(rows)
-    timeline = Window.partitionBy("account_id").orderBy("month")
-    last_three = timeline.rowsBetween(-2, 0)
-    snapshot = rows.select(
-        "account_id",
-        "month",
-        "total_mrr",
-        zero_if_null(F.lag("total_mrr").over(timeline)).alias("before"),
-        F.sum("total_mrr").over(last_three).alias("sum_3m"),
-        F.count("total_mrr").over(last_three).alias("rows_3m"),
-    ).where(F.col("month") == newest)
+    last_three = newest_rows(scoped_mrr(ctx, start, end, filt), 3)
+    newest = newest_month(last_three)
+    mrr, back = F.col("total_mrr"), F.col("back")
+    snapshot = (
+        last_three.groupBy("account_id")
+        .agg(
+            F.max("month").alias("month"),
+            F.max(F.when(back == 1, mrr)).alias("total_mrr"),
+            zero_if_null(F.max(F.when(back == 2, mrr))).alias("before"),
+            F.sum(mrr).alias("sum_3m"),
+            F.count(mrr).alias("rows_3m"),
+        )
+        .where(F.col("month") == newest)
+    )
 
     attributes = ctx.accounts.select("account_id", "account_name", "segment", "region", "industry")
     mrr, before = F.col("total_mrr"), F.col("before")
@@ -186,11 +188,32 @@ def health_distribution(health: DataFrame) -> DataFrame:
     return health.groupBy("health_status").agg(F.count("*").alias("count"))
 
 
-def at_risk(health: DataFrame, n: int = AT_RISK_ROWS) -> DataFrame:
-    """The ``n`` accounts with the lowest score, or first status without a score.
+def at_risk(health: DataFrame, n: int | None = None) -> DataFrame:
+    """Accounts from the lowest score on, or by status without a score; all or ``n`` of them.
 
-    Equal scores are ordered by account_id. A frame with neither column yields its
-    first ``n`` accounts.
+    Equal scores are ordered by account_id, as is a frame with neither column.
     """
     order = [c for c in ("health_score", "health_status") if c in health.columns][:1]
-    return health.orderBy(*(F.col(c).asc_nulls_last() for c in order), "account_id").limit(n)
+    ordered = health.orderBy(*(F.col(c).asc_nulls_last() for c in order), "account_id")
+    return ordered if n is None else ordered.limit(n)
+
+
+def health_snapshot(
+    ctx: Context,
+    start: date,
+    end: date,
+    filt: DimFilter = EVERYTHING,
+) -> DataFrame:
+    """The stored snapshot's newest month in the range if it has rows there, else the computed one.
+
+    Columns are account_id, health_score and health_status, which both have.
+    """
+    shown = ["account_id", "health_score", "health_status"]
+    computed = computed_health(ctx, start, end, filt).select(*shown)
+    if ctx.health is None:
+        return computed
+    kept = filt.apply(latest_snapshot(ctx.health, start, end), ctx.accounts, ctx.reps, "owner_rep_id")
+    kept = kept.select(*(F.col(c).cast(computed.schema[c].dataType).alias(c) for c in shown))
+    # One row or none decides, so neither branch runs for nothing.
+    found = kept.limit(1).agg(F.count("*") > 0).scalar()
+    return kept.unionByName(computed.where(~found))

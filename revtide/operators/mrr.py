@@ -14,6 +14,7 @@ from revtide.operators.filters import (
     Context,
     DimFilter,
     newest_month,
+    newest_rows,
     scoped_mrr,
 )
 
@@ -149,11 +150,12 @@ def top_movers(
     The result is a pair (expansions, contractions); equal changes are ordered by
     account_id. Account attributes are looked up for the ``n`` winners only.
     """
-    rows = scoped_mrr(ctx, start, end, filt)
+    # Rows of the two newest months are among each account's two newest rows.
+    rows = newest_rows(scoped_mrr(ctx, start, end, filt), 2)
     newest = newest_month(rows)
     month, mrr = F.col("month"), F.col("total_mrr")
     pair = (
-        rows.where((month <= newest) & (month >= F.add_months(newest, -1)))
+        rows.where(month >= F.add_months(newest, -1))
         .groupBy("account_id")
         .agg(
             zero_if_null(F.max(F.when(month == newest, mrr))).alias("current"),

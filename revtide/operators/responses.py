@@ -48,7 +48,7 @@ def _restored(text: Column) -> Column:
 
 def normalised(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
     """``whole``: trimmed text without outer quotes and ``#``, escaped breaks restored."""
-    trimmed = df.select(*keep, _strip(F.coalesce(text_col, F.lit(""))).alias("trimmed"))
+    trimmed = df.select(*keep, _strip(F.translate(F.coalesce(text_col, F.lit("")), _BEFORE[:2], "")).alias("trimmed"))
     return trimmed.select(*keep, _restored(_unquoted(F.col("trimmed"))).alias("whole"))
 
 

@@ -136,6 +136,11 @@ class MartContext:
     def tickets(self) -> DataFrame:
         return self._marts.raw["support_tickets"]
 
+    @property
+    def health(self) -> None:
+        """Marts store no monthly snapshot of health."""
+        return None
+
 
 MART_NAMES = (
     "fct_mrr",
@@ -204,4 +209,5 @@ def context_of(tables: Mapping[str, DataFrame | None]) -> Context:
         reps=tables.get("sales_reps"),
         history=tables.get("stage_history"),
         tickets=tables.get("support_tickets"),
+        health=tables.get("health_snapshot"),
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from datetime import date
 
+from revtide.operators.evidence import GROUNDING_RULE, PIPELINE_RULE, RETENTION_RULE
 from revtide.plans import queries as q
 from revtide.schemas import LOADED_TABLES
 
@@ -45,9 +46,9 @@ select cast(c_custkey as varchar(50)) as contact_id, cast(c_custkey as varchar(5
 from customer
 """,
     "dim_date": """
-with d as (select * from (values (0),(1),(2),(3),(4),(5),(6),(7),(8),(9)) t(d)),
-n as (select 1000*a.d + 100*b.d + 10*c.d + e.d as n from d a cross join d b cross join d c cross join d e),
-x as (select n, date '1995-01-01' + cast(n as int) as date from n where n < 2496)
+with o as (select min(cast(o_orderdate as date)) as lo, max(cast(o_orderdate as date)) as hi from orders),
+g as (select cast(unnest(generate_series(date_trunc('month', lo), cast(last_day(hi + interval 2 month) as timestamp), interval 1 day)) as date) as date from o),
+x as (select date, date_diff('day', date '1995-01-01', date) as n from g)
 select date, cast(year(date) as int) as year, cast(quarter(date) as int) as quarter,
   cast(month(date) as int) as month,
   make_date(cast(year(date) as int), cast(month(date) as int), 1) as month_start,
@@ -429,40 +430,61 @@ from arr x join arr y on x.pos = 1 and y.pos = 3 where x.total_arr < y.total_arr
 """
 
 
+def _assessment(r: str) -> str:
+    return (
+        f"case when {r} is null then 'unknown' when {r} < 3 then 'low' when {r} < 6 then 'healthy'"
+        f" when {r} < 10 then 'strong' else 'very high (validate denominator)' end"
+    )
+
+
 def _evidence() -> str:
     arr, ret = _arr(q.START, q.END), _retention(q.START, q.END)
-    closed = _closed_series(q.START, q.END)
+    closed, stage = _closed_series(q.START, q.END), _by_stage()
     steps = {
         "a": _newest(arr, "month", "total_arr", {"total_arr": "v"}),
         "r": _newest(ret, "month", "start_mrr", {"nrr_pct": "n", "grr_pct": "g"}),
         "w": _newest(closed, "close_month", "total_closed_revenue", {"win_rate_pct": "v"}),
         "c": _coverage(q.START, q.END),
+        "h": f"select max(month) as m from ({_with(ret)}) where start_mrr > 0",
         "d": _quality(False, q.COHORT, q.END),
-        "arr": f"select total_arr as v, row_number() over (order by month desc) as pos from ({arr})",
-        "ret": f"select end_mrr as v, row_number() over (order by month desc) as pos from ({ret})",
-        "clo": "select total_closed_revenue as v, row_number() over (order by close_month desc) as pos"
-        f" from ({closed})",
-        "st": f"select max(open_pipeline) as v from ({_by_stage()})",
-        "up": "select mrr_delta as v, row_number() over (order by mrr_delta desc) as pos"
-        f" from ({_movers(q.START, q.END, 'desc')})",
-        "dn": "select mrr_delta as v, row_number() over (order by mrr_delta) as pos"
-        f" from ({_movers(q.START, q.END, 'asc')})",
     }
-    sources = (
-        ("v_latest", "a"), ("v_delta", "a"), ("n_latest", "r"), ("g_latest", "r"),
-        ("v_latest", "w"), ("v_delta", "w"), ("pipeline_coverage_ratio", "c"),
+    singles = (
+        (str(q.TARGET_X), "(select 1)"), ("v_latest", "a"), ("v_delta", "a"), ("n_latest", "r"),
+        ("g_latest", "r"), ("v_latest", "w"), ("v_delta", "w"), ("pipeline_coverage_ratio", "c"),
         ("total_open_pipeline", "c"), ("avg_3m_closed_revenue", "c"), ("cohort_accounts", "d"),
-        ("next_month_accounts", "d"), ("next_month_coverage_pct", "d"),
-        ("v", "arr where pos = 12"), ("v", "arr where pos = 1"), ("v", "ret where pos = 12"),
-        ("v", "clo where pos = 1"), ("v", "st"), ("v", "up where pos = 1"), ("v", "up where pos = 5"),
-        ("v", "dn where pos = 1"), ("v", "dn where pos = 5"),
+        ("next_month_accounts", "d"), ("next_month_coverage_pct", "d"), ("coverage_threshold_pct", "d"),
     )
-    rows = "\nunion all ".join(
-        f"select '{field}' as field, cast({column} as double) as value from {source}"
-        for field, (column, source) in zip(q.EVIDENCE_FIELDS, sources, strict=True)
+    texts = (
+        (f"'{q.START} to {q.END}'", "(select 1)"), (f"'{q.START}'", "(select 1)"), (f"'{q.END}'", "(select 1)"),
+        ("cast(m as varchar)", "h"), (_assessment("pipeline_coverage_ratio"), "c"),
+        ("cast(retention_interpretable as varchar)", "d"), ("retention_note", "d"),
+        *((f"'{x.replace(chr(39), chr(39) * 2)}'", "(select 1)") for x in (GROUNDING_RULE, RETENTION_RULE, PIPELINE_RULE)),
     )
-    ctes = ",\n".join(f"{name} as ({_with(body)})" for name, body in steps.items())
-    return f"with {ctes}\n{rows}"
+    #: Of each list: its rows, in the document's order.
+    lists = {
+        "series.arr_trend_last_12": (arr, "month desc", "month desc"),
+        "series.retention_last_12": (ret, "month desc", "month desc"),
+        "series.closed_rev_last_12": (closed, "close_month desc", "close_month desc"),
+        "pipeline.coverage_row": (_coverage(q.START, q.END), "1", None),
+        "pipeline.open_by_stage_top_8": (stage, "open_pipeline desc nulls last, current_stage", None),
+        "mrr_movement.movement_summary": (_summary(q.START, q.END), "movement_type", None),
+        "mrr_movement.top_expansions": (_movers(q.START, q.END, "desc"), "mrr_delta desc, account_id", None),
+        "mrr_movement.top_contractions": (_movers(q.START, q.END, "asc"), "mrr_delta, account_id", None),
+    }
+    rows = [f"select '{f}' as field, cast({x} as double) as value, cast(null as varchar) as text from {source}" for f, (x, source) in zip(q.EVIDENCE_NUMBERS, singles, strict=True)]
+    rows += [f"select '{f}', cast(null as double), {x} from {source}" for f, (x, source) in zip(q.EVIDENCE_TEXTS, texts, strict=True)]
+    for k, (path, (n, figures, name)) in enumerate(q.EVIDENCE_LISTS.items()):
+        body, order, newest_first = lists[path]
+        steps[f"l{k}"] = f"select *, row_number() over (order by {order}) as pos, count(*) over () as n from ({_with(body)})"
+        place = f"least(n, {n}) - pos" if newest_first else "pos - 1"
+        where = f"from l{k} where pos <= {n}"
+        field = f"'{path}[' || ({place}) || '].{{}}'"
+        rows += [f"select {field.format(x)}, cast({x} as double), cast(null as varchar) {where}" for x in figures]
+        if name:
+            text = f"strftime({name}, '%Y-%m-%dT00:00:00.000')" if name.endswith("MONTH") else name
+            rows.append(f"select {field.format(name)}, cast(null as double), {text} {where}")
+    ctes = ",\n".join(f"{name} as materialized ({_with(body)})" for name, body in steps.items())
+    return f"with {ctes}\nselect * from (" + "\nunion all ".join(rows) + ")\nwhere value is not null or text is not null"
 
 
 def _quality(strict: bool, cohort: date, end: date) -> str:
@@ -542,7 +564,8 @@ with raw as (select conv_id, turn, case cast(turn % 4 as int)
       || '  2.second risk' || chr(10) || 'no number\\n3.   third risk ' || chr(10)
       || 'Recommended Actions:' || chr(10) || '10. ' || text || '"'
     when 2 then 'intro' || chr(10) || 'Key Risks:' || chr(10) || '1. first' || chr(10)
-      || 'key risks:' || chr(10) || '## 1. ' || text end as reply
+      || 'key risks:' || chr(10) || '## 1. ' || text
+    else chr(39) || text || chr(39) end as reply
   from conversations),
 trimmed as (select conv_id, turn, {trim.format("coalesce(reply, '')")} as t from raw),
 unquoted as (select conv_id, turn, case
@@ -753,9 +776,7 @@ where month = (select max(month) from mrr_cents where {_months_until(q.END)})
         {"win_rate_pct": "win_rate"},
     ),
     "coverage_assessment": f"""
-select current_stage, r as ratio, case when r is null then 'unknown' when r < 3 then 'low'
-  when r < 6 then 'healthy' when r < 10 then 'strong'
-  else 'very high (validate denominator)' end as assessment
+select current_stage, r as ratio, {_assessment('r')} as assessment
 from (select current_stage, round(open_pipeline / weighted_pipeline * 2, 4) as r
   from ({_by_stage()}))
 """,
@@ -797,9 +818,13 @@ union all select month, 'grr_pct', grr_pct from ({_retention(q.START, q.END)})
 """,
 }
 
+BODIES["health_snapshot"] = f"""
+select account_id, health_score, health_status from ({BODIES["fct_account_health"]})
+"""
+
 ORACLE_SQL: dict[str, str] = {
     **{name: _with(body) for name, body in BODIES.items()},
     "kpi_alerts": _alerts().strip(),
-    "evidence_pack_fields": _evidence(),
+    "evidence_pack": _evidence(),
     "response_sections": _replies().strip(),
 }

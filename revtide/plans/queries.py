@@ -37,6 +37,8 @@ AS_OF = date(2001, 9, 1)
 COHORT = date(2001, 7, 1)
 ACCOUNT_ID = "7"
 TARGET_X = 3.0
+# Rows of the lists that show a few only.
+ACCOUNT_ROWS, AT_RISK_ROWS = 200, 50
 OWNER_FILTER = DimFilter(
     segments=("BUILDING", "MACHINERY", "AUTOMOBILE"),
     regions=("ASIA", "EUROPE", "AMERICA"),
@@ -139,6 +141,7 @@ def _replies(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("turn") % 4 == 0, text)
         .when(F.col("turn") % 4 == 1, full)
         .when(F.col("turn") % 4 == 2, partial)
+        .otherwise(F.concat(F.lit("'"), text, F.lit("'")))
     )
     return turns.select("conv_id", "turn", reply.alias("reply"))
 
@@ -167,7 +170,18 @@ def _evidence_pack(spark: SparkSession, folder: str) -> DataFrame:
     return evidence.evidence_pack(kept, START, END, target_x=TARGET_X)
 
 
-EVIDENCE_FIELDS = (
+def _health_snapshot(marts: Marts) -> DataFrame:
+    """The health mart as the snapshot of the last month; it has rows, so it is shown."""
+    ctx = marts.context()
+    stored_health = marts.fct_account_health.withColumn("month", F.lit(END))
+    kept = Context(ctx.mrr, ctx.pipeline, ctx.accounts, ctx.reps, tickets=ctx.tickets, health=stored_health)
+    return health.health_snapshot(kept, START, END)
+
+
+# The evidence document's fields, numbers and texts; [*] stands for 12, 8
+# or 5 places of a list.
+EVIDENCE_NUMBERS = (
+    "benchmarks.pipeline_coverage_target_x",
     "metrics.arr_latest",
     "metrics.arr_delta_mom",
     "metrics.nrr_pct",
@@ -180,28 +194,59 @@ EVIDENCE_FIELDS = (
     "data_quality.cohort_accounts",
     "data_quality.next_month_accounts",
     "data_quality.next_month_coverage_pct",
-    "series.arr_trend_last_12[0].TOTAL_ARR",
-    "series.arr_trend_last_12[11].TOTAL_ARR",
-    "series.retention_last_12[0].END_MRR",
-    "series.closed_rev_last_12[11].TOTAL_CLOSED_REVENUE",
-    "pipeline.open_by_stage_top_8[0].OPEN_PIPELINE",
-    "mrr_movement.top_expansions[0].MRR_DELTA",
-    "mrr_movement.top_expansions[4].MRR_DELTA",
-    "mrr_movement.top_contractions[0].MRR_DELTA",
-    "mrr_movement.top_contractions[4].MRR_DELTA",
+    "data_quality.coverage_threshold_pct",
+)
+EVIDENCE_TEXTS = (
+    "time_window",
+    "filters.start_date",
+    "filters.end_date",
+    "filters.retention_cohort_month",
+    "metrics.pipeline_coverage_assessment",
+    "data_quality.retention_interpretable",
+    "data_quality.retention_note",
+    "rules.grounding_rule",
+    "rules.retention_rule",
+    "rules.pipeline_rule",
 )
+EVIDENCE_LISTS = {
+    "series.arr_trend_last_12": (12, ("TOTAL_ARR",), "MONTH"),
+    "series.retention_last_12": (12, ("START_MRR", "END_MRR", "NRR_PCT", "GRR_PCT"), "MONTH"),
+    "series.closed_rev_last_12": (
+        12,
+        ("TOTAL_CLOSED_REVENUE", "WIN_RATE_PCT", "AVG_SALES_CYCLE_DAYS"),
+        "CLOSE_MONTH",
+    ),
+    "pipeline.coverage_row": (
+        1,
+        ("TOTAL_OPEN_PIPELINE", "AVG_3M_CLOSED_REVENUE", "PIPELINE_COVERAGE_RATIO"),
+        None,
+    ),
+    "pipeline.open_by_stage_top_8": (8, ("OPEN_PIPELINE",), "CURRENT_STAGE"),
+    "mrr_movement.movement_summary": (5, ("ROWS_COUNT", "NET_MRR_CHANGE"), "MOVEMENT_TYPE"),
+    "mrr_movement.top_expansions": (5, ("MRR_CURR", "MRR_PREV", "MRR_DELTA"), "ACCOUNT_ID"),
+    "mrr_movement.top_contractions": (5, ("MRR_CURR", "MRR_PREV", "MRR_DELTA"), "ACCOUNT_ID"),
+}
 
 
 def _evidence_fields(spark: SparkSession, folder: str) -> DataFrame:
-    """(field, value): figures read back from the evidence document."""
-    fields = [
-        F.struct(
-            F.lit(path).alias("field"),
-            F.get_json_object("pack_json", f"$.{path}").cast("double").alias("value"),
-        )
-        for path in EVIDENCE_FIELDS
-    ]
-    return _evidence_pack(spark, folder).select(F.inline(F.array(*fields)))
+    """(field, value, text): the evidence document read back leaf by leaf, without nulls."""
+    numbers, texts = list(EVIDENCE_NUMBERS), list(EVIDENCE_TEXTS)
+    for path, (n, figures, name) in EVIDENCE_LISTS.items():
+        for k in range(n):
+            numbers += [f"{path}[{k}].{x}" for x in figures]
+            texts += [f"{path}[{k}].{name}"] if name else []
+    leaf = F.expr("get_json_object(pack_json, concat('$.', field))")
+    number = F.col("is_number")
+    fields = F.array(
+        *(F.struct(F.lit(x).alias("field"), F.lit(True).alias("is_number")) for x in numbers),
+        *(F.struct(F.lit(x).alias("field"), F.lit(False).alias("is_number")) for x in texts),
+    )
+    return (
+        _evidence_pack(spark, folder)
+        .select("pack_json", F.inline(fields))
+        .select("field", F.when(number, leaf.cast("double")).alias("value"), F.when(~number, leaf).alias("text"))
+        .where("value is not null or text is not null")
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -218,9 +263,11 @@ QUERIES: dict[str, Query] = {
         lambda c: filters.account_mrr(c, START, END, account_id=ACCOUNT_ID)
     ),
     "account_opportunities": _on_context(
-        lambda c: filters.account_opportunities(c.pipeline, ACCOUNT_ID)
+        lambda c: filters.account_opportunities(c.pipeline, ACCOUNT_ID, n=ACCOUNT_ROWS)
+    ),
+    "account_tickets": _on_context(
+        lambda c: filters.account_tickets(c.tickets, ACCOUNT_ID, n=ACCOUNT_ROWS)
     ),
-    "account_tickets": _on_context(lambda c: filters.account_tickets(c.tickets, ACCOUNT_ID)),
     # Revenue marts.
     "fct_mrr": _on_marts(lambda m: m.fct_mrr),
     "fct_mrr_enriched": _on_marts(lambda m: m.fct_mrr_enriched),
@@ -294,8 +341,9 @@ QUERIES: dict[str, Query] = {
     "health_distribution": _on_context(
         lambda c: health.health_distribution(health.computed_health(c, START, END))
     ),
+    "health_snapshot": _on_marts(_health_snapshot),
     "at_risk_accounts": _on_context(
-        lambda c: health.at_risk(health.computed_health(c, START, END))
+        lambda c: health.at_risk(health.computed_health(c, START, END), n=AT_RISK_ROWS)
     ),
     "retention_quality": _on_context(
         lambda c: retention.retention_quality(c, START, END, filters.EVERYTHING, COHORT)
@@ -307,8 +355,7 @@ QUERIES: dict[str, Query] = {
     ),
     "quality_checks": _on_context(quality.quality_checks),
     "display_formats": _on_marts(_formats),
-    "evidence_pack": _evidence_pack,
-    "evidence_pack_fields": _evidence_fields,
+    "evidence_pack": _evidence_fields,
     "retention_series_long": _on_context(
         lambda c: kpi.melt_series(
             retention.retention_trend(c, START, END), "month", ["nrr_pct", "grr_pct"]

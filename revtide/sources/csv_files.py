@@ -61,6 +61,9 @@ def _typed(table: str, name: str, kind: str) -> Column:
     if kind == "int":
         # "12.0", as exports of nullable integers write it, is a valid integer.
         value = F.round(text.try_cast("decimal(38,6)"), 0).try_cast("int")
+    elif kind == "date":
+        # try_cast also takes "2024" and "2024-02".
+        value = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast(kind))
     else:
         value = text.try_cast(kind)
     problem = F.concat(F.lit(f"{table}.{name} is not a valid {kind}: "), text)
@@ -69,14 +72,20 @@ def _typed(table: str, name: str, kind: str) -> Column:
     )
 
 
-def load_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    return load_table(read_raw_csv(spark, path, table), table)
+def load_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
+    """The typed table of a file or a folder of files.
+
+    Quoted fields may hold line breaks, so a file is read by one task; a large table
+    comes as a folder of files. Without such breaks, ``multi_line=False`` splits files.
+    """
+    return load_table(read_raw_csv(spark, path, table, multi_line=multi_line), table)
 
 
-def load_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The loaded tables by name, each from ``<folder>/<table>.csv``."""
+def load_folder(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, DataFrame]:
+    """The loaded tables by name, each from ``<folder>/<table>.csv``, a file or a folder."""
     return {
-        table: load_csv(spark, f"{folder}/{table}.csv", table) for table in schemas.LOADED_TABLES
+        table: load_csv(spark, f"{folder}/{table}.csv", table, multi_line)
+        for table in schemas.LOADED_TABLES
     }
 
 

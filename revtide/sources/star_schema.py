@@ -13,8 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CALENDAR_FIRST = "1995-01-01"
-CALENDAR_LAST = "2001-10-31"
+#: Full months that the calendar goes on after the month of the last order.
+CALENDAR_MONTHS_AFTER = 2
+#: A Sunday; weekdays are counted from it.
+FIRST_SUNDAY = "1995-01-01"
 SUBSCRIPTION_MONTHS = 12
 
 Reader = Callable[[str], DataFrame]
@@ -95,10 +97,12 @@ def contacts(read: Reader) -> DataFrame:
     )
 
 
-def dim_date(spark: SparkSession) -> DataFrame:
-    first, last = (F.lit(d).cast("date") for d in (CALENDAR_FIRST, CALENDAR_LAST))
-    days = spark.range(1).select(F.posexplode(F.sequence(first, last)).alias("n", "date"))
-    weekday = F.col("n") % 7
+def dim_date(read: Reader) -> DataFrame:
+    """Every day from the first order's month to the second month after the last order's."""
+    seen = read("orders").agg(F.min(_order_day()).alias("first"), F.max(_order_day()).alias("last"))
+    last = F.last_day(F.add_months("last", CALENDAR_MONTHS_AFTER))
+    days = seen.select(F.explode(F.sequence(F.trunc("first", "MM"), last)).alias("date"))
+    weekday = F.pmod(F.datediff("date", F.lit(FIRST_SUNDAY).cast("date")), F.lit(7))
     return days.select(
         "date",
         F.year("date").alias("year"),
@@ -225,7 +229,7 @@ def subscription_monthly_mrr(read: Reader) -> DataFrame:
     last_day = orders.agg(F.max(_order_day())).scalar()
     months = F.sequence(F.lit(0), F.lit(SUBSCRIPTION_MONTHS - 1))
     return (
-        _spread(orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+        orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
         .select(
             _key("o_orderkey").alias("subscription_id"),
             _key("o_custkey").alias("account_id"),
@@ -246,15 +250,6 @@ def subscription_monthly_mrr(read: Reader) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a scan has fewer tasks than that, as for one small file.
-
-    A large table has more scan tasks than the cluster has cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def invoices(read: Reader) -> DataFrame:
     return read("orders").select(
         _key("o_orderkey").alias("invoice_id"),
@@ -290,6 +285,7 @@ DERIVED: dict[str, Callable[[Reader], DataFrame]] = {
     "sales_reps": sales_reps,
     "products": products,
     "contacts": contacts,
+    "dim_date": dim_date,
     "opportunities": opportunities,
     "opportunity_stage_history": opportunity_stage_history,
     "activities": activities,
@@ -314,8 +310,6 @@ class RawTables:
         )
 
     def __getitem__(self, table: str) -> DataFrame:
-        if table == "dim_date":
-            return self._once(table, lambda: dim_date(self.spark))
         return self._once(table, lambda: DERIVED[table](self.source))
 
     def _once(self, name: str, declare: Callable[[], DataFrame]) -> DataFrame:

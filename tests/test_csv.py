@@ -97,3 +97,16 @@ def test_export_round_trip(spark, frame, tmp_path):
     export_csv(df, path)
     back = spark.read.option("header", True).option("escape", '"').csv(path)
     assert {tuple(r) for r in back.collect()} == {('a,"b"', "1"), ("c", None)}
+
+
+def test_line_break_in_quotes(spark, csv):
+    path = csv(PRODUCTS + '1,"two\nlines",x,1,true\n2,one,y,2,false\n')
+    rows = load_csv(spark, path, "products").orderBy("product_id").collect()
+    assert [r.product_name for r in rows] == ["two\nlines", "one"]
+
+
+@pytest.mark.parametrize("text", ["2024", "2024-02", "2024-02-30", "2024-2-3"])
+def test_partial_dates_are_refused(spark, csv, text):
+    path = csv(HISTORY + f"1,a,x,{text},NaT\n")
+    with pytest.raises(Exception, match="not a valid date"):
+        load_csv(spark, path, "opportunity_stage_history").collect()

@@ -233,3 +233,19 @@ def test_view_from_facts_equals_view_from_marts(spark, small):
         marts.metrics_pipeline_coverage,
     )
     assert from_marts.collect() == marts.v_gtm_metrics.collect()
+
+
+def test_account_lists_are_whole_by_default(spark):
+    from revtide.operators.filters import account_opportunities, account_tickets
+
+    deals = spark.range(201).selectExpr(
+        "cast(id as string) as opp_id", "'a' as account_id", "date'2024-01-01' as created_date", "null as close_date",
+        "'s' as current_stage", "0.5 as probability", "1 as amount", "false as is_closed", "false as is_won",
+    )
+    assert account_opportunities(deals, "a").count() == 201
+    assert account_opportunities(deals, "a", n=200).count() == 200
+    tickets = spark.range(201).selectExpr(
+        "cast(id as string) as ticket_id", "'a' as account_id", "date'2024-01-01' as created_date", "'o' as status",
+        "'p' as priority", "'c' as category", "'s' as subject",
+    )
+    assert account_tickets(tickets, "a").count() == 201

@@ -121,3 +121,25 @@ def test_latest_snapshot(frame):
                       ("b", date(2024, 5, 1), money(3))])
     got = h.latest_snapshot(mrr, date(2024, 1, 1), date(2024, 3, 1)).collect()
     assert [tuple(r) for r in got] == [("a", date(2024, 2, 1), money(2))]
+
+
+def test_stored_snapshot_or_computed(spark, small):
+    from datetime import date
+
+    from revtide.operators.filters import Context
+    from revtide.operators.health import computed_health, health_snapshot
+    from revtide.plans import queries as q
+
+    ctx = q._marts(spark, small).context()
+    account = ctx.accounts.first().account_id
+    schema = "account_id string, month date, health_score int, health_status string"
+    kept = [(account, date(2001, 7, 1), 3, "Old"), (account, q.END, 5, "New"), (account, date(2002, 1, 1), 9, "Later")]
+
+    def shown(rows):
+        stored = spark.createDataFrame(rows, schema)
+        own = Context(ctx.mrr, ctx.pipeline, ctx.accounts, ctx.reps, tickets=ctx.tickets, health=stored)
+        return sorted(map(tuple, health_snapshot(own, q.START, q.END).collect()))
+
+    assert shown(kept) == [(account, 5, "New")]
+    computed = computed_health(ctx, q.START, q.END).select("account_id", "health_score", "health_status")
+    assert shown(kept[2:]) == shown([]) == sorted(map(tuple, computed.collect()))

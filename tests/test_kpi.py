@@ -148,7 +148,7 @@ def test_evidence_pack(spark, small):
     from revtide.plans import queries as q
     from revtide.operators import deals, mrr, retention
 
-    row = q.QUERIES["evidence_pack"](spark, small)
+    row = q._evidence_pack(spark, small)
     assert row.columns == ["pack_json"]
     pack = json.loads(row.first().pack_json)
     assert list(pack) == ["time_window", "filters", "benchmarks", "metrics", "data_quality",

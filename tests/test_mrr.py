@@ -256,3 +256,24 @@ def test_retention_quality_without_cohort(ctx):
     empty = quality(ctx, date(2023, 1, 1))
     assert (empty.cohort_accounts, empty.next_month_coverage_pct) == (0, None)
     assert empty.retention_interpretable is False
+
+
+def test_calendar_follows_the_orders(spark, small, tmp_path):
+    """An order after all others keeps its revenue, and every month up to it is there."""
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from revtide.plans.marts import Marts
+    from revtide.sources.star_schema import RawTables
+
+    for name in ("customer", "nation", "region"):
+        spark.read.parquet(f"{small}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = spark.read.parquet(f"{small}/orders.parquet")
+    kind = orders.schema["o_orderdate"].dataType
+    late = orders.limit(1).withColumn("o_orderdate", F.lit("2003-05-17").cast("date").cast(kind))
+    orders.unionByName(late).write.parquet(f"{tmp_path}/orders.parquet")
+    dense = Marts(RawTables(spark, str(tmp_path)), date(2003, 6, 1)).fct_mrr_complete
+    months = {r.month: r.total for r in dense.groupBy("month").agg(F.sum("total_mrr").alias("total")).collect()}
+    assert max(months) == date(2003, 7, 1) and months[date(2003, 5, 1)] > 0
+    assert len(months) == (2003 - min(months).year) * 12 + 7

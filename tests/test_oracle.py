@@ -4,8 +4,8 @@ import pytest
 from compare import assert_same, open_database
 
 import __spark_entry__ as entry_points
-
-WITHOUT_SQL = {"evidence_pack"}
+from revtide.plans.oracle_sql import ORACLE_SQL
+from revtide.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +14,8 @@ def database(small):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
@@ -24,10 +25,9 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_same_rows(name, spark, small, database):
-    query = entry_points.queries()[name]
-    assert_same(query(spark, small), database, entry_points.oracle_sql()[name])
+    assert_same(QUERIES[name](spark, small), database, ORACLE_SQL[name])
 
 
 RAW = (
