@@ -55,29 +55,37 @@ def share(block: slice, size: int, least: float) -> float:
     return (2 - 2 * least) * (block.stop - block.start) / size
 
 
-def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as bytes; null where they can't be linked."""
-    for batch in batches:
-        out = []
-        for row, label, name in zip(batch.column("embedding").to_pylist(), batch.column("label"), batch.column("vec_id")):
-            vector = None
-            if row and label.is_valid and name.is_valid and None not in row:
-                x = np.array(row, np.float64)
-                with np.errstate(over="ignore"):
-                    norm = x @ x
-                if np.isfinite(x).all() and 0 < norm < np.inf:
-                    vector = (x + 0.0).tobytes()
-            out.append(vector)
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(out, pa.binary())], ["vec_id", "label", "vector"])
-
-
-def _sliced(least: float):
+def _checked(kind: str):
+    """Vectors as bytes of their own kind of number; null where they can't be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row, label, name in zip(batch.column("embedding").to_pylist(), batch.column("label"), batch.column("vec_id")):
+                vector = None
+                if row and label.is_valid and name.is_valid and None not in row:
+                    x = np.array(row, np.float64)
+                    with np.errstate(over="ignore"):
+                        norm = x @ x
+                    if np.isfinite(x).all() and 0 < norm < np.inf:
+                        vector = (x + 0.0).astype(kind).tobytes()
+                out.append(vector)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(out, pa.binary())], ["vec_id", "label", "vector"])
+
+    return run
+
+
+def _numbers(column: pa.Array, size: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, size).astype(np.float64)
+
+
+def _sliced(least: float, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.array([len(x) // 8 for x in batch.column("vector").to_pylist()])
+            sizes = np.array([len(x) // int(kind[1]) for x in batch.column("vector").to_pylist()])
             for size in np.unique(sizes):
                 part = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                turned = rotated(np.frombuffer(b"".join(part.column("vector").to_pylist()), np.float64).reshape(-1, size))
+                turned = rotated(_numbers(part.column("vector"), size, kind))
                 for k, block in enumerate(blocks_of(size)):
                     home = np.floor(turned[:, block.start] / np.sqrt(share(block, size, least) + ROOM)).astype(np.int64)
                     for guest in (False, True):
@@ -96,12 +104,12 @@ def _sliced(least: float):
     return run
 
 
-def _joined(group: pa.Table, least: float) -> pa.RecordBatch | None:
+def _joined(group: pa.Table, least: float, kind: str) -> pa.RecordBatch | None:
     """Of each node that is linked in a pair of chunks: copies linked to, and a node it hangs on."""
     size, block = group.column("size")[0].as_py(), group.column("block")[0].as_py()
     left, right = group.column("left")[0].as_py(), group.column("right")[0].as_py()
     node, copies, chunk, guest = (group.column(c).to_numpy() for c in ("node", "copies", "chunk", "guest"))
-    vectors = np.frombuffer(b"".join(group.column("vector").to_pylist()), np.float64).reshape(-1, size)
+    vectors = _numbers(group.column("vector"), size, kind)
     lengths = np.sqrt((vectors * vectors).sum(1))
     turned = rotated(vectors)
     cuts = blocks_of(size)
@@ -138,13 +146,15 @@ def _joined(group: pa.Table, least: float) -> pa.RecordBatch | None:
 
 def embedding_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row of vectors (vec_id, embedding, label)."""
+    floats = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    kind = "f4" if floats else "f8"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    known = stored(rows.mapInArrow(_checked, "vec_id long, label string, vector binary"))
+    known = stored(rows.mapInArrow(_checked(kind), "vec_id long, label string, vector binary"))
     nodes = stored(
         known.where("vector is not null").distinct().groupBy("label", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     )
     sliced = nodes.select("label", "node", "copies", "vector").mapInArrow(
-        _sliced(least), "label string, node long, copies long, vector binary, size int, block int, slice long, guest boolean"
+        _sliced(least, kind), "label string, node long, copies long, vector binary, size int, block int, slice long, guest boolean"
     )
     place = ["label", "size", "block", "slice"]
     chunks = sliced.groupBy(*place).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.min("guest").alias("empty")).where("not empty")
@@ -158,7 +168,7 @@ def embedding_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, [*place, "left", "right"]):
-            out = _joined(group, least)
+            out = _joined(group, least, kind)
             if out is not None:
                 yield out
 
