@@ -116,8 +116,8 @@ def steps(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = S
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all texts and where each begins; null is empty."""
-    if column.type != pa.string():
+    """UTF-8 bytes of all texts, or the bytes of binary values, and where each begins; null is empty."""
+    if column.type not in (pa.string(), pa.binary()):
         column = column.cast(pa.string())
     if column.null_count:
         column = column.fill_null("")

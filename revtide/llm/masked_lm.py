@@ -2,7 +2,8 @@
 
 The words of the whole corpus are counted first. The most frequent ones are symbols of
 their own, the others share symbols by hash; within a symbol a word has its share of the
-counts, all words outside a list of the most frequent ones the same share. The network sums
+counts. The shares of the most frequent words travel with the tasks, those of all others
+come by a join with the counts, which stay distributed. The network sums
 position-wise embeddings of the symbols on both sides, passes them through tanh and a
 softmax over symbols. Every task trains a copy on masked words of its own part of the
 corpus by stochastic gradient descent; the copies are averaged by the words they have
@@ -37,7 +38,7 @@ WINDOW, SIZE = 2, 16
 #: One in so many words is masked for training, another one each round.
 MASKED, ROUNDS = 16, 2
 RATE, BATCH = 0.2, 512
-#: Words whose own counts are used; the others have their mean count.
+#: Words whose shares travel with the tasks; those of the others are joined. No result depends on it.
 LISTED = 20_000
 SEED = 5
 SHAPES = ((2 * WINDOW, SYMBOLS, SIZE), (SIZE, SYMBOLS), (SYMBOLS,))
@@ -51,8 +52,9 @@ class Vocabulary:
     hashes: np.ndarray
     symbols: np.ndarray
     shares: np.ndarray
-    #: Of each symbol: the share of a word that is not listed.
+    #: Of each symbol: the mean share of a word that is not listed, and the logarithm of its count.
     others: np.ndarray
+    totals: np.ndarray
 
 
 def _parameters() -> np.ndarray:
@@ -106,23 +108,66 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     with np.errstate(divide="ignore", invalid="ignore"):
         shares = np.where(np.arange(len(n)) < OWN, 0.0, np.log(n / totals[own]))
         others = np.where(left[1] > 0, np.log(left[0] / left[1] / totals), 0.0)
+        totals = np.where(totals > 0, np.log(totals), 0.0)
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], symbols[order], shares[order], others)
+    return Vocabulary(hashes[order], symbols[order], shares[order], others, totals)
 
 
 def _shared(words: np.ndarray) -> np.ndarray:
     return OWN + np.mod(words.view(np.int64) >> np.int64(7), SHARED)
 
 
-def _symbols(words: np.ndarray, known: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Symbol of each word and the logarithm of its share in it."""
+def _listed(words: np.ndarray, known: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbol of each word, whether it is listed, and the logarithm of its share in it or, if not, of 1 in all."""
     symbols = _shared(words)
-    shares = known.others[symbols]
-    if len(known.hashes):
-        at = np.minimum(np.searchsorted(known.hashes, words), len(known.hashes) - 1)
-        listed = known.hashes[at] == words
-        symbols, shares = np.where(listed, known.symbols[at], symbols), np.where(listed, known.shares[at], shares)
-    return symbols, shares
+    if not len(known.hashes):
+        return symbols, np.zeros(len(words), bool), -known.totals[symbols]
+    at = np.minimum(np.searchsorted(known.hashes, words), len(known.hashes) - 1)
+    listed = known.hashes[at] == words
+    symbols = np.where(listed, known.symbols[at], symbols)
+    return symbols, listed, np.where(listed, known.shares[at], -known.totals[symbols])
+
+
+def _symbols(words: np.ndarray, known: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Symbol of each word and the logarithm of its share in it, the mean one if it is not listed."""
+    symbols, listed, shares = _listed(words, known)
+    return symbols, np.where(listed, shares, known.others[symbols])
+
+
+def coded(docs: DataFrame, known: Vocabulary) -> DataFrame:
+    """Of each row a number of its own, its symbols (a byte each), the sum of the shares that
+    `known` tells, and its other words with how often each stands there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        for part in steps(batches):
+            words, bounds = _hashed(part)
+            symbols, listed, shares = _listed(words, known)
+            sums = np.concatenate([[0.0], np.cumsum(shares)])
+            at = np.flatnonzero(~listed)
+            doc, other = np.searchsorted(bounds, at, "right") - 1, words[at].view(np.int64)
+            order = np.lexsort((other, doc))
+            doc, other = doc[order], other[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (other[1:] != other[:-1]) | (doc[1:] != doc[:-1])
+            first = np.flatnonzero(new)
+            ends = pa.array(np.searchsorted(doc[first], np.arange(part.num_rows + 1)), pa.int32())
+            times = np.diff(np.append(first, len(at)))
+            offsets = pa.py_buffer(bounds.astype(np.int32))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "row": pa.array(row + np.arange(part.num_rows), pa.int64()),
+                    "doc_id": part.column("doc_id"),
+                    "symbols": pa.Array.from_buffers(pa.binary(), part.num_rows, [None, offsets, pa.py_buffer(symbols.astype(np.uint8))]),
+                    "shares": sums[bounds[1:]] - sums[bounds[:-1]],
+                    "words": pa.ListArray.from_arrays(ends, pa.array(other[first], pa.int64())),
+                    "times": pa.ListArray.from_arrays(ends, pa.array(times, pa.int64())),
+                }
+            )
+            row += part.num_rows
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "row long, doc_id long, symbols binary, shares double, words array<long>, times array<long>")
 
 
 def _around(symbols: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -220,23 +265,30 @@ def score(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, log_likelihood and mean_log_likelihood of each row of docs (doc_id, text)."""
     counts = stored(word_counts(docs))
     known = vocabulary(counts)
+    rows = stored(coded(docs, known))
     flat = learn(docs, known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parameters = _split(flat)
-        for part in steps(batches):
-            words, bounds = _hashed(part)
-            symbols, inside = _symbols(words, known)
-            found = np.empty(len(words))
-            for begin in range(0, len(words), 1 << 14):
-                at = np.arange(begin, min(begin + (1 << 14), len(words)))
+        for part in steps(batches, "symbols"):
+            symbols, bounds = text_bytes(part.column("symbols"))
+            found = np.empty(len(symbols))
+            for begin in range(0, len(symbols), 1 << 11):
+                at = np.arange(begin, min(begin + (1 << 11), len(symbols)))
                 _, logits = _forward(parameters, _around(symbols, bounds, at))
                 found[at] = logits[np.arange(len(at)), symbols[at]] - np.log(np.exp(logits).sum(1))
-            sums = np.concatenate([[0.0], np.cumsum(found + inside)])
-            score_, n = sums[bounds[1:]] - sums[bounds[:-1]], np.diff(bounds)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n), pa.array(score_), pa.array(score_ / np.maximum(n, 1))], ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"]
+            sums = np.concatenate([[0.0], np.cumsum(found)])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "row": part.column("row"),
+                    "doc_id": part.column("doc_id"),
+                    "n_words": np.diff(bounds),
+                    "told": sums[bounds[1:]] - sums[bounds[:-1]] + part.column("shares").to_numpy(),
+                }
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+    told = rows.select("row", "doc_id", "symbols", "shares").mapInArrow(run, "row long, doc_id long, n_words long, told double")
+    others = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
+    own = others.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("own"))
+    score_ = told.join(own, "row", "left").select("doc_id", "n_words", (F.col("told") + F.coalesce("own", F.lit(0.0))).alias("log_likelihood"))
+    return score_.withColumn("mean_log_likelihood", F.col("log_likelihood") / F.greatest("n_words", F.lit(1)))

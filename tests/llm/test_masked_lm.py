@@ -1,8 +1,10 @@
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from revtide.llm import masked_lm as lm
@@ -58,5 +60,39 @@ def test_scores_as_word_by_word(corpus, monkeypatch):
     assert np.bincount(symbols, np.exp(shares))[np.unique(symbols)] == pytest.approx(1)
 
 
+def test_every_word_has_its_own_count(spark, monkeypatch):
+    rng = random.Random(2)
+    frequent = [f"f{k}" for k in range(lm.OWN)]
+    others = [f"x{k}" for k in range(400)]
+    rows = [(k, " ".join(rng.choices(frequent, k=300) + rng.choices(others, [1 + j % 5 for j in range(400)], k=40))) for k in range(60)]
+    counts = Counter(w for _, t in rows for w in t.split())
+    rare = [w for w in others if counts[w]]
+    # Texts of one word each, which the network tells apart by symbol only.
+    rows += [(1000 + k, w) for k, w in enumerate(rare)] + [(5000, f"{rare[0]} {rare[0]} {rare[1]}")]
+    counts.update(w for _, t in rows[60:] for w in t.split())
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4, "doc_id")
+    whole = {r.doc_id: r.log_likelihood for r in lm.score(docs).collect()}
+    monkeypatch.setattr(lm, "LISTED", lm.OWN)
+    made = {r.doc_id: r.log_likelihood for r in lm.score(docs).collect()}
+    assert made == pytest.approx(whole, abs=1e-3)
+    symbol = {r.text: lm._shared(np.array([r.word]).view(np.uint64))[0] for r in _word_numbers(rare)}
+    groups = {}
+    for k, w in enumerate(rare):
+        groups.setdefault(symbol[w], []).append((made[1000 + k], counts[w]))
+    pairs = [(a, b) for g in groups.values() for a, b in zip(g, g[1:])]
+    assert any(a[1] != b[1] for a, b in pairs)
+    assert all(a[0] - b[0] == pytest.approx(math.log(a[1] / b[1]), abs=1e-3) for a, b in pairs)
+
+
+def _word_numbers(words):
+    """Each word with its hash."""
+    rows = []
+    for w in words:
+        data, offsets = lm.text_bytes(pa.array([w]))
+        starts, ends, _ = lm.word_spans(data, offsets)
+        rows.append(SimpleNamespace(text=w, word=int(lm.word_hashes(data, starts, ends).view(np.int64)[0])))
+    return rows
+
+
 def test_empty_table(spark):
     assert lm.score(spark.createDataFrame([], "doc_id long, text string")).collect() == []
