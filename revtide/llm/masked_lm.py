@@ -7,11 +7,12 @@ come by a join with the counts, which stay distributed. The network sums
 position-wise embeddings of the symbols on both sides, passes them through tanh and a
 softmax over symbols. Every task trains a copy on masked words of its own part of the
 corpus by stochastic gradient descent; the copies are averaged by the words they have
-seen, and the next round starts from the average. A document's score is the sum of its
+seen, and the next round, which masks other words, starts from the average. After all
+rounds every word of the corpus has been masked once. A document's score is the sum of its
 words' conditional log-probabilities.
 
-Every document trains and is scored; masked words are a fixed share of all, so the work
-and what is gathered grow with the corpus. Defined results. Null or empty text: 0 words
+Every word of every document trains and is scored, so the work and what is gathered grow
+with the corpus. Defined results. Null or empty text: 0 words
 and a score of 0. Null id and repeated rows: scored like any other row. Empty table: no
 rows. Other columns are not read.
 """
@@ -35,14 +36,18 @@ SYMBOLS = OWN + SHARED + 1
 OUTSIDE = SYMBOLS - 1
 #: Words on each side, size of embeddings and of the hidden layer.
 WINDOW, SIZE = 2, 16
-#: One in so many words is masked for training, another one each round.
-MASKED, ROUNDS = 16, 2
+#: Each word is masked for training in one of so many rounds.
+ROUNDS = 2
 RATE, BATCH = 0.2, 512
 #: Words whose shares travel with the tasks; those of the others are joined. No result depends on it.
 LISTED = 20_000
+#: Symbols that one numpy step works on.
+CODED_BYTES = 1 << 19
 SEED = 5
 SHAPES = ((2 * WINDOW, SYMBOLS, SIZE), (SIZE, SYMBOLS), (SYMBOLS,))
-_SALT = random_odd(21, ROUNDS)
+_SALT = random_odd(21, 1)[0]
+#: Of each window place and coordinate: where it is in the embeddings, at symbol 0.
+_CELLS = (np.arange(2 * WINDOW) * SYMBOLS * SIZE)[:, None] + np.arange(SIZE)
 
 
 @dataclass
@@ -195,29 +200,39 @@ def trained(flat: np.ndarray, symbols: np.ndarray, around: np.ndarray, rate: flo
     embeddings, out, bias = parameters = _split(flat)
     for begin in range(0, len(symbols), BATCH):
         target, near = symbols[begin : begin + BATCH], around[begin : begin + BATCH]
-        hidden, logits = _forward(parameters, near)
-        error = np.exp(logits)
-        error /= error.sum(1, keepdims=True)
-        error[np.arange(len(target)), target] -= 1
-        error *= rate / len(target) ** 0.5
+        hidden, error = _forward(parameters, near)
+        step = np.float32(rate / len(target) ** 0.5)
+        np.exp(error, out=error)
+        error *= step / error.sum(1, keepdims=True)
+        error[np.arange(len(target)), target] -= step
         back = (error @ out.T) * (1 - hidden * hidden)
         out -= hidden.T @ error
         bias -= error.sum(0)
-        for k in range(2 * WINDOW):
-            chosen = np.zeros((len(target), SYMBOLS), np.float32)
-            chosen[np.arange(len(target)), near[:, k]] = 1
-            embeddings[k] -= chosen.T @ back
+        cells = near[:, :, None] * SIZE + _CELLS
+        sums = np.bincount(cells.ravel(), np.broadcast_to(back[:, None], cells.shape).ravel(), embeddings.size)
+        embeddings -= sums.reshape(embeddings.shape).astype(np.float32)
     return flat
 
 
 def learn(docs: DataFrame, known: Vocabulary) -> np.ndarray:
     """The network's parameters after ROUNDS rounds over the corpus."""
+    return _learned(stored(coded(docs, known)))
+
+
+def _learned(rows: DataFrame) -> np.ndarray:
     flat = _parameters()
     for k in range(ROUNDS):
-        flat = _averaged(docs, known, flat, k)
+        flat = _averaged(rows, flat, k)
     return flat
 
 
+def masked(rows: np.ndarray, bounds: np.ndarray, k: int) -> np.ndarray:
+    """The words masked in round k; bounds are those of the rows' words."""
+    sizes = np.diff(bounds)
+    place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], sizes)
+    return np.flatnonzero(mixed(np.repeat(rows.astype(np.uint64) * _SALT, sizes) + place.astype(np.uint64)) % np.uint64(ROUNDS) == k)
+
+
 def _rows(sums: dict[int, tuple], salt: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
         {
@@ -229,14 +244,12 @@ def _rows(sums: dict[int, tuple], salt: int) -> pa.RecordBatch:
     )
 
 
-def _averaged(docs: DataFrame, known: Vocabulary, start: np.ndarray, k: int) -> np.ndarray:
+def _averaged(coded_rows: DataFrame, start: np.ndarray, k: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, seen = start, 0
-        for part in steps(batches):
-            words, bounds = _hashed(part)
-            symbols, _ = _symbols(words, known)
-            place = np.arange(len(words)).astype(np.uint64)
-            at = np.flatnonzero(mixed(words * _SALT[k] + place) % np.uint64(MASKED) == 0)
+        for part in steps(batches, "symbols", CODED_BYTES):
+            symbols, bounds = text_bytes(part.column("symbols"))
+            at = masked(part.column("row").to_numpy(), bounds, k)
             flat = trained(flat, symbols[at], _around(symbols, bounds, at), RATE / (k + 1))
             seen += len(at)
         if seen:
@@ -255,7 +268,7 @@ def _averaged(docs: DataFrame, known: Vocabulary, start: np.ndarray, k: int) ->
 
     kind = "part long, salt long, n long, sums array<double>"
     # Two steps, so that no task reads what all tasks of a large corpus have made.
-    rows = docs.select("text").mapInArrow(run, kind).repartition("part", "salt").mapInArrow(added, kind).repartition("part").mapInArrow(added, kind).collect()
+    rows = coded_rows.select("row", "symbols").mapInArrow(run, kind).repartition("part", "salt").mapInArrow(added, kind).repartition("part").mapInArrow(added, kind).collect()
     if not rows:
         return start
     return np.concatenate([np.array(r["sums"]) / r["n"] for r in sorted(rows, key=lambda r: r["part"])]).astype(np.float32)
@@ -266,11 +279,11 @@ def score(docs: DataFrame) -> DataFrame:
     counts = stored(word_counts(docs))
     known = vocabulary(counts)
     rows = stored(coded(docs, known))
-    flat = learn(docs, known)
+    flat = _learned(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parameters = _split(flat)
-        for part in steps(batches, "symbols"):
+        for part in steps(batches, "symbols", CODED_BYTES):
             symbols, bounds = text_bytes(part.column("symbols"))
             found = np.empty(len(symbols))
             for begin in range(0, len(symbols), 1 << 11):

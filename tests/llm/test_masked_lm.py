@@ -94,5 +94,19 @@ def _word_numbers(words):
     return rows
 
 
+def test_every_word_trains_once():
+    rows, bounds = np.array([7, 1 << 40, 3, 4]), np.array([0, 5000, 5000, 5001, 9000])
+    rounds = [lm.masked(rows, bounds, k) for k in range(lm.ROUNDS)]
+    assert sorted(np.concatenate(rounds)) == list(range(9000))
+    assert all(0.4 * 9000 < len(x) < 0.6 * 9000 for x in rounds)
+
+
+def test_coded_rows_hold_every_word(corpus):
+    rows = lm.coded(corpus, lm.vocabulary(lm.word_counts(corpus))).collect()
+    assert len({r.row for r in rows}) == len(rows) == 134
+    trained = sum(len(lm.masked(np.array([r.row]), np.array([0, len(r.symbols)]), k)) for r in rows for k in range(lm.ROUNDS))
+    assert trained == sum(len((r.text or "").split()) for r in corpus.collect())
+
+
 def test_empty_table(spark):
     assert lm.score(spark.createDataFrame([], "doc_id long, text string")).collect() == []
