@@ -60,8 +60,9 @@ CUES = {
 
 
 def allowed_edits(term: str) -> int:
-    """Edits a match may need; a stem, which matches any longer word, needs none."""
-    return 0 if len(term) < 5 or term.endswith("*") else 1 if len(term) < 10 else 2
+    """Edits a match may need; those of a stem are within its own letters."""
+    size = len(term.removesuffix("*"))
+    return 0 if size < 5 else 1 if size < 10 else 2
 
 
 class Automaton:
@@ -76,7 +77,7 @@ class Automaton:
         self.children: list[dict[str, int]] = [{}]
         self.term: dict[int, str] = {}
         self.reach = [0]  # edits that some term below a node allows
-        self.stems: set[int] = set()
+        self.stems: dict[int, str] = {}
         for term in terms:
             node = 0
             for c in term.removesuffix("*"):
@@ -88,15 +89,16 @@ class Automaton:
                 node = self.children[node][c]
             self.reach[node] = max(self.reach[node], allowed_edits(term))
             if term.endswith("*"):
-                self.stems.add(node)
-            self.term.setdefault(node, term)
+                self.stems[node] = term
+            else:
+                self.term[node] = term
         self.restart()
 
     def restart(self) -> None:
         self.number: dict[frozenset, int] = {frozenset(): 0}
         self.states: list[frozenset] = [frozenset()]
         self.next: list[dict[str, int]] = [{}]
-        self.stem: list[int | None] = [None]  # the stem that a state has read whole
+        self.stem: list[tuple[int, str] | None] = [None]  # the nearest stem that a state has read, and its edits
         self.start = self._state({(0, 0)})
 
     def _state(self, items: set[tuple[int, int]]) -> int:
@@ -114,7 +116,8 @@ class Automaton:
             self.number[key] = len(self.states)
             self.states.append(key)
             self.next.append({})
-            self.stem.append(next((node for node, edits in key if not edits and node in self.stems), None))
+            read = [(edits, self.stems[node]) for node, edits in key if node in self.stems and edits <= allowed_edits(self.stems[node])]
+            self.stem.append(min(read, default=None))
         return self.number[key]
 
     def _step(self, state: int, c: str) -> int:
@@ -133,15 +136,20 @@ class Automaton:
         """The nearest term within its edits, and how many it took."""
         if len(self.states) > self.STATES:
             self.restart()
-        state = self.start
+        state, best = self.start, None
         for c in word:
             after = self.next[state].get(c)
             state = self._step(state, c) if after is None else after
+            near = self.stem[state]
+            if near is not None and (best is None or near < best):
+                best = near
+                if not near[0]:
+                    return near[1], 0
             if not state:
-                return None
-            if self.stem[state] is not None:
-                return self.term[self.stem[state]], 0
+                break
         found = [(edits, self.term[node]) for node, edits in self.states[state] if node in self.term and edits <= allowed_edits(self.term[node])]
+        if best is not None:
+            found.append(best)
         return (min(found)[1], min(found)[0]) if found else None
 
 
@@ -261,8 +269,7 @@ def _chosen(toxic: dict[str, int], clean: dict[str, int], sizes: dict[int, int])
     for stem in sorted(stems, key=lambda x: (-toxic[x], -len(x), x)):
         if not any(stem.startswith(t[:-1]) or t.startswith(stem[:-1]) for t in terms):
             terms.append(stem)
-    known = {t[:-1] for t in terms}
-    words = [x for x in forms if not x.endswith("*") and not any(x[:k] in known for k in STEMS)]
+    words = [x for x in forms if not x.endswith("*")]
     return sorted([*terms, *words], key=lambda x: (-toxic[x], x))[:TERMS]
 
 

@@ -35,6 +35,18 @@ def test_automaton_as_edit_distances():
             assert found[0] in good and found[1] == near[found[0]]
 
 
+def test_stems_within_their_edits():
+    automaton = tox.Automaton(["vequado*", "vequados", "scum*"])
+    for word, edits in {"vequadora": 0, "vequxdora": 1, "vquadora": 1, "veequadora": 1, "vequados": 0, "vequadxos": 1, "scummy": 0}.items():
+        found = automaton.match(word)
+        assert found and found[1] == edits, word
+    assert not any(map(automaton.match, ["vxquxdora", "scxmmy", "scmmy", "vequ", "other"]))
+    spellings = tox._Spellings(tox.Model(["vequado*"], frozenset(["vequator"])))
+    assert [spellings[x] for x in ("vequadora", "vequxdora", "vequator")] == [1.0, tox.MISSPELLED, 0.0]
+    terms = tox._chosen({"vequado*": 30, "vequados": 9, "vequadora": 9}, {}, {0: 5000, 1: 100})
+    assert set(terms) == {"vequado*", "vequados", "vequadora"}
+
+
 def test_quotation_weighs_less_than_abuse():
     model = tox.Model(terms=TERMS)
     spellings = tox._Spellings(model)
