@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 from revtide.llm.common import gram_hashes, mixed, steps, stored, text_bytes, training_rows, word_hashes, word_spans
 
-#: Labelled documents learned from, at most; terms of the lexicon, at most.
+#: Labelled documents learned from, at most; context words that weigh a match, at most.
 TRAINING_ROWS = 12_000
-TERMS = 400
+CONTEXT = 400
 #: A term follows so many words in toxic training documents, and is so many times likelier
 #: there than in clean ones.
 LEAST, LEAST_RATIO = 4, 30
@@ -270,7 +270,7 @@ def _chosen(toxic: dict[str, int], clean: dict[str, int], sizes: dict[int, int])
         if not any(stem.startswith(t[:-1]) or t.startswith(stem[:-1]) for t in terms):
             terms.append(stem)
     words = [x for x in forms if not x.endswith("*")]
-    return sorted([*terms, *words], key=lambda x: (-toxic[x], x))[:TERMS]
+    return sorted([*terms, *words], key=lambda x: (-toxic[x], x))
 
 
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, n: int = TRAINING_ROWS, label: str = "toxic") -> Model:
@@ -321,7 +321,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where("toxic + clean >= 20 and clean > 0")
         .orderBy(F.desc("clean"), "word")
-        .limit(TERMS)
+        .limit(CONTEXT)
         .collect()
     )
     hits = [sum(r[k] for r in around) or 1 for k in ("toxic", "clean")]

@@ -47,6 +47,11 @@ def test_stems_within_their_edits():
     assert set(terms) == {"vequado*", "vequados", "vequadora"}
 
 
+def test_all_likely_terms_are_taken():
+    words = {f"{k:03d}xyzw": 4 for k in range(900)}
+    assert set(tox._chosen(words, {}, {0: 5000, 1: 100})) == set(words)
+
+
 def test_quotation_weighs_less_than_abuse():
     model = tox.Model(terms=TERMS)
     spellings = tox._Spellings(model)
