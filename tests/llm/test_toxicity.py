@@ -91,6 +91,15 @@ def test_held_out_accuracy_and_misspellings(spark, corpus):
     assert kept == {2, 3, 4}
 
 
+def test_clean_spellings_of_similar_texts_are_kept(spark, corpus):
+    docs, labels, _, words = corpus
+    common = " ".join(words[:300])
+    more = spark.createDataFrame([(10_000 + k, common + (" idiom" if k == 17 else ""), "x") for k in range(20)], docs.schema)
+    judged = spark.createDataFrame([(10_000 + k, 0, 1) for k in range(20)], labels.schema)
+    model = tox.learn(docs.union(more), labels.union(judged))
+    assert "idiot" in model.terms and "idiom" in model.clean_forms
+
+
 def test_without_labels_or_rows(spark, corpus):
     docs, labels, _, _ = corpus
     model = tox.learn(docs, labels.limit(0))
