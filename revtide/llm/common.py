@@ -53,7 +53,10 @@ def remainder(doc_id: Column, n: int) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, n: int) -> DataFrame:
-    """Id, text and label (0 or 1) of at most n labelled documents outside the held-out fold."""
+    """Id, text and label (0 or 1) of at most n labelled documents outside the held-out fold.
+
+    Of the rows of one id, the one whose text has the smallest hash.
+    """
     rows = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), folds) != held_out))
         .groupBy("doc_id")
@@ -62,7 +65,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
         .limit(n)
     )
     # Of at most n rows, so it may be broadcast.
-    return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "label")
+    found = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
+    once = found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("r"))
+    return once.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("r.text").alias("text"), "label")
 
 
 # --- bytes of text in numpy -------------------------------------------------

@@ -3,6 +3,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from revtide.llm.common import training_rows
 from revtide.llm import quality_model as quality
 
 TEXTS = ["some Words here", "", None, " \n", "ÉTÉ AB ab", "x x x x", "one", "A B", "tail word "]
@@ -44,3 +45,10 @@ def test_without_labels_or_rows(spark):
         model = quality.learn(docs, labels)
         assert all(low <= r.s <= high for r in docs.select(quality.score(F.col("text"), model).alias("s")).collect())
     assert docs.limit(0).select(quality.score(F.col("text"), quality.learn(docs, none)).alias("s")).collect() == []
+
+
+def test_one_training_row_an_id(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "c"), (2, None), (3, None), (None, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1) for k in (1, 2, 3, None)], "doc_id long, quality int")
+    rows = training_rows(docs.union(docs), labels, "quality", 1000, 999, 3).collect()
+    assert sorted(r.doc_id for r in rows) == [1, 2, 3]
