@@ -87,13 +87,14 @@ def _routes(docs: DataFrame, length: int, with_doc: bool) -> DataFrame:
                 least, doc = least[order], doc[order]
                 new = np.ones(len(least), bool)
                 new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
-                yield pa.RecordBatch.from_pydict({"route": least[new], "doc": part.column("doc").to_numpy()[doc[new]]})
+                of = {c: part.column(c).to_numpy()[doc[new]] for c in ("doc", "digest")}
+                yield pa.RecordBatch.from_pydict({"route": least[new], **of})
             else:
                 values, back = np.unique(least, return_inverse=True)
                 yield pa.RecordBatch.from_pydict({"route": values, "n": np.bincount(back, places).astype(np.int64)})
 
     if with_doc:
-        return docs.select("doc", "text").mapInArrow(run, "route long, doc long")
+        return docs.select("doc", "digest", "text").mapInArrow(run, "route long, doc long, digest long")
     return docs.select("text").mapInArrow(run, "route long, n long")
 
 
@@ -212,8 +213,9 @@ def repeated_windows(docs: DataFrame, length: int = 20) -> tuple[DataFrame, Data
     keyed = _keyed(docs.select("doc_id", "text")).select("doc", "digest", "text")
     routes = _routes(keyed, length, with_doc=False).groupBy("route").agg(F.sum("n").alias("n")).where("n > 1")
     shared = _routes(keyed, length, with_doc=True).join(routes, "route")
-    lists = shared.groupBy("doc").agg(F.collect_list("route").alias("routes"), F.collect_list(F.col("n") > FREQUENT).alias("often"))
-    texts = stored(keyed.join(lists, "doc").select("doc", "digest", "text", "routes", "often"))
+    # Sets, as rows of one id and text bring the same routes.
+    lists = shared.groupBy("doc", "digest").agg(F.collect_set(F.struct("route", (F.col("n") > FREQUENT).alias("often"))).alias("x"))
+    texts = stored(keyed.join(lists, ["doc", "digest"]).select("doc", "digest", "text", F.col("x.route").alias("routes"), F.col("x.often").alias("often")))
     segments = stored(_segments(texts, length))
     told = segments.where("words is null").select("doc", "digest", "start", "windows")
     sent = segments.where("words is not null")

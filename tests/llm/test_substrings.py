@@ -65,6 +65,24 @@ def test_nulls_and_repeated_rows(spark):
     assert made == sorted([(None, 30), (5, 30), (5, 30), (3, 0)], key=str)
 
 
+def test_lists_of_a_text_are_its_own(spark, monkeypatch):
+    texts = [" ".join(f"{k}_{j}" for j in range(40)) for k in range(30)]
+    rows = [(None, t) for t in texts] + [(k, t) for k, t in enumerate(texts)] + [(None, texts[0])] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, sizes = substrings.stored, []
+
+    def stored(x):
+        out = kept(x)
+        if "routes" in out.columns:
+            sizes.extend(len(r.routes) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(substrings, "stored", stored)
+    made = substrings.removal_report(df).collect()
+    assert len(sizes) == 80 and max(sizes) <= 21
+    assert sorted(r.n_removed for r in made) == [0] * 30 + [40] * 50
+
+
 def test_texts_without_repeats_keep_columns(spark):
     text = " ".join(map(str, range(30)))
     df = spark.createDataFrame([(1, "a  b\n" + text, 9, "k"), (2, "c\td  " + text + "\ne f", 9, "k"), (3, text, 9, "k"), (4, None, None, None)], "doc_id long, text string, n_chars long, doc string")
