@@ -279,8 +279,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
     What the driver gathers is bounded by n: forms, spellings and windows of those rows.
     """
     everything = stored(training_rows(docs, labels, label, folds, held_out, n))
-    # Copies would make terms of a toxic text's words; of clean texts every spelling counts.
-    train = stored(_once(everything.where("label = 1")).union(everything.where("label = 0").select("text", "label")))
+    train = stored(_once(everything))
     sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model()
@@ -305,7 +304,9 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
             words = {plain(x) for text in part.column("text").to_pylist() for x in (text or "").lower().split()}
             yield pa.RecordBatch.from_pydict({"word": pa.array([w for w in words if automaton.match(w) or automaton.match(w.translate(_LOOKALIKE))], pa.string())})
 
-    model = Model(terms, frozenset(r["word"] for r in clean_docs.mapInArrow(near, "word string").distinct().collect()))
+    # Spellings of all clean rows, also of those that _once takes for copies.
+    every_clean = everything.where("label = 0").select("text")
+    model = Model(terms, frozenset(r["word"] for r in every_clean.mapInArrow(near, "word string").distinct().collect()))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spellings = _Spellings(model)
