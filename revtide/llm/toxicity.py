@@ -1,12 +1,15 @@
 """Toxicity: a learned lexicon met through Levenshtein automata, weighed by context.
 
 The lexicon is learned from labelled documents: words, and stems of inflected words (ending
-in *), that many toxic documents and almost no clean ones hold. Its trie is intersected with the Levenshtein automaton of every term;
-the product is built as a deterministic automaton, state by state as texts need it. Spellings
-near a term that clean training documents hold are words of their own and never match.
-Each match is weighed by its window of words: quotation marks and words of report lower
-it, address raises it, and so does what the training windows teach. Two sums over the
-matches feed a logistic regression.
+in *), that different toxic documents hold significantly more often than different clean
+ones. Its trie is intersected with the Levenshtein automaton of every term; the product is
+built as a deterministic automaton, state by state as texts need it. Spellings near a term
+that clean training documents hold are words of their own and never match; a term whose
+clean neighbours are so many that unseen ones must be expected matches exactly or not at all.
+Each match is weighed by how much likelier its term is in toxic documents and by its window
+of words: quotation marks and words of report lower it, address raises it, and so does what
+the training windows teach. The sum of the matches, the largest of them and their share of
+the words feed a logistic regression.
 
 Defined results. Null or empty text: the regression's bias. Null id: a training row never,
 a scored row as any other. Repeated rows: scored alike. No labels of one class: an empty
@@ -16,9 +19,8 @@ lexicon and a score of 0 for all. Empty table: no rows. Other columns stay as th
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,24 +31,29 @@ from pyspark.sql import functions as F
 
 from revtide.llm.common import gram_hashes, mixed, steps, stored, text_bytes, training_rows, word_hashes, word_spans
 
-#: Labelled documents learned from, at most; context words that weigh a match, at most.
+#: Labelled documents learned from, at most.
 TRAINING_ROWS = 12_000
-CONTEXT = 400
-#: A term follows so many words in toxic training documents, and is so many times likelier
-#: there than in clean ones.
-LEAST, LEAST_RATIO = 4, 30
+#: A term stands in so many different toxic documents at least, is so many times likelier
+#: there than in clean ones, and so unlikely by chance (a likelihood ratio statistic).
+LEAST, LEAST_RATIO, LEAST_EVIDENCE = 5, 3, 40.0
+#: Sightings of a form that one document counts for, at most.
+SIGHTINGS = 3
 #: Letters of a stem.
 STEMS = range(3, 9)
 #: Words on each side of a match that weigh it.
 WINDOW = 4
-#: Windows of each label that a context word is taken to have besides its own.
-SHRINK = 2_000
+#: Context words: windows of each label that one is taken to have besides its own, and the
+#: standard errors by which its rates must differ.
+SHRINK, SURE = 200, 4.0
+#: Unseen clean spellings near a term that a clean document may be expected to hold.
+UNSEEN = 0.001
 #: Spellings a worker remembers; beyond that it forgets them all.
 KNOWN = 300_000
 #: What a misspelled match counts against an exact one.
 MISSPELLED = 0.7
 
 _TRIM = "\"'`.,;:!?()[]{}<>*_~-«»“”„‘’‚¿¡…|/\\"
+_NOISE = "#$%&"
 _QUOTES = tuple("\"'«»“”„‘’‚`")
 _LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
 #: Cues of report and of address in the corpus's languages, with their weights.
@@ -73,7 +80,10 @@ class Automaton:
 
     STATES = 50_000
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: Iterable[str], exact: Iterable[str] = ()):
+        """Matches of the terms in `exact` may need no edit."""
+        none = frozenset(exact)
+        self.edits = {t: 0 if t in none else allowed_edits(t) for t in terms}
         self.children: list[dict[str, int]] = [{}]
         self.term: dict[int, str] = {}
         self.reach = [0]  # edits that some term below a node allows
@@ -81,13 +91,13 @@ class Automaton:
         for term in terms:
             node = 0
             for c in term.removesuffix("*"):
-                self.reach[node] = max(self.reach[node], allowed_edits(term))
+                self.reach[node] = max(self.reach[node], self.edits[term])
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
                     self.reach.append(0)
                 node = self.children[node][c]
-            self.reach[node] = max(self.reach[node], allowed_edits(term))
+            self.reach[node] = max(self.reach[node], self.edits[term])
             if term.endswith("*"):
                 self.stems[node] = term
             else:
@@ -116,7 +126,7 @@ class Automaton:
             self.number[key] = len(self.states)
             self.states.append(key)
             self.next.append({})
-            read = [(edits, self.stems[node]) for node, edits in key if node in self.stems and edits <= allowed_edits(self.stems[node])]
+            read = [(edits, self.stems[node]) for node, edits in key if node in self.stems and edits <= self.edits[self.stems[node]]]
             self.stem.append(min(read, default=None))
         return self.number[key]
 
@@ -147,7 +157,7 @@ class Automaton:
                     return near[1], 0
             if not state:
                 break
-        found = [(edits, self.term[node]) for node, edits in self.states[state] if node in self.term and edits <= allowed_edits(self.term[node])]
+        found = [(edits, self.term[node]) for node, edits in self.states[state] if node in self.term and edits <= self.edits[self.term[node]]]
         if best is not None:
             found.append(best)
         return (min(found)[1], min(found)[0]) if found else None
@@ -157,17 +167,24 @@ class Automaton:
 class Model:
     """All that scoring needs; small, so that it travels with the tasks."""
 
-    terms: list[str] = field(default_factory=list)
+    #: What an exact match of each term counts, 0 to 1.
+    terms: dict[str, float] = field(default_factory=dict)
+    #: Terms that match without edits only.
+    exact: frozenset[str] = frozenset()
     clean_forms: frozenset[str] = frozenset()
     context: dict[str, float] = field(default_factory=dict)
-    weights: tuple[float, float, float] = (0.0, 0.0, -40.0)
+    #: Of the sum, of the largest match and of the matches' share of the words; the bias.
+    weights: tuple[float, float, float, float] = (0.0, 0.0, 0.0, -40.0)
+
+    def automaton(self) -> Automaton:
+        return Automaton(self.terms, self.exact)
 
 
 class _Spellings(dict):
-    """What a space-separated word counts as a match: 0, 1 or MISSPELLED."""
+    """What a space-separated word counts as a match."""
 
     def __init__(self, model: Model):
-        self.model, self.automaton = model, Automaton(model.terms)
+        self.model, self.automaton = model, model.automaton()
 
     def __missing__(self, raw: str) -> float:
         if len(self) > KNOWN:
@@ -176,174 +193,207 @@ class _Spellings(dict):
         near = self.automaton.match(word)
         out = 0.0
         if near and not near[1]:
-            out = 1.0
-        elif word not in self.model.clean_forms and (near or self.automaton.match(word.translate(_LOOKALIKE))):
-            out = MISSPELLED
+            out = self.model.terms[near[0]]
+        elif word not in self.model.clean_forms:
+            near = near or self.automaton.match(word.translate(_LOOKALIKE))
+            out = MISSPELLED * self.model.terms[near[0]] if near else 0.0
         self[raw] = out
         return out
 
 
 def plain(raw: str) -> str:
-    return raw.strip(_TRIM)
+    """The word without marks around it; a first $ may stand for a letter."""
+    return raw.rstrip(_TRIM + _NOISE).lstrip(_TRIM + "#%&")
 
 
-def matches(text: str, spellings: _Spellings) -> list[tuple[float, list[str], bool]]:
-    """Of each match: what it counts, the words around it, whether it stands in quotation marks."""
+def matches(text: str, spellings: _Spellings) -> tuple[list[tuple[float, list[str], bool]], int]:
+    """Of each match: what it counts, the words around it, whether it stands in quotation
+    marks; and the number of words."""
     words = text.lower().split()
     counts = list(map(spellings.__getitem__, words))
     if not any(counts):
-        return []
+        return [], len(words)
     out = []
     for k in np.flatnonzero(counts).tolist():
         around = words[max(0, k - WINDOW) : k] + words[k + 1 : k + 1 + WINDOW]
         quoted = words[k].startswith(_QUOTES) or words[k].rstrip(".,;:!?").endswith(_QUOTES)
         out.append((counts[k], [plain(x) for x in around], quoted))
-    return out
+    return out, len(words)
 
 
-def features(text: str | None, model: Model, spellings: _Spellings) -> tuple[float, float]:
-    """Logarithm of the weighed matches' sum plus one, and the largest of them."""
+def features(text: str | None, model: Model, spellings: _Spellings) -> tuple[float, float, float]:
+    """Logarithm of the weighed matches' sum plus one, the largest of them, and their share of the words."""
     total = most = 0.0
-    for count, around, quoted in matches(text or "", spellings):
+    found, n_words = matches(text or "", spellings)
+    for count, around, quoted in found:
         lean = sum(CUES.get(x, 0.0) + model.context.get(x, 0.0) for x in around) - 1.5 * quoted
         strength = count / (1 + math.exp(min(30.0, -2 - lean)))
         total, most = total + strength, max(most, strength)
-    return math.log1p(total), most
+    return math.log1p(total), most, min(1.0, 20 * total / (n_words + 10))
 
 
-def _once(train: DataFrame) -> DataFrame:
-    """The labelled rows without most copies: of those with one smallest word pair, under
-    any of three orders, the one of the smallest id."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
-            data, offsets = text_bytes(part.column("text"))
-            starts, ends, bounds = word_spans(data, offsets)
-            words = word_hashes(data, starts, ends)
-            pairs = gram_hashes(np.append(words, np.uint64(0)), 2)
-            some = np.diff(bounds) > 0
-            for k in range(3):
-                least = np.zeros(len(some), np.uint64)
-                if len(words):
-                    least[some] = np.minimum.reduceat(mixed(pairs + np.uint64(k)), bounds[:-1][some])
-                part = part.append_column(f"s{k}", pa.array(least.view(np.int64)))
-            yield part
-
-    rows = train.mapInArrow(run, "doc_id long, text string, label int, s0 long, s1 long, s2 long")
-    for k in range(3):
-        others = [c for c in rows.columns if c not in ("label", f"s{k}")]
-        rows = rows.groupBy("label", f"s{k}").agg(F.min(F.struct(*others)).alias("r")).select("label", "r.*")
-    return rows.select("text", "label")
+def _signatures(part: pa.RecordBatch) -> list[int]:
+    """Of each text its smallest hash of four words in a row, which copies share; of shorter texts that of all."""
+    data, offsets = text_bytes(part.column("text"))
+    starts, ends, bounds = word_spans(data, offsets)
+    words = word_hashes(data, starts, ends)
+    grams = np.append(gram_hashes(words, 4), np.full(min(4, len(words) + 1), np.uint64(2**64 - 1)))
+    out = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        found = grams[a : b - 3].min() if b - a >= 4 else mixed(np.append(words[a:b], np.uint64(b - a))).sum()
+        out.append(int(found.astype(np.int64)))
+    return out
 
 
 def _forms(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in STEMS if len(word) > k)]
 
 
-def _toxic_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and stems with the word before each."""
-    for part in steps(batches):
-        pairs = set()
-        for text in part.column("text").to_pylist():
-            words = [plain(x) for x in (text or "").lower().split()]
-            pairs.update((form, before) for word, before in set(zip(words, ["", *words])) for form in _forms(word))
-        yield pa.RecordBatch.from_pydict(
-            {"form": pa.array([w for w, _ in pairs], pa.string()), "before": pa.array([zlib.crc32(x.encode()) for _, x in pairs], pa.int64())}
-        )
+def _sightings(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
+    """Forms (the wanted ones, or all) with the number of different texts that hold them, and
+    their sightings there: one text counts for SIGHTINGS at most, its copies together as one."""
 
-
-def _chosen(toxic: dict[str, int], clean: dict[str, int], sizes: dict[int, int]) -> list[str]:
-    """Terms: likely forms; a stem only if it says more than each of its words and stems."""
-
-    def likely(form: str) -> bool:
-        return (toxic[form] + 0.1) / (sizes[1] + 1) >= LEAST_RATIO * (clean.get(form, 0) + 0.1) / (sizes[0] + 1)
-
-    forms = {x for x in toxic if likely(x) and len(x) >= 3}
-    most: dict[str, int] = {}  # of each stem: of its best word
-    for x in forms:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in steps(batches):
+            forms, texts, seen = [], [], []
+            for text, signature in zip(part.column("text").to_pylist(), _signatures(part)):
+                found: Counter[str] = Counter()
+                for word, n in Counter(map(plain, (text or "").lower().split())).items():
+                    for form in _forms(word):
+                        if wanted is None or form in wanted:
+                            found[form] += n
+                forms += found.keys()
+                seen += [min(n, SIGHTINGS) for n in found.values()]
+                texts += [signature] * len(found)
+            yield pa.RecordBatch.from_pydict({"form": pa.array(forms, pa.string()), "text": pa.array(texts, pa.int64()), "seen": pa.array(seen, pa.int64())})
+
+    once = rows.select("text").mapInArrow(run, "form string, text long, seen long").groupBy("form", "text").agg(F.max("seen").alias("seen"))
+    return once.groupBy("form").agg(F.count("*").alias("texts"), F.sum("seen").alias("seen"))
+
+
+def evidence(a: float, c: float, size_a: float, size_c: float) -> float:
+    """Likelihood ratio statistic of a sightings in one class and c in the other, against equal rates."""
+    common = (a + c) / (size_a + size_c)
+    return 2 * sum(x * math.log(x / (size * common)) for x, size in ((a, size_a), (c, size_c)) if x)
+
+
+def chosen(toxic: dict[str, int], clean: dict[str, int], sizes: dict[int, int]) -> dict[str, float]:
+    """Terms and what their matches count, from the sightings of forms on both sides and the
+    number of texts of each label; a stem only if it says more than each of its words and stems."""
+
+    def ratio(form: str) -> float:
+        return (toxic[form] / sizes[1]) / ((clean.get(form, 0) + 0.5) / sizes[0])
+
+    told = {x: evidence(toxic[x], clean.get(x, 0), sizes[1], sizes[0]) for x in toxic if len(x) >= 3 and ratio(x) >= LEAST_RATIO}
+    told = {x: e for x, e in told.items() if e >= LEAST_EVIDENCE}
+    most: dict[str, float] = {}  # of each stem: of its best word
+    for x, e in told.items():
         if not x.endswith("*"):
             for stem in _forms(x)[1:]:
-                most[stem] = max(most.get(stem, 0), toxic[x])
-    stems = [x for x in forms if x.endswith("*") and toxic[x] >= 1.5 * most.get(x, 0) and toxic[x] >= 2 * LEAST]
-    terms: list[str] = []
-    for stem in sorted(stems, key=lambda x: (-toxic[x], -len(x), x)):
-        if not any(stem.startswith(t[:-1]) or t.startswith(stem[:-1]) for t in terms):
-            terms.append(stem)
-    words = [x for x in forms if not x.endswith("*")]
-    return sorted([*terms, *words], key=lambda x: (-toxic[x], x))
+                most[stem] = max(most.get(stem, 0.0), e)
+    stems = [x for x in told if x.endswith("*") and told[x] >= 1.3 * most.get(x, 0.0)]
+    taken: list[str] = []
+    for stem in sorted(stems, key=lambda x: (-told[x], -len(x), x)):
+        if not any(stem.startswith(t[:-1]) or t.startswith(stem[:-1]) for t in taken):
+            taken.append(stem)
+    words = [x for x in told if not x.endswith("*")]
+    return {x: min(1.0, math.log(ratio(x)) / math.log(30)) for x in sorted([*taken, *words], key=lambda x: (-told[x], x))}
 
 
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, n: int = TRAINING_ROWS, label: str = "toxic") -> Model:
     """A model of at most n labelled documents whose crc32 modulo folds is not held_out.
 
-    What the driver gathers is bounded by n: forms, spellings and windows of those rows.
+    What the driver gathers is bounded by n: forms, spellings, context words and figures of those rows.
     """
-    everything = stored(training_rows(docs, labels, label, folds, held_out, n))
-    train = stored(_once(everything))
-    sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
-    if not sizes.get(0) or not sizes.get(1):
+    train = stored(training_rows(docs, labels, label, folds, held_out, n))
+    sides = [train.where(F.col("label") == k).select("text") for k in (0, 1)]
+    sizes = {k: _texts(rows) for k, rows in enumerate(sides)}
+    if not sizes[0] or not sizes[1]:
         return Model()
-    forms = train.where("label = 1").select("text").mapInArrow(_toxic_forms, "form string, before long")
-    toxic = dict(map(tuple, forms.groupBy("form").agg(F.count_distinct("before").alias("n")).where(F.col("n") >= LEAST).collect()))
+    found = _sightings(sides[1], None).where(F.col("texts") >= LEAST).collect()
+    toxic = {r["form"]: r["seen"] for r in found}
+    clean = {r["form"]: r["seen"] for r in _sightings(sides[0], frozenset(toxic)).collect()}
+    model = Model(chosen(toxic, clean, sizes))
+    _set_apart(model, sides[0], sizes[0])
+    model.context = _context(model, train)
+    rows = [(x, y) for x, y in train.select(F.pandas_udf(_features_of(model), "array<double>")("text"), "label").collect()]
+    model.weights = _regression(np.array([r[0] for r in rows]), np.array([r[1] for r in rows]))
+    return model
+
+
+def _texts(rows: DataFrame) -> int:
+    """Number of different texts, copies taken as one."""
 
-    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches):
-            counts = Counter()
-            for text in part.column("text").to_pylist():
-                words = set(map(plain, (text or "").lower().split()))
-                counts.update({x for word in words for x in _forms(word) if x in toxic})
-            yield pa.RecordBatch.from_pydict({"form": pa.array([*counts], pa.string()), "n": pa.array([*counts.values()], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"text": pa.array(_signatures(part), pa.int64())})
+
+    return rows.mapInArrow(run, "text long").distinct().count()
+
 
-    clean_docs = train.where("label = 0").select("text")
-    clean = dict(map(tuple, clean_docs.mapInArrow(holding, "form string, n long").groupBy("form").agg(F.sum("n")).collect()))
-    terms = _chosen(toxic, clean, sizes)
+def _set_apart(model: Model, clean: DataFrame, n_clean: int) -> None:
+    """The clean spellings near the terms; and which terms match exactly only.
+
+    Spellings that one clean text alone holds tell how many more there are that none of
+    these texts holds (the Good-Turing estimate).
+    """
+    terms = list(model.terms)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(terms)
         for part in steps(batches):
-            words = {plain(x) for text in part.column("text").to_pylist() for x in (text or "").lower().split()}
-            yield pa.RecordBatch.from_pydict({"word": pa.array([w for w in words if automaton.match(w) or automaton.match(w.translate(_LOOKALIKE))], pa.string())})
-
-    # Spellings of all clean rows, also of those that _once takes for copies.
-    every_clean = everything.where("label = 0").select("text")
-    model = Model(terms, frozenset(r["word"] for r in every_clean.mapInArrow(near, "word string").distinct().collect()))
+            words, terms_, texts = [], [], []
+            for text, signature in zip(part.column("text").to_pylist(), _signatures(part)):
+                for word in set(map(plain, (text or "").lower().split())):
+                    found = automaton.match(word) or automaton.match(word.translate(_LOOKALIKE))
+                    if found:
+                        words.append(word)
+                        terms_.append(found[0])
+                        texts.append(signature)
+            yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "term": pa.array(terms_, pa.string()), "text": pa.array(texts, pa.int64())})
+
+    spellings = clean.mapInArrow(near, "word string, term string, text long").groupBy("word", "term").agg(F.count_distinct("text").alias("texts")).collect()
+    automaton = Automaton(terms)
+    apart = [r for r in spellings if (automaton.match(r["word"]) or ("", 1))[1]]
+    single = Counter(r["term"] for r in apart if r["texts"] == 1)
+    model.exact = frozenset(t for t, k in single.items() if k > max(1, UNSEEN * n_clean))
+    model.clean_forms = frozenset(r["word"] for r in apart)
+
+
+def _context(model: Model, train: DataFrame) -> dict[str, float]:
+    """What words around matches add, where their rates in toxic and clean rows surely differ."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spellings = _Spellings(model)
         for batch in batches:
             counts = (Counter(), Counter())
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                counts[label].update({x for _, around, _ in matches(text or "", spellings) for x in around})
+                counts[label].update({x for _, around, _ in matches(text or "", spellings)[0] for x in around if x})
             words = [*counts[0].keys() | counts[1].keys()]
             yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "toxic": [counts[1][w] for w in words], "clean": [counts[0][w] for w in words]})
 
-    around = (
-        train.mapInArrow(windows, "word string, toxic long, clean long")
-        .groupBy("word")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where("toxic + clean >= 20 and clean > 0")
-        .orderBy(F.desc("clean"), "word")
-        .limit(CONTEXT)
-        .collect()
-    )
+    seen = train.mapInArrow(windows, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    around = seen.where("toxic + clean >= 20").collect()
     hits = [sum(r[k] for r in around) or 1 for k in ("toxic", "clean")]
-    # Both rates are shrunk towards the word's common one.
+    out = {}
     for r in around:
+        # Both rates are shrunk towards the word's common one.
         common = SHRINK * (r["toxic"] + r["clean"]) / sum(hits)
-        model.context[r["word"]] = 0.5 * math.log((r["toxic"] + common) / (hits[0] + SHRINK) * (hits[1] + SHRINK) / (r["clean"] + common))
-    rows = [(x, y) for x, y in everything.select(F.pandas_udf(_features_of(model), "array<double>")("text"), "label").collect()]
-    model.weights = _regression(np.array([r[0] for r in rows]), np.array([r[1] for r in rows]))
-    return model
+        a, c = r["toxic"] + common, r["clean"] + common
+        lean = math.log(a / (hits[0] + SHRINK) * (hits[1] + SHRINK) / c)
+        if abs(lean) >= SURE * math.sqrt(1 / a + 1 / c):
+            out[r["word"]] = 0.5 * lean
+    return out
 
 
-def _regression(x: np.ndarray, y: np.ndarray, rounds: int = 3000) -> tuple[float, float, float]:
+def _regression(x: np.ndarray, y: np.ndarray, rounds: int = 3000) -> tuple[float, ...]:
     """Logistic regression by full gradients; weights of matches are not negative."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(3)
+    w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w -= 4.0 * (x.T @ (p - y) / len(y) + 1e-4 * w * [1, 1, 0])
-        w[:2] = np.maximum(w[:2], 0)
+        w -= 4.0 * (x.T @ (p - y) / len(y) + 1e-4 * w * (np.arange(len(w)) < len(w) - 1))
+        w[:-1] = np.maximum(w[:-1], 0)
     return tuple(w.tolist())
 
 
@@ -361,10 +411,10 @@ def score(text: Column, model: Model) -> Column:
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         spellings = _Spellings(model)
-        a, b, bias = model.weights
+        *weights, bias = model.weights
         for part in parts:
-            x = np.array([features(t, model, spellings) for t in part]).reshape(-1, 2)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(a * x[:, 0] + b * x[:, 1] + bias, -700, 700))))
+            x = np.array([features(t, model, spellings) for t in part]).reshape(-1, len(weights))
+            yield pd.Series(1 / (1 + np.exp(-np.clip(x @ np.array(weights) + bias, -700, 700))))
 
     return F.pandas_udf(run, "double")(text)
 
