@@ -133,8 +133,77 @@ from voted v left join e{rules.ROUNDS} e on {pattern} = e.pattern and e.kind = '
 """
 
 
+OP11 = r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents
+), w as (
+  select r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d
+), k as (
+  select lang, term, count(*) as of_lang from w group by all having count(distinct r) >= 30
+), c as (
+  select lang, source, term, count(*) as n from w semi join k using (lang, term) group by all
+), g as (
+  select lang, source, coalesce(sum(n), 0) as n from (select distinct lang, source from d) left join c using (lang, source) group by all
+), l as (
+  select lang, count(*) as v, sum(of_lang) as n from k group by lang
+), dense as (
+  select lang, source, term, coalesce(c.n, 0) as n,
+    1 + cast(1000000000 as hugeint) * (coalesce(c.n, 0) + 5) // cast(g.n + 5 * l.v as hugeint) as p,
+    1 + cast(1000000000 as hugeint) * (k.of_lang + 5) // cast(l.n + 5 * l.v as hugeint) as q
+  from g join l using (lang) join k using (lang) left join c using (lang, source, term)
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(sum(abs(x.p - y.p)), 0) as bigint) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join dense x on x.lang = a.lang and x.source = a.source
+  left join dense y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by all
+  union all
+  select lang, source, 'term', term, cast(p - q as bigint) from dense where n > 0 and p > q
+)
+select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+from found qualify part = 'pair' or rank <= 50
+"""
+
+
+def clusters_sql(rounds: int = 3) -> str:
+    """Every vector against every centroid, in each round."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} as (
+  select r, any_value(vec_id) as vec_id, any_value(p) as p, min(d * 16 + c) as m from (
+    select kept.*, c, list_sum(list_transform(list_zip(kept.p, s{k}.p), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as d from kept, s{k}
+  ) group by r
+)""")
+        if k < rounds:
+            steps.append(f"""s{k + 1} as (
+  select c, coalesce(moved.p, s{k}.p) as p from s{k} left join (
+    select c, list(cast((total - ((total % n) + n) % n) // n as bigint) order by i) as p from (
+      select m % 16 as c, i, sum(x) as total, count(*) as n from (select m, unnest(range(64)) as i, unnest(p) as x from a{k}) group by all
+    ) group by c
+  ) moved using (c)
+)""")
+    return f"""
+with kept as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as p
+  from embeddings where len(list_filter(embedding, lambda x: isfinite(x))) = 64 and len(embedding) = 64
+), s0 as (
+  select row_number() over (order by h, p) - 1 as c, p from (
+    select sha256('1:' || vec_id) as h, p from kept where vec_id is not null order by h, p limit 16
+  )
+), {", ".join(steps)}
+select vec_id, cast(m % 16 as integer) as cluster, cast(m // 16 as bigint) as distance,
+  cast(sum(m // 16) over (partition by m % 16) as bigint) as cluster_inertia, cast(sum(m // 16) over () as bigint) as inertia,
+  sha256(array_to_string(s{rounds}.p, ',')) as centroid_sha256
+from a{rounds} join s{rounds} on c = m % 16
+"""
+
+
 ORACLE_SQL = {
     "op5_quality_rules": _rules_sql(),
     "op8_chat_formatting": OP8,
     "op10_mixing": OP10,
+    "op11_source_divergence": OP11,
+    "op12_centroid_clusters": clusters_sql(),
 }

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import chat, embeddings, masked_lm, mixing, near_duplicates, packing, quality_model, quality_rules, substrings, toxicity
+from revtide.llm import (
+    chat,
+    clustering,
+    divergence,
+    embeddings,
+    masked_lm,
+    mixing,
+    near_duplicates,
+    packing,
+    quality_model,
+    quality_rules,
+    substrings,
+    token_counts,
+    toxicity,
+)
 from revtide.llm.common import remainder
 
 
@@ -92,6 +106,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, and by which terms."""
+    return divergence.audit(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors by the nearest of 16 centroids after three rounds."""
+    return clustering.clusters(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they are more than a window holds."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 QUERIES = {
     "op1_masked_lm": op1_masked_lm,
     "op2_embedding_duplicates": op2_embedding_duplicates,
@@ -103,4 +134,7 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_token_counts": op13_token_counts,
 }
