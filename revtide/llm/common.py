@@ -78,6 +78,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 
+def lower_bytes(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z lower-cased."""
+    return _LOWER[data]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit integers."""
     x = x ^ (x >> np.uint64(32))

@@ -1,7 +1,6 @@
 import math
 import random
 from collections import Counter
-from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -37,32 +36,111 @@ def test_counts_are_whole(corpus):
     assert sorted(r.n for r in lm.word_counts(corpus).collect()) == sorted(words.values())
 
 
+def chance_of(table, tree, known, near, target):
+    """Down the tree, decision by decision."""
+    n = known.outside + 1
+    scale = table[-2 * lm.WINDOW :, : lm.SIZE].astype(float)
+    hidden = np.tanh(sum(table[s, : lm.SIZE].astype(float) * scale[i] for i, s in enumerate(near)))
+    out = 0.0
+    listed = slice(tree.begins[target], tree.begins[target + 1])
+    for node, side in [*enumerate(tree.top[target].tolist()), *zip(tree.nodes[listed].tolist(), tree.sides[listed].tolist())]:
+        if side:
+            row = table[n + node].astype(float)
+            yes = 1 / (1 + math.exp(-(row[: lm.SIZE] @ hidden + row[lm.SIZE])))
+            out += math.log(yes if side > 0 else 1 - yes)
+    return out
+
+
 def test_scores_as_word_by_word(corpus, monkeypatch):
+    monkeypatch.setattr(lm, "TOP", 5)
     monkeypatch.setattr(lm, "LISTED", 10)
+    monkeypatch.setattr(lm, "LEAST", 6)
+    monkeypatch.setattr(lm, "BREADTH", 1.0)
     counts = lm.word_counts(corpus)
     known = lm.vocabulary(counts)
-    parameters = lm._split(lm.learn(corpus, known))
+    tree = lm.huffman(known.totals)
+    table = lm.learn(corpus, known)
     rng = np.random.default_rng(0)
-    words, bounds = rng.choice(np.array([r.word for r in counts.collect()]).view(np.uint64), 12), np.array([0, 5, 12])
-    symbols, shares = lm._symbols(words, known)
-    around = lm._around(symbols, bounds, np.arange(12))
-    _, logits = lm._forward(parameters, around)
-    embeddings, out, bias = parameters
+    n, bounds = known.outside, np.array([0, 5, 5, 12])
+    symbols = rng.integers(0, n, 12).astype(np.uint16)
+    around = lm._Windows(symbols, bounds, n).around(np.arange(12))
+    found = lm.log_chances(table, tree, symbols.astype(np.int64), around)
     for k in range(12):
         low, high = (0, 5) if k < 5 else (5, 12)
-        near = [symbols[j] if low <= j < high else lm.OUTSIDE for j in (k - 2, k - 1, k + 1, k + 2)]
-        hidden = np.tanh(sum(embeddings[i][s] for i, s in enumerate(near)))
-        chances = np.exp(hidden @ out + bias)
-        assert np.log(chances[symbols[k]] / chances.sum()) == pytest.approx(logits[k, symbols[k]] - np.log(np.exp(logits[k]).sum()), abs=1e-4)
-    # Shares of the words of a symbol add up to 1.
-    every = np.array([r.word for r in counts.collect()]).view(np.uint64)
-    symbols, shares = lm._symbols(every, known)
+        near = [int(symbols[k + j]) if low <= k + j < high else n for j in range(-lm.WINDOW, lm.WINDOW + 1) if j]
+        assert around[k].tolist() == near
+        assert found[k] == pytest.approx(chance_of(table, tree, known, near, int(symbols[k])), abs=1e-4)
+    # The chances of all symbols in one window add up to 1, and those of a symbol's words too.
+    every = lm.log_chances(table, tree, np.arange(n), np.repeat(around[:1], n, 0))
+    assert np.exp(every).sum() == pytest.approx(1, abs=1e-5)
+    rows = counts.collect()
+    words, endings = (np.array([r[c] for r in rows]).view(np.uint64) for c in ("word", "ending"))
+    symbols, listed, shares = lm._listed(words, endings, known)
+    shares = shares + np.where(listed, 0, np.log([r.n for r in rows]))
+    assert listed.any() and not listed.all()
     assert np.bincount(symbols, np.exp(shares))[np.unique(symbols)] == pytest.approx(1)
 
 
+def test_untrained_parameters_predict_frequencies(corpus):
+    known = lm.vocabulary(lm.word_counts(corpus))
+    tree = lm.huffman(known.totals)
+    table = lm.first_parameters(known, tree)
+    table[known.outside + 1 :, : lm.SIZE] = 0
+    symbols = np.flatnonzero(known.totals > 0)
+    found = lm.log_chances(table, tree, symbols, np.zeros((len(symbols), 2 * lm.WINDOW), np.int64))
+    # Symbols that never occur take a small part.
+    assert np.exp(found) == pytest.approx(known.totals[symbols] / known.totals.sum(), rel=0.05)
+    ways = np.diff(tree.begins) + (tree.top != 0).sum(1)
+    assert np.diff(tree.begins).any() and (2.0**-ways).sum() == pytest.approx(1)
+    assert ways[known.totals.argmax()] == ways.min()
+
+
+def test_training_moves_towards_the_gradient():
+    """One step of one batch against differences of the log-likelihood."""
+    known = lm.Vocabulary(np.empty(0), np.empty(0), np.empty(0), 5, 4, np.arange(9.0, 0, -1))
+    tree = lm.huffman(known.totals)
+    table = lm.first_parameters(known, tree)
+    rng = np.random.default_rng(1)
+    targets, around = rng.integers(0, 9, 40), rng.integers(0, 10, (40, 2 * lm.WINDOW))
+
+    def loss(t):
+        return -lm.log_chances(t.astype(np.float64), tree, targets, around).sum()
+
+    learner = lm.Learner(table, tree, 1e-3)
+    learner.train(targets, around)
+    moved = (table - learner.table).astype(float)
+    cells = [(k, j) for k in range(len(table)) for j in range(lm.SIZE + 1) if not (k <= 9 and j == lm.SIZE) and not (k >= len(table) - 2 * lm.WINDOW and j == lm.SIZE)]
+    ratios = {}
+    for k, j in cells:
+        up, down = table.astype(np.float64), table.astype(np.float64)
+        up[k, j] += 1e-4
+        down[k, j] -= 1e-4
+        slope = (loss(up) - loss(down)) / 2e-4
+        if abs(slope) > 0.05:
+            ratios.setdefault(k, []).append(moved[k, j] / slope)
+    # A row moves along its slope, at a rate of its own.
+    assert len(ratios) > 15
+    for found in ratios.values():
+        assert min(found) > 0 and max(found) < 1.1 * min(found)
+
+
+def test_context_tells_more_than_frequency(spark):
+    """Two languages of 3,000 words each, most of them rare: the words around tell which."""
+    rng = random.Random(4)
+    tongues = [["".join(rng.choice(letters) for _ in range(5)) + end for _ in range(3000)] for letters, end in (("abcdefgh", "ung"), ("mnopqrst", "ieux"))]
+    docs = [(k, " ".join(rng.choice(tongues[k % 2]) for _ in range(150))) for k in range(400)]
+    made = lm.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(2)).collect()
+    counts = Counter(w for _, t in docs for w in t.split())
+    total = sum(counts.values())
+    frequency = sum(n * math.log(n / total) for n in counts.values())
+    assert sum(r.n_words for r in made) == total
+    gain = (sum(r.log_likelihood for r in made) - frequency) / total
+    assert 0.5 * math.log(2) < gain
+
+
 def test_every_word_has_its_own_count(spark, monkeypatch):
     rng = random.Random(2)
-    frequent = [f"f{k}" for k in range(lm.OWN)]
+    frequent = [f"f{k}" for k in range(60)]
     others = [f"x{k}" for k in range(400)]
     rows = [(k, " ".join(rng.choices(frequent, k=300) + rng.choices(others, [1 + j % 5 for j in range(400)], k=40))) for k in range(60)]
     counts = Counter(w for _, t in rows for w in t.split())
@@ -72,26 +150,32 @@ def test_every_word_has_its_own_count(spark, monkeypatch):
     counts.update(w for _, t in rows[60:] for w in t.split())
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4, "doc_id")
     whole = {r.doc_id: r.log_likelihood for r in lm.score(docs).collect()}
-    monkeypatch.setattr(lm, "LISTED", lm.OWN)
+    monkeypatch.setattr(lm, "LISTED", 70)
     made = {r.doc_id: r.log_likelihood for r in lm.score(docs).collect()}
     assert made == pytest.approx(whole, abs=1e-3)
-    symbol = {r.text: lm._shared(np.array([r.word]).view(np.uint64))[0] for r in _word_numbers(rare)}
+    known = lm.vocabulary(lm.word_counts(docs))
     groups = {}
     for k, w in enumerate(rare):
-        groups.setdefault(symbol[w], []).append((made[1000 + k], counts[w]))
+        words, endings, _ = lm._hashed(pa.RecordBatch.from_pydict({"text": [w]}))
+        symbol = lm._listed(words, endings, known)[0][0]
+        if symbol >= known.own:
+            groups.setdefault(symbol, []).append((made[1000 + k], counts[w]))
     pairs = [(a, b) for g in groups.values() for a, b in zip(g, g[1:])]
     assert any(a[1] != b[1] for a, b in pairs)
     assert all(a[0] - b[0] == pytest.approx(math.log(a[1] / b[1]), abs=1e-3) for a, b in pairs)
 
 
-def _word_numbers(words):
-    """Each word with its hash."""
-    rows = []
-    for w in words:
-        data, offsets = lm.text_bytes(pa.array([w]))
-        starts, ends, _ = lm.word_spans(data, offsets)
-        rows.append(SimpleNamespace(text=w, word=int(lm.word_hashes(data, starts, ends).view(np.int64)[0])))
-    return rows
+def test_symbols_grow_with_the_corpus(spark):
+    few, many = (spark.createDataFrame([(k, k, 1) for k in range(n)], "word long, ending long, n long") for n in (2_000, 32_000))
+    a, b = lm.vocabulary(few), lm.vocabulary(many)
+    assert b.own == b.shared == pytest.approx(4 * a.own, rel=0.02)
+
+
+def test_very_long_text_and_repeated_rows(spark):
+    rows = [(1, "a b c d " * 100_000), (2, "a b c d"), (2, "a b c d"), (3, "d c b a")]
+    made = lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.n_words for r in made) == [4, 4, 4, 400_000]
+    assert len({r.log_likelihood for r in made if r.doc_id == 2}) == 1
 
 
 def test_every_word_trains_once():
@@ -102,9 +186,11 @@ def test_every_word_trains_once():
 
 
 def test_coded_rows_hold_every_word(corpus):
-    rows = lm.coded(corpus, lm.vocabulary(lm.word_counts(corpus))).collect()
+    known = lm.vocabulary(lm.word_counts(corpus))
+    kind = lm._kind(known)
+    rows = lm.coded(corpus, known).collect()
     assert len({r.row for r in rows}) == len(rows) == 134
-    trained = sum(len(lm.masked(np.array([r.row]), np.array([0, len(r.symbols)]), k)) for r in rows for k in range(lm.ROUNDS))
+    trained = sum(len(lm.masked(np.array([r.row]), np.array([0, len(r.symbols) // kind.itemsize]), k)) for r in rows for k in range(lm.ROUNDS))
     assert trained == sum(len((r.text or "").split()) for r in corpus.collect())
 
 
