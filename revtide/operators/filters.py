@@ -17,7 +17,12 @@ FALLBACK_FIRST_MONTH = date(2023, 1, 1)
 
 @dataclass(frozen=True)
 class Context:
-    """Frames the filterable metrics read; the last four may be absent."""
+    """Frames the filterable metrics read; the last six may be absent.
+
+    ``months`` is the month index (see ``month_index``) of a dense ``mrr``, where every
+    account has a row in every month; ``by_account`` holds the rows of ``mrr`` laid out by
+    account. Both only change how a metric reads, never its result.
+    """
 
     mrr: DataFrame
     pipeline: DataFrame
@@ -26,6 +31,8 @@ class Context:
     history: DataFrame | None = None
     tickets: DataFrame | None = None
     health: DataFrame | None = None
+    months: DataFrame | None = None
+    by_account: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -97,14 +104,44 @@ def _selection(df: DataFrame, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
     return df
 
 
-def scoped_mrr(ctx: Context, start: date, end: date, filt: DimFilter = EVERYTHING) -> DataFrame:
-    """(account_id, month, total_mrr) of the selected accounts and months."""
-    months = ctx.mrr.select("account_id", "month", "total_mrr").where(
+def scoped_mrr(
+    ctx: Context,
+    start: date,
+    end: date,
+    filt: DimFilter = EVERYTHING,
+    by_account: bool = False,
+) -> DataFrame:
+    """(account_id, month, total_mrr) of the selected accounts and months.
+
+    A metric that orders each account's rows asks for the fact laid out by account, if
+    there is one: its window then needs no shuffle.
+    """
+    fact = ctx.by_account if by_account and ctx.by_account is not None else ctx.mrr
+    months = fact.select("account_id", "month", "total_mrr").where(
         in_months(F.col("month"), start, end)
     )
     return filt.apply(months, ctx.accounts, ctx.reps, "owner_rep_id")
 
 
+def month_index(fact: DataFrame) -> DataFrame:
+    """(month, row_count, has_revenue), one row a month: which months a fact holds."""
+    return fact.groupBy("month").agg(
+        F.count("*").alias("row_count"),
+        F.coalesce(F.max(F.col("total_mrr") > 0), F.lit(False)).alias("has_revenue"),
+    )
+
+
+def indexed_months(index: DataFrame, n: int) -> Column:
+    """Scalar struct m0, m1, ...: the n newest months of an index, null where there are fewer.
+
+    It reads one row a month, so a filter by it prunes a fact stored by month without
+    reading the fact first.
+    """
+    months = index.agg(F.reverse(F.array_sort(F.collect_set("month"))).alias("m"))
+    picked = (F.get("m", F.lit(k)).alias(f"m{k}") for k in range(n))
+    return months.select(F.struct(*picked).alias("newest")).scalar()
+
+
 def newest_rows(rows: DataFrame, n: int) -> DataFrame:
     """The ``n`` newest rows of each account, with their place ``back`` from 1.
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import date
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,11 +16,14 @@ from revtide.operators.filters import (
     EVERYTHING,
     Context,
     DimFilter,
+    indexed_months,
     newest_month,
     newest_rows,
     scoped_mrr,
 )
 
+_log = logging.getLogger(__name__)
+
 # Fixed values of the stored health model.
 HIGH_VALUE_ABOVE = 100000
 # Fixed values of the computed health model.
@@ -49,14 +55,27 @@ def _recent_months(complete: DataFrame) -> Column:
     ).scalar()
 
 
-def account_health(accounts: DataFrame, complete: DataFrame, pipe: DataFrame) -> DataFrame:
+def account_health(
+    accounts: DataFrame,
+    complete: DataFrame,
+    pipe: DataFrame,
+    months: DataFrame | None = None,
+) -> DataFrame:
     """One row per account for the last month with revenue.
 
     ``complete`` is the dense fact, where the previous row is the previous calendar
     month, so three months of it are enough: they are picked out and summed up per
-    account instead of ordering every account's whole history.
+    account instead of ordering every account's whole history. ``months``, the fact's
+    month index, tells which three without reading the fact.
     """
-    recent = _recent_months(complete)
+    if months is None:
+        recent = _recent_months(complete)
+        newest = [recent[name] for name in ("m0", "m1", "m2")]
+    else:
+        loaded = months.where("has_revenue").agg(F.max("month")).scalar()
+        known = indexed_months(months.where(F.col("month") <= loaded), 3)
+        newest = [known[name] for name in ("m0", "m1", "m2")]
+    recent = dict(zip(("m0", "m1", "m2"), newest))
     month, mrr = F.col("month"), F.col("total_mrr")
     picked = {name: month == recent[name] for name in ("m0", "m1", "m2")}
     revenue = (
@@ -106,6 +125,22 @@ def latest_snapshot(df: DataFrame, start: date, end: date) -> DataFrame:
     return scoped.where(F.col("month") == scoped.agg(F.max("month")).scalar())
 
 
+def _last_three(ctx: Context, start: date, end: date, filt: DimFilter) -> tuple[DataFrame, Column]:
+    """Each account's three newest rows with their place ``back``, and the newest month.
+
+    With a month index these are the rows of the three newest months, as the fact is dense.
+    """
+    scoped = scoped_mrr(ctx, start, end, filt)
+    if ctx.months is None:
+        rows = newest_rows(scoped, 3)
+        return rows, newest_month(rows)
+    newest = indexed_months(ctx.months.where(in_months(F.col("month"), start, end)), 3)
+    month = F.col("month")
+    back = F.when(month == newest["m0"], 1).when(month == newest["m1"], 2).when(month == newest["m2"], 3)
+    rows = scoped.where((month == newest["m0"]) | (month == newest["m1"]) | (month == newest["m2"]))
+    return rows.withColumn("back", back), newest["m0"]
+
+
 def computed_health(
     ctx: Context,
     start: date,
@@ -119,8 +154,7 @@ def computed_health(
     ``tickets`` defaults to the context's; without any, every count is zero.
     """
     tickets = ctx.tickets if tickets is None else tickets
-    last_three = newest_rows(scoped_mrr(ctx, start, end, filt), 3)
-    newest = newest_month(last_three)
+    last_three, newest = _last_three(ctx, start, end, filt)
     mrr, back = F.col("total_mrr"), F.col("back")
     snapshot = (
         last_three.groupBy("account_id")
@@ -198,6 +232,29 @@ def at_risk(health: DataFrame, n: int | None = None) -> DataFrame:
     return ordered if n is None else ordered.limit(n)
 
 
+#: What a stored health table must hold to stand in for the computed one.
+SNAPSHOT_COLUMNS = ("account_id", "month", "health_score", "health_status")
+
+
+def _stored_snapshot(ctx: Context, start: date, end: date, filt: DimFilter) -> DataFrame | None:
+    """Rows of the stored table's newest month in the range; None if it cannot serve.
+
+    A table without the columns, one that cannot be read and one without rows there
+    all lead to the computed model.
+    """
+    if ctx.health is None:
+        return None
+    try:
+        if not set(SNAPSHOT_COLUMNS) <= set(ctx.health.columns):
+            return None
+        kept = filt.apply(latest_snapshot(ctx.health, start, end), ctx.accounts, ctx.reps, "owner_rep_id")
+        kept = kept.select("account_id", F.col("health_score").cast("int").alias("health_score"), "health_status")
+        return kept if kept.head(1) else None
+    except (PySparkException, Py4JError) as e:
+        _log.warning("the stored health table cannot be read, so health is computed: %s", str(e).splitlines()[0])
+        return None
+
+
 def health_snapshot(
     ctx: Context,
     start: date,
@@ -206,14 +263,10 @@ def health_snapshot(
 ) -> DataFrame:
     """The stored snapshot's newest month in the range if it has rows there, else the computed one.
 
-    Columns are account_id, health_score and health_status, which both have.
+    Columns are account_id, health_score and health_status, which both have. One row of
+    the stored table is read to decide, so the plan holds the chosen branch alone.
     """
-    shown = ["account_id", "health_score", "health_status"]
-    computed = computed_health(ctx, start, end, filt).select(*shown)
-    if ctx.health is None:
-        return computed
-    kept = filt.apply(latest_snapshot(ctx.health, start, end), ctx.accounts, ctx.reps, "owner_rep_id")
-    kept = kept.select(*(F.col(c).cast(computed.schema[c].dataType).alias(c) for c in shown))
-    # One row or none decides, so neither branch runs for nothing.
-    found = kept.limit(1).agg(F.count("*") > 0).scalar()
-    return kept.unionByName(computed.where(~found))
+    kept = _stored_snapshot(ctx, start, end, filt)
+    if kept is not None:
+        return kept
+    return computed_health(ctx, start, end, filt).select("account_id", "health_score", "health_status")

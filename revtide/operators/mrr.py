@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from revtide.functions.movement import movement_class
 from revtide.functions.numbers import zero_if_null
+from revtide.functions.periods import in_months
 from revtide.operators.filters import (
     EVERYTHING,
     Context,
     DimFilter,
+    indexed_months,
     newest_month,
     newest_rows,
     scoped_mrr,
@@ -127,7 +129,7 @@ def arr_trend(ctx: Context, start: date, end: date, filt: DimFilter = EVERYTHING
 
 def movement_summary(ctx: Context, start: date, end: date, filt: DimFilter = EVERYTHING) -> DataFrame:
     """Rows and net change by movement class, seen from inside the month range."""
-    moves = mrr_movement(scoped_mrr(ctx, start, end, filt), rule="app")
+    moves = mrr_movement(scoped_mrr(ctx, start, end, filt, by_account=True), rule="app")
     return (
         moves.groupBy("movement_type")
         .agg(
@@ -138,21 +140,27 @@ def movement_summary(ctx: Context, start: date, end: date, filt: DimFilter = EVE
     )
 
 
-def top_movers(
+#: The two lists of movers.
+EXPANSION, CONTRACTION = "expansion", "contraction"
+#: Rows of a list up to which the winners are surely small enough to broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def movers(
     ctx: Context,
     start: date,
     end: date,
     filt: DimFilter = EVERYTHING,
     n: int = 10,
-) -> tuple[DataFrame, DataFrame]:
-    """The ``n`` largest rises and falls into the newest month of the range.
+) -> DataFrame:
+    """The ``n`` largest rises and falls into the newest month of the range, as one frame.
 
-    The result is a pair (expansions, contractions); equal changes are ordered by
-    account_id. Account attributes are looked up for the ``n`` winners only.
+    ``direction`` tells the list and ``place`` the rank in it from 1; equal changes are
+    ordered by account_id. Both lists come from one pass over the two newest months, and
+    account attributes are looked up for the winners only. With a month index just the two
+    months' folders are read.
     """
-    # Rows of the two newest months are among each account's two newest rows.
-    rows = newest_rows(scoped_mrr(ctx, start, end, filt), 2)
-    newest = newest_month(rows)
+    rows, newest = _two_newest(ctx, start, end, filt)
     month, mrr = F.col("month"), F.col("total_mrr")
     pair = (
         rows.where(month >= F.add_months(newest, -1))
@@ -168,15 +176,50 @@ def top_movers(
         F.round("before", 2).alias("mrr_prev"),
         F.round(F.col("current") - F.col("before"), 2).alias("mrr_delta"),
     )
-    delta = F.col("mrr_delta")
-    return (
-        _with_attributes(scored, delta.desc_nulls_last(), ctx.accounts, n),
-        _with_attributes(scored, delta.asc_nulls_last(), ctx.accounts, n),
+    # One row an account and list; falls are ranked by the change turned round.
+    signed = F.inline(
+        F.array(
+            F.struct(F.lit(EXPANSION).alias("direction"), F.col("mrr_delta").alias("gain")),
+            F.struct(F.lit(CONTRACTION).alias("direction"), (-F.col("mrr_delta")).alias("gain")),
+        )
+    )
+    ranked = Window.partitionBy("direction").orderBy(F.col("gain").desc_nulls_last(), "account_id")
+    # Tasks keep their own first rows of each list before anything moves.
+    top = (
+        scored.select("*", signed)
+        .withColumn("place", F.row_number().over(ranked))
+        .where(F.col("place") <= n)
+        .drop("gain")
     )
+    attributes = ctx.accounts.select("account_id", "account_name", "segment", "region", "industry")
+    winners = F.broadcast(top) if n <= BROADCAST_ROWS else top
+    return winners.join(attributes, "account_id")
+
+
+def _two_newest(ctx: Context, start: date, end: date, filt: DimFilter) -> tuple[DataFrame, Column]:
+    """Rows that hold those of the newest month of the selected accounts and of the month
+    before, and that newest month."""
+    scoped = scoped_mrr(ctx, start, end, filt)
+    if ctx.months is None:
+        # They are among each account's two newest rows.
+        rows = newest_rows(scoped, 2)
+        return rows, newest_month(rows)
+    newest = indexed_months(ctx.months.where(in_months(F.col("month"), start, end)), 1)["m0"]
+    month = F.col("month")
+    return scoped.where((month == newest) | (month == F.add_months(newest, -1))), newest
 
 
-def _with_attributes(scored: DataFrame, order: Column, accounts: DataFrame, n: int) -> DataFrame:
-    top = scored.orderBy(order, "account_id").limit(n)
-    attributes = accounts.select("account_id", "account_name", "segment", "region", "industry")
-    # ``top`` holds at most n rows, whatever the data.
-    return F.broadcast(top).join(attributes, "account_id").orderBy(order, "account_id")
+def top_movers(
+    ctx: Context,
+    start: date,
+    end: date,
+    filt: DimFilter = EVERYTHING,
+    n: int = 10,
+) -> tuple[DataFrame, DataFrame]:
+    """The lists of ``movers`` apart: (expansions, contractions)."""
+    both = movers(ctx, start, end, filt, n)
+    shown = [c for c in both.columns if c not in ("direction", "place")]
+    return tuple(
+        both.where(F.col("direction") == name).orderBy("place").select(*shown)
+        for name in (EXPANSION, CONTRACTION)
+    )

@@ -99,7 +99,7 @@ def retention_trend(ctx: Context, start: date, end: date, filt: DimFilter = EVER
     """
     timeline = Window.partitionBy("account_id").orderBy("month")
     mrr = F.col("total_mrr")
-    followed = scoped_mrr(ctx, start, end, filt).select(
+    followed = scoped_mrr(ctx, start, end, filt, by_account=True).select(
         "month",
         "total_mrr",
         F.when(

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from revtide.operators import deals, health, mrr, retention, semantic, stages
-from revtide.operators.filters import Context
+from revtide.operators.filters import Context, month_index
 from revtide.sources.catalog import write_mart
 
 
@@ -19,18 +19,23 @@ class Marts:
     ``keep`` decides what happens to a mart that others read. By default it stays a
     plan, so one query over a mart is optimised down to the raw scans. A batch build
     passes a function that writes the mart and returns it as stored, and every later
-    mart then starts from storage.
+    mart then starts from storage. Such a build also stores the dense fact's month index,
+    and with ``lay_out`` copies of the revenue facts laid out by account, which metrics
+    that order an account's rows read.
     """
 
     def __init__(
         self,
         raw: Mapping[str, DataFrame],
         as_of: date,
-        keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+        keep: Callable[[str, DataFrame], DataFrame] | None = None,
+        lay_out: Callable[[str, DataFrame], DataFrame] | None = None,
     ):
         self.raw = raw
         self.as_of = as_of
-        self.keep = keep
+        self.stored = keep is not None
+        self.keep = keep or (lambda name, df: df)
+        self.lay_out = lay_out
 
     @cached_property
     def fct_mrr(self) -> DataFrame:
@@ -41,6 +46,19 @@ class Marts:
         dense = mrr.fct_mrr_complete(self.fct_mrr, self.raw["accounts"], self.raw["dim_date"])
         return self.keep("fct_mrr_complete", dense)
 
+    @cached_property
+    def fct_mrr_complete_months(self) -> DataFrame | None:
+        """The dense fact's month index; none beside a fact that is still a plan."""
+        return self.keep("fct_mrr_complete_months", month_index(self.fct_mrr_complete)) if self.stored else None
+
+    @cached_property
+    def fct_mrr_by_account(self) -> DataFrame | None:
+        return self.lay_out("fct_mrr_by_account", self.fct_mrr) if self.lay_out else None
+
+    @cached_property
+    def fct_mrr_complete_by_account(self) -> DataFrame | None:
+        return self.lay_out("fct_mrr_complete_by_account", self.fct_mrr_complete) if self.lay_out else None
+
     @cached_property
     def fct_pipeline(self) -> DataFrame:
         return self.keep("fct_pipeline", deals.fct_pipeline(self.raw["opportunities"], self.as_of))
@@ -56,7 +74,8 @@ class Marts:
 
     @property
     def fct_mrr_enriched(self) -> DataFrame:
-        return mrr.mrr_movement(self.fct_mrr)
+        by_account = self.fct_mrr_by_account
+        return mrr.mrr_movement(self.fct_mrr if by_account is None else by_account)
 
     @property
     def metrics_nrr_monthly(self) -> DataFrame:
@@ -96,7 +115,9 @@ class Marts:
 
     @property
     def fct_account_health(self) -> DataFrame:
-        return health.account_health(self.raw["accounts"], self.fct_mrr_complete, self.fct_pipeline)
+        return health.account_health(
+            self.raw["accounts"], self.fct_mrr_complete, self.fct_pipeline, self.fct_mrr_complete_months
+        )
 
     @property
     def v_gtm_metrics(self) -> DataFrame:
@@ -141,6 +162,14 @@ class MartContext:
         """Marts store no monthly snapshot of health."""
         return None
 
+    @property
+    def months(self) -> DataFrame | None:
+        return self._marts.fct_mrr_complete_months
+
+    @property
+    def by_account(self) -> DataFrame | None:
+        return self._marts.fct_mrr_complete_by_account
+
 
 MART_NAMES = (
     "fct_mrr",
@@ -169,7 +198,10 @@ def build_marts(
     """Write every mart to ``target(name)``, a folder or table name, facts first.
 
     Marts built on a fact read the stored fact, so each fact is computed once. The
-    monthly sums behind three of the marts are stored as ``monthly_revenue``.
+    monthly sums behind three of the marts are stored as ``monthly_revenue``, the dense
+    fact's month index as ``fct_mrr_complete_months``. If the targets are tables, the two revenue
+    facts are also stored in buckets of one account each, as ``fct_mrr_by_account`` and
+    ``fct_mrr_complete_by_account``; a folder cannot keep buckets.
     """
 
     def write(name: str, df: DataFrame) -> DataFrame:
@@ -181,7 +213,16 @@ def build_marts(
         built[name] = write(name, df)
         return built[name]
 
-    marts = Marts(raw, as_of, keep)
+    def lay_out(name: str, df: DataFrame) -> DataFrame:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        built[name] = write_mart(df, target(name), buckets=buckets)
+        return built[name]
+
+    as_tables = "/" not in target("fct_mrr_by_account")
+    marts = Marts(raw, as_of, keep, lay_out if as_tables else None)
+    if as_tables:
+        # Read by metrics over the stored marts only.
+        marts.fct_mrr_complete_by_account
     for name in MART_NAMES:
         df = getattr(marts, name)
         if name not in built:
@@ -201,7 +242,7 @@ def governed_view(marts: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def context_of(tables: Mapping[str, DataFrame | None]) -> Context:
-    """A context over tables named as ``resolve_tables`` names them."""
+    """A context over tables named as ``resolve_tables`` and ``resolve_layouts`` name them."""
     return Context(
         mrr=tables["fct_mrr"],
         pipeline=tables["fct_pipeline"],
@@ -210,4 +251,6 @@ def context_of(tables: Mapping[str, DataFrame | None]) -> Context:
         history=tables.get("stage_history"),
         tickets=tables.get("support_tickets"),
         health=tables.get("health_snapshot"),
+        months=tables.get("mrr_months"),
+        by_account=tables.get("mrr_by_account"),
     )

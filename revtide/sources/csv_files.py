@@ -7,12 +7,13 @@ that does not fit, whatever the session's ANSI setting.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide import schemas
+from revtide.sources.catalog import discard_mart, publish_mart, stage_mart
 
 
 def read_raw_csv(
@@ -72,23 +73,65 @@ def _typed(table: str, name: str, kind: str) -> Column:
     )
 
 
-def load_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
+#: Length of a text column from which on it is taken for free text, which may hold line breaks.
+FREE_TEXT = 200
+
+
+def has_free_text(table: str) -> bool:
+    return any((schemas.text_length(kind) or 0) >= FREE_TEXT for _, kind in schemas.COLUMNS[table])
+
+
+def load_csv(spark: SparkSession, path: str, table: str, multi_line: bool | None = None) -> DataFrame:
     """The typed table of a file or a folder of files.
 
-    Quoted fields may hold line breaks, so a file is read by one task; a large table
-    comes as a folder of files. Without such breaks, ``multi_line=False`` splits files.
+    Quoted fields may hold line breaks where ``multi_line`` says so; a file is then read
+    by one task, and a large table comes as a folder of files. By default that is so for
+    tables with free text; files of the others are split, and a line break inside
+    quotes is a wrong number of fields, which aborts the load.
     """
-    return load_table(read_raw_csv(spark, path, table, multi_line=multi_line), table)
+    whole = has_free_text(table) if multi_line is None else multi_line
+    return load_table(read_raw_csv(spark, path, table, multi_line=whole), table)
+
 
+def load_folder(spark: SparkSession, folder: str, multi_line: bool | None = None) -> dict[str, DataFrame]:
+    """The loaded tables by name, each from ``<folder>/<table>.csv``, a file or a folder.
 
-def load_folder(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, DataFrame]:
-    """The loaded tables by name, each from ``<folder>/<table>.csv``, a file or a folder."""
+    They are plans; ``load_into`` stores them all or none.
+    """
     return {
         table: load_csv(spark, f"{folder}/{table}.csv", table, multi_line)
         for table in schemas.LOADED_TABLES
     }
 
 
+def load_into(
+    spark: SparkSession,
+    folder: str,
+    target: Callable[[str], str] = "raw.{}".format,
+    multi_line: bool | None = None,
+) -> dict[str, DataFrame]:
+    """Load every table and store it as ``target(table)``: all of them, or none.
+
+    First each table is read, typed and written as a version that nobody sees. Only
+    when the last one is whole are they published, one quick switch each; a value that
+    does not fit drops what was staged and leaves the tables as they were.
+    """
+    staged: dict[str, str] = {}
+    try:
+        for table, df in load_folder(spark, folder, multi_line).items():
+            staged[table] = stage_mart(df, target(table))
+    except BaseException:
+        for version in staged.values():
+            discard_mart(spark, version)
+        raise
+    for table, version in staged.items():
+        publish_mart(spark, target(table), version)
+    return {
+        table: spark.read.schema(schemas.schema(table)).parquet(target(table)) if "/" in target(table) else spark.table(target(table))
+        for table in staged
+    }
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, row_count), one row per table."""
     counts = [

@@ -39,3 +39,55 @@ def test_write_mart_replaces(frame, tmp_path):
 def test_register_view(spark, frame):
     catalog.register_view(frame("a int", [(1,)]), "v_one")
     assert spark.sql("select a from v_one").first().a == 1
+
+
+def failing(frame):
+    from pyspark.sql import functions as F
+
+    return frame("a int", [(k,) for k in range(50)]).withColumn("a", F.when(F.col("a") == 49, F.raise_error(F.lit("half way")).cast("int")).otherwise(F.col("a")))
+
+
+@pytest.mark.parametrize("where", ["folder", "table"])
+def test_a_write_that_fails_leaves_the_old_rows(spark, frame, tmp_path, where):
+    spark.sql("create database if not exists sink_x")
+    target = str(tmp_path / "mart") if where == "folder" else "sink_x.mart"
+
+    def shown():
+        return sorted(r.a for r in (spark.read.parquet(target) if where == "folder" else spark.table(target)).collect())
+
+    catalog.write_mart(frame("a int", [(1,), (2,)]), target)
+    with pytest.raises(Exception, match="half way"):
+        catalog.write_mart(failing(frame), target)
+    assert shown() == [1, 2]
+    # Rebuilt from itself.
+    old = spark.read.parquet(target) if where == "folder" else spark.table(target)
+    stored = catalog.write_mart(old.selectExpr("a * 10 as a"), target)
+    assert shown() == sorted(r.a for r in stored.collect()) == [10, 20]
+    left = [p.name for p in tmp_path.iterdir()] if where == "folder" else [r.tableName for r in spark.sql("show tables in sink_x").collect()]
+    # The version before stays for its readers, nothing else does.
+    assert len([x for x in left if x.startswith("mart")]) == (1 if where == "folder" else 3)
+
+
+def test_readers_of_the_version_before_go_on(spark, frame):
+    spark.sql("create database if not exists sink_x")
+    catalog.write_mart(frame("a int", [(1,)]), "sink_x.kept")
+    reader = spark.table("sink_x.kept")
+    catalog.write_mart(frame("a int, b int", [(2, 3)]), "sink_x.kept")
+    assert [r.a for r in reader.collect()] == [1]
+    assert spark.table("sink_x.kept").columns == ["a", "b"]
+
+
+def test_a_plain_table_becomes_a_version(spark, frame):
+    spark.sql("create database if not exists sink_x")
+    frame("a int", [(7,)]).write.mode("overwrite").saveAsTable("sink_x.plain")
+    catalog.write_mart(spark.table("sink_x.plain").selectExpr("a + 1 as a"), "sink_x.plain")
+    assert [r.a for r in spark.table("sink_x.plain").collect()] == [8]
+
+
+def test_layouts_of_another_fact_are_not_used(spark, frame):
+    spark.sql("create database if not exists sink_x")
+    for name in ("fact", "fact_months"):
+        catalog.write_mart(frame("a int", [(1,)]), f"sink_x.{name}")
+    layouts = {"mrr_months": ("sink_x.fact", "sink_x.fact_months"), "mrr_by_account": ("sink_x.fact", "sink_x.none")}
+    assert catalog.resolve_layouts(spark, {"fct_mrr": "sink_x.fact"}, layouts) == {"mrr_months": "sink_x.fact_months"}
+    assert catalog.resolve_layouts(spark, {"fct_mrr": "sink_x.other"}, layouts) == {}

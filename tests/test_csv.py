@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from revtide import schemas
-from revtide.sources.csv_files import export_csv, load_csv, read_raw_csv, row_counts
+from revtide.sources.csv_files import export_csv, has_free_text, load_csv, load_into, read_raw_csv, row_counts
 
 HISTORY = "opp_id,account_id,stage,stage_start_date,stage_end_date\n"
 PRODUCTS = "product_id,product_name,product_family,list_price_mrr,is_addon\n"
@@ -110,3 +110,34 @@ def test_partial_dates_are_refused(spark, csv, text):
     path = csv(HISTORY + f"1,a,x,{text},NaT\n")
     with pytest.raises(Exception, match="not a valid date"):
         load_csv(spark, path, "opportunity_stage_history").collect()
+
+
+def test_tables_are_loaded_all_or_none(spark, small, tmp_path):
+    from revtide.sources.star_schema import RawTables
+
+    spark.sql("create database if not exists load_x")
+    source = RawTables(spark, small)
+    for table in schemas.LOADED_TABLES:
+        export_csv(source[table].limit(20), f"{tmp_path}/{table}.csv")
+    last = schemas.LOADED_TABLES[-1]
+    (tmp_path / f"{last}.csv" / "part-bad.csv").write_text(",".join(n for n, _ in schemas.COLUMNS[last]) + "\n1,1,1,2020-99-01,2020-01-01,1,x,y,2020-01-01\n")
+    with pytest.raises(Exception, match="not a valid date"):
+        load_into(spark, str(tmp_path), "load_x.{}".format)
+    assert [r.tableName for r in spark.sql("show tables in load_x").collect() if not r.isTemporary] == []
+    (tmp_path / f"{last}.csv" / "part-bad.csv").write_text(",".join(n for n, _ in schemas.COLUMNS[last]) + "\n")
+    loaded = load_into(spark, str(tmp_path), "load_x.{}".format)
+    assert set(loaded) == set(schemas.LOADED_TABLES)
+    assert all(df.count() == min(20, source[t].count()) for t, df in loaded.items())
+    assert loaded[last].schema.simpleString() == schemas.schema(last).simpleString()
+
+
+def test_files_without_free_text_are_split(spark, tmp_path):
+    assert [t for t in schemas.COLUMNS if not has_free_text(t)] == ["dim_date", "opportunity_stage_history", "subscriptions", "subscription_monthly_mrr", "invoices"]
+    (tmp_path / "h.csv").write_text(HISTORY + "".join(f"{k},a,s,2024-01-05,\n" for k in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        df = load_csv(spark, str(tmp_path / "h.csv"), "opportunity_stage_history")
+        assert df.rdd.getNumPartitions() > 2 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

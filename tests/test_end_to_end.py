@@ -4,8 +4,8 @@ from revtide.operators import health, mrr
 from revtide.plans import queries as q
 from revtide.plans.marts import build_marts, context_of, governed_view
 from revtide.schemas import LOADED_TABLES
-from revtide.sources.catalog import ensure_layers, register_view, resolve_tables, write_mart
-from revtide.sources.csv_files import export_csv, load_folder, row_counts
+from revtide.sources.catalog import ensure_layers, register_view, resolve_layouts, resolve_tables, write_mart
+from revtide.sources.csv_files import export_csv, load_into, row_counts
 from revtide.sources.star_schema import RawTables
 
 
@@ -18,10 +18,7 @@ def test_files_to_metrics(spark, small, tmp_path):
     for table in LOADED_TABLES:
         export_csv(source[table], f"{tmp_path}/{table}.csv")
     ensure_layers(spark)
-    raw = {
-        table: write_mart(df, f"raw.{table}")
-        for table, df in load_folder(spark, str(tmp_path)).items()
-    }
+    raw = load_into(spark, str(tmp_path))
     assert same(row_counts(raw), q.QUERIES["load_row_counts"](spark, small))
     assert same(raw["opportunities"], source["opportunities"])
 
@@ -32,11 +29,17 @@ def test_files_to_metrics(spark, small, tmp_path):
     resolved = resolve_tables(spark)
     assert resolved["fct_mrr"] == "marts.fct_mrr_complete"
     assert resolved["health_snapshot"] == "marts.fct_account_health"
-    tables = {name: spark.table(table) for name, table in resolved.items() if table}
+    layouts = resolve_layouts(spark, resolved)
+    assert set(layouts) == {"mrr_months", "mrr_by_account"}
+    tables = {name: spark.table(table) for name, table in {**resolved, **layouts}.items() if table}
     ctx = context_of(tables)
     assert ctx.tickets is None
     lazy = q._marts(spark, small).context()
     assert same(mrr.arr_trend(ctx, q.START, q.END), mrr.arr_trend(lazy, q.START, q.END))
+    assert same(mrr.movers(ctx, q.START, q.END), mrr.movers(lazy, q.START, q.END))
+    # The stored health mart holds no months, so health is computed.
+    snapshot = health.health_snapshot(ctx, q.START, q.END)
+    assert same(snapshot, health.computed_health(ctx, q.START, q.END).select(snapshot.columns)) and snapshot.count() == 150
     scored = health.computed_health(ctx, q.START, q.END)
     assert scored.where("ticket_cnt_90d <> 0").count() == 0 and scored.count() == 150
 

@@ -143,3 +143,35 @@ def test_stored_snapshot_or_computed(spark, small):
     assert shown(kept) == [(account, 5, "New")]
     computed = computed_health(ctx, q.START, q.END).select("account_id", "health_score", "health_status")
     assert shown(kept[2:]) == shown([]) == sorted(map(tuple, computed.collect()))
+
+
+def test_an_unreadable_snapshot_falls_back(spark, small, tmp_path):
+    from revtide.operators.filters import Context
+    from revtide.operators.health import computed_health, health_snapshot
+    from revtide.plans import queries as q
+
+    ctx = q._marts(spark, small).context()
+    schema = "account_id string, month date, health_score int, health_status string"
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet at all, but long enough to be read")
+    broken = spark.read.schema(schema).parquet(str(tmp_path / "broken"))
+    wanted = sorted(map(tuple, computed_health(ctx, q.START, q.END).select("account_id", "health_score", "health_status").collect()))
+    for stored in (broken, broken.drop("month"), broken.drop("health_status")):
+        own = Context(ctx.mrr, ctx.pipeline, ctx.accounts, ctx.reps, tickets=ctx.tickets, health=stored)
+        found = health_snapshot(own, q.START, q.END)
+        assert sorted(map(tuple, found.collect())) == wanted
+        assert "broken" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_snapshot_that_serves_is_read_alone(spark, small, tmp_path):
+    from revtide.operators.filters import Context
+    from revtide.operators.health import health_snapshot
+    from revtide.plans import queries as q
+
+    ctx = q._marts(spark, small).context()
+    schema = "account_id string, month date, health_score int, health_status string"
+    spark.createDataFrame([("1", q.END, 5, "New")], schema).write.parquet(str(tmp_path / "kept"))
+    own = Context(ctx.mrr, ctx.pipeline, ctx.accounts, ctx.reps, tickets=ctx.tickets, health=spark.read.parquet(str(tmp_path / "kept")))
+    found = health_snapshot(own, q.START, q.END)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "orders" not in text and [tuple(r) for r in found.collect()] == [("1", 5, "New")]

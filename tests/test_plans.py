@@ -1,11 +1,15 @@
 """Properties of the physical plans that decide how queries scale."""
 
 import re
+from datetime import date
 
 import pytest
 
+from revtide.operators import health, mrr, retention
+from revtide.operators.filters import EVERYTHING, Context
 from revtide.plans import queries as q
 from revtide.plans.marts import MART_NAMES, build_marts
+from revtide.sources.catalog import CURRENT, write_mart
 from revtide.sources.star_schema import RawTables
 
 
@@ -52,7 +56,8 @@ def test_close_month_range_reaches_the_reader(spark, frame, tmp_path, small):
 
 def test_batch_build_stores_every_mart(spark, small, tmp_path):
     stored = build_marts(RawTables(spark, small), q.AS_OF, lambda name: str(tmp_path / name))
-    assert set(stored) == {*MART_NAMES, "monthly_revenue"}
+    # Folders keep no buckets, so there is no layout by account.
+    assert set(stored) == {*MART_NAMES, "monthly_revenue", "fct_mrr_complete_months"}
     lazy = q._marts(spark, small)
     for name in ("metrics_nrr_monthly", "metrics_pipeline_coverage", "fct_account_health"):
         ours = getattr(lazy, name)
@@ -120,12 +125,12 @@ def test_a_hot_account_is_split_when_rows_meet_their_account(spark, frame):
 
 
 def months_read(df, folder):
-    """Month folders that each scan of the stored fact read, after running ``df``."""
+    """Month folders that each scan of the stored fact read, in subqueries too, after running ``df``."""
     df.collect()
     read = []
 
     def walk(node):
-        if node.nodeName().startswith("Scan parquet") and f"{folder}]" in node.toString():
+        if node.nodeName().startswith("Scan parquet") and re.search(rf"{re.escape(folder)}(/|\]|,)", node.toString()):
             read.append(node.metrics().apply("numPartitions").value())
         if node.nodeName() == "AdaptiveSparkPlan":
             walk(node.executedPlan())
@@ -133,23 +138,94 @@ def months_read(df, folder):
             walk(node.plan())
         for i in range(node.children().size()):
             walk(node.children().apply(i))
+        for i in range(node.subqueries().size()):
+            walk(node.subqueries().apply(i))
 
     walk(df._jdf.queryExecution().executedPlan())
     return read
 
 
-def test_month_bounds_prune_the_stored_fact(spark, small, tmp_path):
-    from revtide.operators import health, mrr
-    from revtide.operators.filters import Context
-    from revtide.sources.catalog import write_mart
+@pytest.fixture(scope="module")
+def built(spark, small):
+    """Stored marts as tables, and the context over them."""
+    spark.sql("create database if not exists plan_marts")
+    raw = RawTables(spark, small)
+    marts = build_marts(raw, q.AS_OF, lambda name: f"plan_marts.{name}")
+    ctx = Context(
+        mrr=marts["fct_mrr_complete"],
+        pipeline=marts["fct_pipeline"],
+        accounts=raw["accounts"],
+        reps=raw["sales_reps"],
+        tickets=raw["support_tickets"],
+        months=marts["fct_mrr_complete_months"],
+        by_account=marts["fct_mrr_complete_by_account"],
+    )
+    return marts, ctx, spark.sql("show tblproperties plan_marts.fct_mrr_complete").collect()
+
+
+def dense_folder(built):
+    return next(r.value for r in built[2] if r.key == CURRENT).split(".")[1]
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_newest_months_come_from_the_index(built, spark, small):
+    marts, ctx, _ = built
+    folder, lazy = dense_folder(built), q._marts(spark, small).context()
+    health_ = health.account_health(ctx.accounts, ctx.mrr, ctx.pipeline, ctx.months)
+    assert months_read(health_, folder) == [3]
+    assert rows_of(health_) == rows_of(health.account_health(ctx.accounts, ctx.mrr, ctx.pipeline))
+    for filt in (EVERYTHING, q.OWNER_FILTER):
+        for end in (q.END, q.BOUNDARY_END):
+            both = mrr.movers(ctx, q.START, end, filt, n=20)
+            assert months_read(both, folder) == [2]
+            assert rows_of(both) == rows_of(mrr.movers(lazy, q.START, end, filt, n=20))
+            scored = health.computed_health(ctx, q.START, end, filt)
+            assert months_read(scored, folder) == [3]
+            assert rows_of(scored) == rows_of(health.computed_health(lazy, q.START, end, filt))
+
+
+def test_index_of_a_range_without_months(built):
+    _, ctx, _ = built
+    early = date(1900, 1, 1), date(1900, 5, 1)
+    assert mrr.movers(ctx, *early).collect() == []
+    assert health.computed_health(ctx, *early).collect() == []
+
+
+def test_windows_by_account_need_no_shuffle_on_stored_marts(built, spark, small):
+    marts, ctx, _ = built
+    lazy = q._marts(spark, small)
 
+    def exchanges_below_the_window(df):
+        lines = plan(df).splitlines()
+        at = next(i for i, line in enumerate(lines) if " Window " in line)
+        return [line for line in lines[at:] if "Exchange hashpartitioning" in line]
+
+    enriched = mrr.mrr_movement(marts["fct_mrr_by_account"])
+    assert exchanges_below_the_window(enriched) == []
+    assert rows_of(enriched) == rows_of(marts["fct_mrr_enriched"]) == rows_of(lazy.fct_mrr_enriched)
+    for filt in (EVERYTHING, q.OWNER_FILTER):
+        summary = mrr.movement_summary(ctx, q.START, q.END, filt)
+        trend = retention.retention_trend(ctx, q.START, q.END, filt)
+        assert exchanges_below_the_window(summary) == [] and rows_of(summary) == rows_of(mrr.movement_summary(lazy.context(), q.START, q.END, filt))
+        lines = plan(trend).splitlines()
+        by_account = [line for line in lines if "hashpartitioning(account_id" in line]
+        assert by_account == [] and rows_of(trend) == rows_of(retention.retention_trend(lazy.context(), q.START, q.END, filt))
+    # Month ranges still prune the layout by month.
+    assert months_read(mrr.arr_trend(ctx, q.COHORT, q.END), dense_folder(built)) == [2]
+
+
+def test_without_an_index_the_stored_fact_is_read_once(spark, small, tmp_path):
     marts = q._marts(spark, small)
     folder = str(tmp_path / "dense")
     fact = write_mart(marts.fct_mrr_complete, folder, ["month"])
     ctx = Context(fact, marts.fct_pipeline, marts.raw["accounts"])
-    assert months_read(health.latest_snapshot(fact, q.START, q.END), folder) == [1]
+    assert 1 in months_read(health.latest_snapshot(fact, q.START, q.END), folder)
     # The newest rows of each account and the newest month come from one scan of all months.
     assert months_read(mrr.top_movers(ctx, q.START, q.END)[0], folder) == [80]
     assert months_read(mrr.arr_trend(ctx, q.COHORT, q.END), folder) == [2]
     scored = health.account_health(ctx.accounts, fact, ctx.pipeline)
-    assert months_read(scored, folder) == [3]
+    # Its bound reads every month.
+    assert sorted(months_read(scored, folder)) == [3, 80]
