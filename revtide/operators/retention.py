@@ -166,21 +166,28 @@ def retention_quality(
     counts = per_account.agg(
         count_if(F.col("in_cohort")).alias("cohort"), count_if(covered).alias("following")
     )
-    known = cohort.isNotNull()
-    measured = counts.select(
-        F.when(known, F.col("cohort")).alias("cohort_accounts"),
-        F.when(known, F.col("following")).alias("next_month_accounts"),
-        F.when(known, percent(F.col("following"), F.col("cohort"))).alias("next_month_coverage_pct"),
-        known.alias("known"),
+    return counts.select(
+        F.inline(F.array(quality_of(cohort, F.col("cohort"), F.col("following"), threshold)))
     )
-    readable = F.coalesce(F.col("next_month_coverage_pct") >= threshold, F.lit(False))
-    return measured.select(
-        "cohort_accounts",
-        "next_month_accounts",
-        "next_month_coverage_pct",
+
+
+def quality_of(
+    cohort_month: Column,
+    cohort_accounts: Column,
+    next_month_accounts: Column,
+    threshold: float = COVERAGE_THRESHOLD_PCT,
+) -> Column:
+    """The gate's record from its counts; null counts where there is no cohort month."""
+    known = cohort_month.isNotNull()
+    coverage = F.when(known, percent(next_month_accounts, cohort_accounts))
+    readable = F.coalesce(coverage >= threshold, F.lit(False))
+    return F.struct(
+        F.when(known, cohort_accounts).alias("cohort_accounts"),
+        F.when(known, next_month_accounts).alias("next_month_accounts"),
+        coverage.alias("next_month_coverage_pct"),
         readable.alias("retention_interpretable"),
         F.lit(float(threshold)).alias("coverage_threshold_pct"),
-        F.when(~F.col("known"), NOTE_NO_COHORT)
+        F.when(~known, NOTE_NO_COHORT)
         .when(readable, NOTE_INTERPRETABLE)
         .otherwise(NOTE_NOT_INTERPRETABLE)
         .alias("retention_note"),

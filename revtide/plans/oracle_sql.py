@@ -409,27 +409,35 @@ left join (select * from {ranked} where pos = 2) s on true
 """
 
 
-def _alerts() -> str:
+def _alerts(nrr: float = 90, grr: float = 90, coverage: float = 3) -> str:
     ret = _retention(q.START, q.END)
     return f"""
 with ret as (select * from ({_with(ret)}) where start_mrr > 0 order by month desc limit 1),
 cov as ({_with(_coverage(q.START, q.END))}),
 arr as (select row_number() over (order by month desc) as pos, total_arr
   from ({_with(_arr(q.START, q.BOUNDARY_END))}))
-select 'nrr' as rule, nrr_pct as value, cast(90 as double) as threshold,
-  'Net Revenue Retention below 90% (NRR=' || format('{{:.2f}}', nrr_pct) || '%).' as message
-from ret where nrr_pct < 90
-union all select 'grr', grr_pct, 90,
-  'Gross Revenue Retention below 90% (GRR=' || format('{{:.2f}}', grr_pct) || '%).'
-from ret where grr_pct < 90
-union all select 'coverage', pipeline_coverage_ratio, 3,
-  'Pipeline coverage below 3.0x (Coverage=' || format('{{:.2f}}', pipeline_coverage_ratio) || 'x).'
-from cov where pipeline_coverage_ratio < 3
+select 'nrr' as rule, nrr_pct as value, cast({nrr} as double) as threshold,
+  'Net Revenue Retention below {nrr:.0f}% (NRR=' || format('{{:.2f}}', nrr_pct) || '%).' as message
+from ret where nrr_pct < {nrr}
+union all select 'grr', grr_pct, {grr},
+  'Gross Revenue Retention below {grr:.0f}% (GRR=' || format('{{:.2f}}', grr_pct) || '%).'
+from ret where grr_pct < {grr}
+union all select 'coverage', pipeline_coverage_ratio, {coverage},
+  'Pipeline coverage below {coverage:.1f}x (Coverage=' || format('{{:.2f}}', pipeline_coverage_ratio) || 'x).'
+from cov where pipeline_coverage_ratio < {coverage}
 union all select 'arr_trend', x.total_arr, y.total_arr, 'ARR trending down over recent months.'
 from arr x join arr y on x.pos = 1 and y.pos = 3 where x.total_arr < y.total_arr
 """
 
 
+def _tail_records() -> str:
+    return f"""
+select cast(row_number() over (order by month) - 1 as integer) as place,
+  strftime(month, '%Y-%m-%dT00:00:00.000') as month, total_arr
+from (select * from ({_with(_arr(q.START, q.END))}) order by month desc limit 12)
+"""
+
+
 def _assessment(r: str) -> str:
     return (
         f"case when {r} is null then 'unknown' when {r} < 3 then 'low' when {r} < 6 then 'healthy'"
@@ -592,6 +600,7 @@ BODIES: dict[str, str] = {
         f"select '{t}' as table_name, count(*) as row_count from {t}" for t in LOADED_TABLES
     ),
     "filtered_arr_trend": _arr(q.START, q.END, q.OWNER_FILTER),
+    "filtered_by_industry_and_team": _arr(q.START, q.END, q.TEAM_FILTER),
     "filtered_open_pipeline": f"""
 select opp_id, account_id, rep_id, current_stage, {_money('a')} as amount,
   cast(w as double) / 10000 as weighted_pipeline
@@ -825,6 +834,8 @@ select account_id, health_score, health_status from ({BODIES["fct_account_health
 ORACLE_SQL: dict[str, str] = {
     **{name: _with(body) for name, body in BODIES.items()},
     "kpi_alerts": _alerts().strip(),
+    "kpi_alerts_tight": _alerts(q.TIGHT.nrr_below, q.TIGHT.grr_below, q.TIGHT.coverage_below).strip(),
+    "tail_records": _tail_records().strip(),
     "evidence_pack": _evidence(),
     "response_sections": _replies().strip(),
 }

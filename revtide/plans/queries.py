@@ -24,7 +24,6 @@ from revtide.operators import (
 from revtide.operators.filters import Context, DimFilter
 from revtide.plans.marts import Marts
 from revtide.schemas import LOADED_TABLES
-from revtide.session import stored
 from revtide.sources.csv_files import row_counts
 from revtide.sources.star_schema import RawTables
 
@@ -44,6 +43,12 @@ OWNER_FILTER = DimFilter(
     regions=("ASIA", "EUROPE", "AMERICA"),
     rep_regions=("AFRICA", "AMERICA", "ASIA"),
 )
+INDUSTRIES = tuple(f"NATION_{k}" for k in range(16))
+TEAMS = tuple(f"NATION_{k}" for k in range(5, 20))
+#: Industry and team, which the other filters leave open.
+TEAM_FILTER = DimFilter(industries=INDUSTRIES, rep_teams=TEAMS)
+#: Limits that every rule of the alerts crosses on the given tables.
+TIGHT = kpi.Thresholds(nrr_below=1000.0, grr_below=1000.0, coverage_below=1e9)
 REP_FILTER = DimFilter(
     segments=("BUILDING", "HOUSEHOLD"),
     rep_regions=("AMERICA", "ASIA", "MIDDLE EAST"),
@@ -76,10 +81,10 @@ def _on_context(build: Callable[[Context], DataFrame]) -> Query:
     return lambda spark, folder: _plain(build(_marts(spark, folder).context()))
 
 
-def _alerts(ctx: Context) -> DataFrame:
+def _alerts(ctx: Context, thresholds: kpi.Thresholds = kpi.Thresholds()) -> DataFrame:
     kpis = kpi.kpi_retention(retention.retention_trend(ctx, START, END))
     coverage = deals.coverage_3m(ctx, START, END)
-    return kpi.alerts(kpis, coverage, mrr.arr_trend(ctx, START, BOUNDARY_END))
+    return kpi.alerts(kpis, coverage, mrr.arr_trend(ctx, START, BOUNDARY_END), thresholds)
 
 
 def _coverage_classes(ctx: Context) -> DataFrame:
@@ -163,11 +168,16 @@ def _filtered_open_pipeline(ctx: Context) -> DataFrame:
 
 
 def _evidence_pack(spark: SparkSession, folder: str) -> DataFrame:
-    """The document reads the revenue fact many times, so it is stored first."""
-    ctx = _marts(spark, folder).context()
-    fact = stored(ctx.mrr.select("account_id", "month", "total_mrr"))
-    kept = Context(fact, ctx.pipeline, ctx.accounts, ctx.reps)
-    return evidence.evidence_pack(kept, START, END, target_x=TARGET_X)
+    return evidence.evidence_pack(_marts(spark, folder).context(), START, END, target_x=TARGET_X)
+
+
+def _tail_records(ctx: Context) -> DataFrame:
+    """The last twelve months of revenue as records, one row each."""
+    series = mrr.arr_trend(ctx, START, END)
+    records = evidence.tail_records(series, evidence.SERIES_ROWS, "month", ["month", "total_arr"])
+    return records.select(F.posexplode("records").alias("place", "r")).select(
+        "place", F.col("r.MONTH").alias("month"), F.col("r.TOTAL_ARR").alias("total_arr")
+    )
 
 
 def _health_snapshot(marts: Marts) -> DataFrame:
@@ -254,6 +264,7 @@ QUERIES: dict[str, Query] = {
     "load_row_counts": _load_row_counts,
     # Filters and lookups.
     "filtered_arr_trend": _on_context(lambda c: mrr.arr_trend(c, START, END, OWNER_FILTER)),
+    "filtered_by_industry_and_team": _on_context(lambda c: mrr.arr_trend(c, START, END, TEAM_FILTER)),
     "filtered_open_pipeline": _on_context(_filtered_open_pipeline),
     "filter_domains": _on_context(lambda c: filters.filter_domains(c.accounts, c.reps)),
     "mrr_month_bounds": _on_context(lambda c: filters.month_bounds(c.mrr, AS_OF)),
@@ -336,6 +347,8 @@ QUERIES: dict[str, Query] = {
         lambda c: kpi.kpi_win_rate(deals.closed_revenue_monthly(c, START, END))
     ),
     "kpi_alerts": _on_context(_alerts),
+    "kpi_alerts_tight": _on_context(lambda c: _alerts(c, TIGHT)),
+    "tail_records": _on_context(_tail_records),
     "coverage_assessment": _on_context(_coverage_classes),
     "retention_display": _on_context(_retention_texts),
     "health_distribution": _on_context(
