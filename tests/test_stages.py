@@ -89,3 +89,43 @@ def test_duration_with_filter(frame):
     assert tuple(s.stage_duration(ctx, DimFilter(segments=("x",))).first()) == ("P", 1, 3.0)
     with pytest.raises(ValueError):
         s.stage_duration(Context(hist, hist, accounts))
+
+
+def test_rows_without_a_deal_move_nowhere(frame, rows):
+    odd = rows + [(None, "a0", "P", day(0), None), (None, "a0", "Q", day(1), None)]
+    odd += [("n", "a0", None, day(0), day(1)), ("n", "a0", "P", None, None), ("n", "a0", "Q", day(2), None)]
+    known = frame(HIST, [r for r in odd if r[0] is not None])
+    assert sorted(map(str, s.stage_conversion(frame(HIST, odd)).collect())) == sorted(map(str, s.stage_conversion(known).collect()))
+    found = sorted((r.from_stage or "", r.to_stage, r.steps) for r in s.stage_steps(frame(HIST, odd[-3:])).collect())
+    # A null start date comes last.
+    assert found == [("", "Q", 1), ("Q", "P", 1)]
+
+
+def test_a_hot_deal_spans_tasks(spark):
+    """One deal owns a third of the distinct rows; no task gets more than twice the median."""
+    from pyspark.sql import functions as F
+
+    n = 60_000
+    start = F.date_add(F.lit(day(0)), (F.col("id") % 1500).cast("int"))
+    hist = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 997).cast("string")).alias("opp_id"),
+        F.lit("a").alias("account_id"),
+        F.concat(F.lit("S"), F.col("id") % 7).alias("stage"),
+        start.alias("stage_start_date"),
+        F.date_add(start, (F.col("id") / 1500).cast("int")).alias("stage_end_date"),
+    )
+    distinct = hist.distinct()
+    assert distinct.count() == n and distinct.where("opp_id = 'hot'").count() == n // 3
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for key, value in zip(kept, ("false", "8", "-1")):
+            spark.conf.set(key, value)
+        steps = s.stage_steps(hist)
+        sizes = sorted(r["count"] for r in steps.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+        assert steps.agg(F.sum("steps")).first()[0] == n - distinct.select("opp_id").distinct().count()
+        plan = s.stage_conversion(hist)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Range (0") == 1 and "ReusedExchange" in plan
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
