@@ -50,15 +50,32 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"u": nodes[more], "v": nodes[roots[more]]})
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+#: A node of this many links, or of this share of all of them, is a hub.
+HUB_LINKS, HUB_SHARE = 1_000, 1e-4
+
+
+def _with_least(links: DataFrame, key: str, least: DataFrame, total: int) -> DataFrame:
+    """Each link with m, the smallest neighbour of its end `key`, or null.
+
+    Links of hubs stay where they are: a hub holds one ten-thousandth of all links or more, so
+    there are ten thousand of them at most, and their rows of `least` are broadcast.
+    """
+    many = links.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= max(HUB_LINKS, HUB_SHARE * total)).select(key)
+    hubs = F.broadcast(many.join(least, key, "left").withColumn("hub", F.lit(True)))
+    marked = links.join(hubs.withColumnRenamed("m", "of_hub"), key, "left")
+    others = marked.where("hub is null").select(*links.columns).join(least, key, "left").select(*links.columns, "m")
+    return marked.where("hub").select(*links.columns, F.col("of_hub").alias("m")).unionByName(others)
+
+
+def _large_star(links: DataFrame, total: int) -> DataFrame:
     """Moves each link's smaller end to that one's smallest neighbour, if it is smaller still."""
     least = links.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
-    return links.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+    return _with_least(links, "v", least, total).select("u", F.coalesce("m", "v").alias("v")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, total: int) -> DataFrame:
     least = links.groupBy("u").agg(F.min("v").alias("m"))
-    moved = links.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = _with_least(links, "u", least, total).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", "m")).distinct()
 
 
@@ -66,7 +83,7 @@ def components(links: DataFrame) -> DataFrame:
     """node and component (its smallest node) of all nodes in links, two columns of longs.
 
     Links of a node to itself and nulls are left out. A node of any degree is summed up
-    before it is shuffled, and its links can be split between tasks.
+    before it is shuffled, and the links of one of many never meet in a task.
     """
     a, b = links.columns
     pairs = links.where(F.col(a) != F.col(b)).select(F.col(a).cast("long"), F.col(b).cast("long"))
@@ -78,4 +95,4 @@ def components(links: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(pairs.select("v", "v").distinct())
         before = now
-        pairs = stored(_small_star(_large_star(pairs)))
+        pairs = stored(_small_star(stored(_large_star(pairs, now[0])), now[0]))

@@ -75,9 +75,9 @@ select doc_id, cast(size as bigint) as size, source_size, target, cast(whole * s
 
 def _rules_sql() -> str:
     """Figures by lists and joins, votes by the same rules, and the rounds written out."""
-    names = rules.KINDS[1:]
+    names = rules.NAMES
     start = ", ".join(f"('{kind}', '{name}', {v}, {x}::double)" for (kind, name, v), x in rules._start().items())
-    shares = ", ".join(f"('{kind}', {rules.GOOD if kind == 'good' else (1 - rules.GOOD) / len(names)}::double)" for kind in rules.KINDS)
+    shares = ", ".join(f"('{kind}', {x}::double)" for kind, x in rules.start_shares().items())
     rounds = [
         f"start as (select * from (values {start}) t(kind, name, vote, rate))",
         "r0 as (select * from start)",
@@ -93,14 +93,9 @@ def _rules_sql() -> str:
             f"s{k + 1} as materialized (select kind, (total + {rules.PRIOR / len(rules.KINDS)}) / (sum(total) over () + {rules.PRIOR}) as share from t{k})"
         )
         rounds.append(
-            f"m{k} as materialized (select kind, name, vote, (coalesce(c.x, 0) + {rules.PRIOR} * rate) / (total + {rules.PRIOR}) as rate from start join t{k} using (kind) "
+            f"r{k + 1} as materialized (select kind, name, vote, (coalesce(c.x, 0) + {rules.PRIOR} * rate) / (total + {rules.PRIOR}) as rate from start join t{k} using (kind) "
             f"left join (select kind, name, vote, sum(e.n * p) as x from e{k} e join cast_votes v on e.pattern = v.pattern group by all) c using (kind, name, vote))"
         )
-        rounds.append(
-            f"r{k + 1} as materialized (select kind, name, vote, case when bound = own then rate when vote = -1 then rate * bound / own else rate * (1 - bound) / (1 - own) end as rate "
-            f"from (select *, case when kind = name then greatest({rules.LEAST_OWN}, own) when kind = 'good' then least({rules.MOST_GOOD}, own) else own end as bound "
-            f"from (select *, max(case when vote = -1 then rate end) over (partition by kind, name) as own from m{k})))"
-        )
     pattern = " || ' ' || ".join(names)
     votes = ", ".join(f"{x} as {n}" for n, x in rules.votes().items())
     return f"""

@@ -8,7 +8,8 @@ The cheapest cuts satisfy
     cost(j) = penalty(j) + size - at(j) + min { cost(i) + at(i) : at(j) - size <= at(i) < at(j) },
 
 a sliding-window minimum, kept in a monotone queue. The stream is solved in chunks; the
-last window of a chunk goes back into the next one.
+last window of a chunk goes back into the next one, so the cuts are the cheapest of each chunk,
+not of the whole stream, and they change with the input's splits.
 
 Defined results. Null text: empty, so the end id alone. Null id: kept as null. Repeated
 rows: each is packed. Empty table: no rows. Other columns are not read.
@@ -30,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from revtide.llm.common import steps
+from revtide.llm.token_counts import PIECE, Merges, byte_letters
 
 SIZE = 1024
 END_ID = 0
@@ -75,13 +77,18 @@ class Encoder:
     def __init__(self, path: str):
         import tiktoken
 
+        # Raises for any other kind of tokenizer than this one encodes.
+        Merges(path)
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
-        letters = _byte_letters()
+        letters = {letter: b for b, letter in enumerate(byte_letters())}
         self.special = [x["content"] for x in told["added_tokens"]]
         ranks = {bytes(letters[c] for c in word): k for word, k in told["model"]["vocab"].items() if word not in self.special}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        # This encoder merges by the rank of what a merge makes; the file's order must be the same.
+        made = [told["model"]["vocab"]["".join(pair.split(" ") if isinstance(pair, str) else pair)] for pair in told["model"]["merges"]]
+        if made != sorted(made):
+            raise ValueError(f"{path}: merges are not in the order of the vocabulary")
+        self.fast = tiktoken.Encoding("own", pat_str=PIECE, mergeable_ranks=ranks, special_tokens={})
         self.path, self.whole = path, None
         self.sentence_end = np.zeros(max(ranks.values()) + 1 + len(self.special), bool)
         for word, k in ranks.items():
@@ -141,13 +148,6 @@ class Encoder:
         return out, counts
 
 
-def _byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in a byte-level vocabulary."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)

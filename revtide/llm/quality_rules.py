@@ -1,11 +1,13 @@
 """Quality rules under weak supervision, in DataFrame functions only.
 
-Rules on a document's figures vote for it (1), against it (-1) or abstain (0). How often
-each pattern of votes occurs is all that expectation-maximisation needs. Documents are good,
-or bad in the way of one of the rules, as bad documents mostly fail one rule and pass the
-others: it alternates between the chance of each kind given a pattern and each rule's
-accuracy, that is how often it casts each vote on each kind. A document stays if the chance
-that it is good is high enough, even if some rule objects.
+Rules on a document's figures vote for it (1), against it (-1) or abstain (0). Strong rules
+object to clear cases, weak ones to hints of the same failing. How often each pattern of
+votes occurs is all that expectation-maximisation needs. Documents are good, or bad by one of
+the failings, as bad documents mostly show one and look well otherwise: it alternates
+between the chance of each kind given a pattern and each rule's accuracy, that is how often
+it casts each vote on each kind, abstentions included. Only a few pseudo-documents hold the
+rates where nothing is seen. A document stays if the chance that it is good is high enough:
+the votes of other rules can outweigh an objection, and objections of weak rules add up.
 
 Defined results. Null or empty text: all figures 0, which fails the base rule. Null id and
 repeated rows: judged like any other row. Equal trigrams are told by a 64-bit hash within
@@ -25,37 +27,46 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: Name, figure, vote against from or up to, vote for up to or from; between them a rule abstains.
-#: As SQL over the figures, so that both engines read the same rules.
+#: Name, failing, strength, figure, vote against from or up to, vote for up to or from; between
+#: them a rule abstains. As SQL over the figures, so that both engines read the same rules.
 RULES = (
-    ("word_length", "word_chars / greatest(n_words, 1)", "> 12", "< 9"),
-    ("symbols", "n_symbols / greatest(n_words, 1)", "> 0.3", "< 0.1"),
-    ("lines", "n_dup_lines / greatest(n_lines, 1)", "> 0.5", "< 0.35"),
-    ("repeats", "n_repeat_words / greatest(n_words, 1)", "> 0.45", "< 0.35"),
-    ("capitals", "n_capitals / greatest(word_chars, 1)", "> 0.4", "< 0.2"),
-    ("variety", "n_distinct_words / greatest(n_words, 1)", "< 0.2", "> 0.4"),
-    ("sentences", "n_stops / greatest(n_words, 1)", "> 0.4", "between 0.01 and 0.3"),
+    ("symbols", "noise", "strong", "n_symbols / greatest(n_words, 1)", "> 0.3", "< 0.1"),
+    ("symbol_share", "noise", "weak", "n_symbols / greatest(word_chars, 1)", "> 0.015", "< 0.005"),
+    ("lines", "repetition", "strong", "n_dup_lines / greatest(n_lines, 1)", "> 0.5", "< 0.35"),
+    ("repeats", "repetition", "strong", "n_repeat_words / greatest(n_words, 1)", "> 0.45", "< 0.35"),
+    ("some_repeats", "repetition", "weak", "n_repeat_words / greatest(n_words, 1)", "> 0.2", "< 0.1"),
+    ("variety", "repetition", "weak", "n_distinct_words / greatest(n_words, 1)", "< 0.2", "> 0.4"),
+    ("word_length", "shape", "strong", "word_chars / greatest(n_words, 1)", "> 12", "< 9"),
+    ("capitals", "shape", "strong", "n_capitals / greatest(word_chars, 1)", "> 0.4", "< 0.2"),
+    ("some_capitals", "shape", "weak", "n_capitals / greatest(word_chars, 1)", "> 0.15", "< 0.1"),
+    ("sentences", "shape", "weak", "n_stops / greatest(n_words, 1)", "> 0.4", "between 0.01 and 0.3"),
 )
+NAMES = tuple(name for name, *_ in RULES)
+KINDS = ("good", *dict.fromkeys(failing for _, failing, *_ in RULES))
 ROUNDS = 15
 VOTES = (-1, 0, 1)
 #: Where the rounds start: how often a rule casts each vote on good documents, on documents
-#: that are bad in its own way and on those that are bad in another.
-ON_GOOD, ON_OWN, ON_OTHER = (0.005, 0.095, 0.9), (0.9, 0.05, 0.05), (0.1, 0.1, 0.8)
+#: that are bad by its failing and on those that are bad by another.
+ON_GOOD = {"strong": (0.005, 0.095, 0.9), "weak": (0.05, 0.15, 0.8)}
+ON_OWN = {"strong": (0.7, 0.1, 0.2), "weak": (0.8, 0.1, 0.1)}
+ON_OTHER = (0.1, 0.1, 0.8)
 #: Documents of each kind that a rule is taken to have voted on so, besides the real ones.
 PRIOR = 20
-#: A rule objects to at least this share of the documents that are bad in its way, and to
-#: at most this share of good ones.
-LEAST_OWN, MOST_GOOD = 0.9, 0.01
 #: Share of good documents at the start.
 GOOD = 0.8
-KINDS = ("good", *(name for name, *_ in RULES))
 
 Rates = dict[tuple[str, str, int], float]  # by kind, rule and vote
 
 
 def _start() -> Rates:
-    of = lambda kind, name: ON_GOOD if kind == "good" else ON_OWN if kind == name else ON_OTHER
-    return {(kind, name, v): x for kind in KINDS for name in KINDS[1:] for v, x in zip(VOTES, of(kind, name))}
+    def of(kind: str, failing: str, strength: str) -> tuple[float, ...]:
+        return ON_GOOD[strength] if kind == "good" else ON_OWN[strength] if kind == failing else ON_OTHER
+
+    return {(kind, name, v): x for kind in KINDS for name, failing, strength, *_ in RULES for v, x in zip(VOTES, of(kind, failing, strength))}
+
+
+def start_shares() -> dict[str, float]:
+    return {kind: GOOD if kind == "good" else (1 - GOOD) / (len(KINDS) - 1) for kind in KINDS}
 
 
 def _less(text: Column, characters: str) -> Column:
@@ -119,7 +130,7 @@ def with_figures(docs: DataFrame) -> DataFrame:
 
 def votes() -> dict[str, str]:
     """SQL of each rule's vote over the figures."""
-    return {name: f"case when {figure} {against} then -1 when {figure} {for_} then 1 else 0 end" for name, figure, against, for_ in RULES}
+    return {name: f"case when {figure} {against} then -1 when {figure} {for_} then 1 else 0 end" for name, _, _, figure, against, for_ in RULES}
 
 
 def base_failed() -> Column:
@@ -132,26 +143,20 @@ def learned(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[dict[str, floa
     There are 3 to the power of rules patterns at most, however many documents.
     """
     start = rates = _start()
-    shares = {kind: GOOD if kind == "good" else (1 - GOOD) / len(RULES) for kind in KINDS}
+    shares = start_shares()
     for _ in range(ROUNDS):
         total = dict.fromkeys(KINDS, 0.0)
         cast = dict.fromkeys(start, 0.0)
         for votes_, n in patterns:
-            weight = {kind: shares[kind] * math.prod(rates[kind, name, v] for name, v in zip(KINDS[1:], votes_)) for kind in KINDS}
+            weight = {kind: shares[kind] * math.prod(rates[kind, name, v] for name, v in zip(NAMES, votes_)) for kind in KINDS}
             for kind, x in weight.items():
                 x *= n / sum(weight.values())
                 total[kind] += x
-                for name, v in zip(KINDS[1:], votes_):
+                for name, v in zip(NAMES, votes_):
                     cast[kind, name, v] += x
         every = sum(total.values()) + PRIOR
         shares = {kind: (total[kind] + PRIOR / len(KINDS)) / every for kind in KINDS}
         rates = {key: (cast[key] + PRIOR * start[key]) / (total[key[0]] + PRIOR) for key in start}
-        for name in KINDS[1:]:
-            for kind, bound in ((name, max(LEAST_OWN, rates[name, name, -1])), ("good", min(MOST_GOOD, rates["good", name, -1]))):
-                own = rates[kind, name, -1]
-                if own != bound:
-                    for v in VOTES:
-                        rates[kind, name, v] *= bound / own if v == -1 else (1 - bound) / (1 - own)
     return shares, rates
 
 
@@ -160,7 +165,7 @@ def chance(shares: dict[str, float], rates: Rates) -> Column:
     weights = {}
     for kind in KINDS:
         weights[kind] = F.lit(shares[kind])
-        for name in KINDS[1:]:
+        for name in NAMES:
             against, none, for_ = (rates[kind, name, v] for v in VOTES)
             weights[kind] = weights[kind] * F.when(F.col(name) == -1, against).when(F.col(name) == 1, for_).otherwise(none)
     return weights["good"] / sum(weights.values())
@@ -169,6 +174,6 @@ def chance(shares: dict[str, float], rates: Rates) -> Column:
 def judged(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """doc_id, the figures, the votes, base_failed, p_good and kept of each row of docs."""
     voted = stored(with_figures(docs).withColumns({name: F.expr(x) for name, x in votes().items()}))
-    counted = voted.where(~base_failed()).groupBy(*KINDS[1:]).agg(F.count("*").alias("n")).orderBy(*KINDS[1:])
+    counted = voted.where(~base_failed()).groupBy(*NAMES).agg(F.count("*").alias("n")).orderBy(*NAMES)
     shares, rates = learned([(tuple(r)[:-1], r["n"]) for r in counted.collect()])
     return voted.withColumns({"base_failed": base_failed(), "p_good": chance(shares, rates)}).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= least))

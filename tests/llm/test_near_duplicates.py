@@ -97,3 +97,22 @@ def test_components_of_a_chain_and_a_hub(spark):
     links = [(k, k + 1) for k in range(100, 160)] + [(500 + k, 300) for k in range(50)] + [(7, 7), (9, None)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long").repartition(8)).collect()}
     assert found == {k: 100 for k in range(100, 161)} | {k: 300 for k in [300, *range(500, 550)]}
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    """Hubs on both ends of links, found with every node of three links taken for one."""
+    import random
+
+    from revtide.llm import components as c
+
+    monkeypatch.setattr(c, "HUB_LINKS", 3)
+    rng = random.Random(5)
+    links = [(k, 7) for k in range(8, 400, 3)] + [(900, k) for k in range(1000, 1100)] + [(k, k + 1) for k in range(2000, 2040)]
+    links += [(rng.randrange(5000, 5200), rng.randrange(5000, 5200)) for _ in range(150)] + [(399, 399), (None, 4)]
+    forest = c.Forest(6000)
+    for a, b in links:
+        if a is not None:
+            forest.link(a, b)
+    nodes = {x for a, b in links if a != b and a is not None for x in (a, b)}
+    made = c.components(spark.createDataFrame(links, "a long, b long").repartition(5)).collect()
+    assert {r.node: r.component for r in made} == {x: forest.root(x) for x in nodes} and len(made) == len(nodes)

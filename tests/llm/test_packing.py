@@ -84,3 +84,19 @@ def test_little_padding(spark):
     pieces = packing.pack(docs, PATH).collect()
     windows = len({p.sequence_id for p in pieces})
     assert sum(p.length for p in pieces) > 0.985 * 1024 * windows
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    import json
+
+    import public_tokenizers
+    import pytest
+
+    with pytest.raises(ValueError, match="not a byte-level"):
+        packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        told = json.load(file)
+    told["model"]["merges"][0], told["model"]["merges"][5] = told["model"]["merges"][5], told["model"]["merges"][0]
+    (tmp_path / "other.json").write_text(json.dumps(told))
+    with pytest.raises(ValueError, match="order"):
+        packing.Encoder(str(tmp_path / "other.json"))

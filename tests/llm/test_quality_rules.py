@@ -30,13 +30,60 @@ def test_documents_as_brute_force(spark, small):
     assert made == {r.doc_id: figures(r.text) for r in docs.collect()}
 
 
-def test_one_objection_of_a_reliable_rule_is_enough():
-    n = len(rules.RULES)
-    good = (1,) * n
-    patterns = [(good, 900), ((1, -1, *good[2:]), 60), ((1, 0, *good[2:]), 40)]
+FOR = dict.fromkeys(rules.NAMES, 1)
+
+
+def votes(**others):
+    return tuple({**FOR, **others}.values())
+
+
+def p_good(spark, patterns, *asked):
+    """The chance of being good of each pattern asked for, by the rates learned from the others."""
     shares, rates = rules.learned(patterns)
-    assert shares["good"] > 0.85
-    assert rates["good", rules.KINDS[2], -1] < 0.0101 < rates["good", rules.KINDS[2], 0]
+    rows = spark.createDataFrame([(k, *x) for k, x in enumerate(asked)], "k int, " + ", ".join(f"{n} int" for n in rules.NAMES))
+    return [r.p for r in rows.select("k", rules.chance(shares, rates).alias("p")).orderBy("k").collect()], rates
+
+
+def test_one_objection_of_a_strong_rule_that_is_seldom_wrong_is_enough(spark):
+    patterns = [(votes(), 900), (votes(symbols=-1, symbol_share=-1), 60), (votes(symbols=0), 40)]
+    (clear, strong, hint), rates = p_good(spark, patterns, votes(), votes(symbols=-1, symbol_share=-1), votes(symbols=0))
+    assert clear > 0.99 and strong < 0.1 and hint > 0.9
+    assert rates["good", "symbols", -1] < 0.01 < rates["noise", "symbols", -1]
+
+
+def test_weak_objections_add_up(spark):
+    """The weak rules of repetition object now and then to good documents, both at once to bad ones."""
+    patterns = [
+        (votes(), 8000),
+        (votes(variety=-1), 150),
+        (votes(some_repeats=-1), 150),
+        (votes(some_repeats=-1, variety=-1), 300),
+        (votes(some_repeats=-1, variety=-1, repeats=-1), 500),
+    ]
+    (one, other, both), rates = p_good(spark, patterns, votes(variety=-1), votes(some_repeats=-1), votes(some_repeats=-1, variety=-1))
+    assert one > 0.5 and other > 0.5 > both
+    # Rates that the rounds have found, far from where they began.
+    assert rates["good", "variety", -1] < 0.03 < rules.ON_GOOD["weak"][0] < rates["repetition", "variety", -1]
+
+
+def test_an_objection_of_a_rule_that_errs_is_outvoted(spark):
+    """A strong rule that objects to a third of otherwise well documents loses its weight."""
+    patterns = [(votes(word_length=-1), 3000), (votes(), 6000), (votes(word_length=-1, capitals=-1, some_capitals=-1), 300)]
+    (kept, dropped), rates = p_good(spark, patterns, votes(word_length=-1), votes(word_length=-1, capitals=-1, some_capitals=-1))
+    assert dropped < 0.5 < kept and rates["good", "word_length", -1] > 0.3
+
+
+def test_abstentions_count(spark):
+    patterns = [(votes(), 5000), (votes(symbols=-1, symbol_share=-1), 300), (votes(symbols=0, symbol_share=-1), 200)]
+    (silent, outspoken), rates = p_good(spark, patterns, votes(symbols=0, symbol_share=-1), votes(symbol_share=-1))
+    assert silent < outspoken
+
+
+def test_labelled_documents_of_the_given_tables(spark):
+    home = "/root/testdata/sf0.1"
+    judged = rules.judged(spark.read.parquet(f"{home}/documents.parquet").select("doc_id", "text")).where("not base_failed")
+    rows = judged.join(spark.read.parquet(f"{home}/labels.parquet"), "doc_id").groupBy("quality", "kept").count().collect()
+    assert {(r.quality, r.kept): r["count"] for r in rows} == {(1, True): 3243, (0, False): 291}
 
 
 def test_judged_rows(spark):
