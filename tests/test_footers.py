@@ -1,0 +1,72 @@
+"""Counts and bounds from footers, and run-time filters below a semi-join."""
+
+from datetime import date
+
+from revtide.operators import filters, quality
+from revtide.operators.filters import DimFilter, month_bounds
+from revtide.plans import queries as q
+from revtide.schemas import LOADED_TABLES
+from revtide.sources.catalog import write_mart
+from revtide.sources.csv_files import row_counts
+from revtide.sources.footers import parquet_by_footers, stored_row_counts
+from revtide.sources.star_schema import RawTables
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_counts_read_no_data(spark, small, tmp_path):
+    raw = RawTables(spark, small)
+    folders = {t: str(tmp_path / t) for t in LOADED_TABLES}
+    for table, folder in folders.items():
+        write_mart(raw[table], folder)
+    counted = stored_row_counts(spark, folders)
+    text = plan(counted)
+    assert text.count("PushedAggregation: [COUNT(*)]") == len(LOADED_TABLES)
+    assert sorted(counted.collect()) == sorted(row_counts({t: raw[t] for t in LOADED_TABLES}).collect())
+    # What is read elsewhere is read as before.
+    assert "PushedAggregation" not in plan(spark.read.parquet(folders["accounts"]).groupBy().count())
+
+
+def test_month_bounds_read_no_data(spark, small, tmp_path):
+    fact = write_mart(q._marts(spark, small).fct_mrr, str(tmp_path / "fact"))
+    bounds = month_bounds(parquet_by_footers(spark, str(tmp_path / "fact")), q.AS_OF)
+    assert "PushedAggregation: [MIN(month), MAX(month)]" in plan(bounds)
+    assert bounds.collect() == month_bounds(fact, q.AS_OF).collect()
+
+
+def test_bounds_of_an_empty_table(spark, frame, tmp_path):
+    write_mart(frame("month date, total_mrr int", []), str(tmp_path / "none"))
+    found = month_bounds(parquet_by_footers(spark, str(tmp_path / "none")), date(2024, 5, 1)).first()
+    assert tuple(found) == (filters.FALLBACK_FIRST_MONTH, date(2024, 5, 1))
+
+
+def test_selected_accounts_filter_the_fact_before_its_shuffle(spark, small, tmp_path):
+    """A semi-join that cannot be broadcast sends a Bloom filter to the scan of the fact."""
+    marts = q._marts(spark, small)
+    fact = write_mart(marts.raw["opportunity_stage_history"], str(tmp_path / "history"))
+    accounts = write_mart(marts.raw["accounts"], str(tmp_path / "accounts"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    chosen = DimFilter(industries=q.INDUSTRIES[:3])
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = chosen.apply(fact, accounts)
+        text = plan(found)
+        below = text[text.rindex("Exchange hashpartitioning(account_id", 0, text.index("/history")) : text.index("/history")]
+        assert "might_contain" in below
+        rows = sorted(map(str, found.collect()))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert rows == sorted(map(str, chosen.apply(fact, accounts).collect())) and rows
+
+
+def test_checks_of_stored_tables(spark, small):
+    """The table checks give the same rows over plans and are registered."""
+    assert "quality_checks" in q.QUERIES and quality.quality_checks(q._marts(spark, small).context()).count() > 0
