@@ -24,8 +24,8 @@ def test_stages_as_brute_force(spark, small):
     spellings = toxicity._Spellings(model)
 
     def odds(text):
-        x = toxicity.features(text, model, spellings)
-        return x[0] * model.weights[0] + x[1] * model.weights[1] + model.weights[2]
+        *weights, bias = model.weights
+        return sum(x * w for x, w in zip(toxicity.features(text, model, spellings), weights, strict=True)) + bias
 
     assert {r["doc_id"] for r in clean} == {r["doc_id"] for r in start if odds(r["text"]) < 0}
     components = near_expected([(r["doc_id"], r["text"]) for r in clean], 80)
