@@ -29,9 +29,11 @@ def closes_in_months(day: Column, start: date, end: date) -> Column:
     range are skipped. A start inside a month leaves that month out, because the
     first of the month lies before it.
     """
-    first = start if start.day == 1 else _next_month(start)
-    return (day >= F.lit(first)) & (day < F.lit(_next_month(end)))
+    first = start if start.day == 1 else months_after(start, 1)
+    return (day >= F.lit(first)) & (day < F.lit(months_after(end, 1)))
 
 
-def _next_month(day: date) -> date:
-    return date(day.year + day.month // 12, day.month % 12 + 1, 1)
+def months_after(day: date, n: int) -> date:
+    """First day of the n-th month after the day's month; n may be negative."""
+    years, month = divmod(day.month - 1 + n, 12)
+    return date(day.year + years, month + 1, 1)

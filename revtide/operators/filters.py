@@ -35,6 +35,15 @@ class Context:
     by_account: DataFrame | None = None
 
 
+@dataclass(frozen=True)
+class MonthRange:
+    """Loaded months: the first, the last with revenue, and the last of the calendar."""
+
+    start: date
+    end: date
+    boundary: date
+
+
 @dataclass(frozen=True)
 class DimFilter:
     """Selected dimension values; an empty selection selects everything.
@@ -203,6 +212,20 @@ def month_bounds(mrr: DataFrame, today: date) -> DataFrame:
     )
 
 
+def loaded_range(months: DataFrame, today: date) -> MonthRange:
+    """The range to show when none is chosen, from a month index; one row is read at once.
+
+    A stored index (``fct_mrr_complete_months``) has one row a month, so the fact itself
+    is not read. Without months the fallback range holds, and without revenue the end is the
+    last month.
+    """
+    paid = F.max(F.when(F.col("has_revenue"), F.col("month")))
+    seen = months.agg(F.min("month").alias("start"), paid.alias("end"), F.max("month").alias("boundary")).first()
+    if seen.start is None:
+        return MonthRange(FALLBACK_FIRST_MONTH, today, today)
+    return MonthRange(seen.start, seen.end or seen.boundary, seen.boundary)
+
+
 def account_directory(accounts: DataFrame) -> DataFrame:
     """Accounts with a label to pick them by."""
     name = F.coalesce("account_name", F.lit(""))

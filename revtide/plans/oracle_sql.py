@@ -148,8 +148,19 @@ def _money(cents: str) -> str:
     return f"(cast({cents} as double) / 100)"
 
 
-def _day(d: date) -> str:
-    return f"date '{d.isoformat()}'"
+def _day(d: date | str) -> str:
+    return d if isinstance(d, str) else f"date '{d.isoformat()}'"
+
+
+def _order_month(end: str, later: int) -> str:
+    """A month counted from that of the first or the last order."""
+    day = f"date_trunc('month', {end}(cast(o_orderdate as date)))"
+    return f"(select cast({day} + interval ({later}) month as date) from orders)"
+
+
+# The loaded months: the first, the last with revenue, the one before it, and the calendar's last.
+START, END = _order_month("min", 0), _order_month("max", 0)
+COHORT, BOUNDARY_END = _order_month("max", -1), _order_month("max", 2)
 
 
 def _in(column: str, values) -> str:
@@ -181,7 +192,7 @@ def _deal_passes(f: q.DimFilter) -> str:
     )
 
 
-def _scope(start: date, end: date, f: q.DimFilter = q.filters.EVERYTHING) -> str:
+def _scope(start: date | str, end: date | str, f: q.DimFilter = q.filters.EVERYTHING) -> str:
     return (
         f"(select account_id, month, c from dense where month >= {_day(start)} and"
         f" month <= {_day(end)} and account_id in ({_accounts_passing(f)}))"
@@ -259,7 +270,7 @@ def _movement(now: str, before: str, rule: str) -> str:
     )
 
 
-def _retention(start: date, end: date, f: q.DimFilter = q.filters.EVERYTHING) -> str:
+def _retention(start: date | str, end: date | str, f: q.DimFilter = q.filters.EVERYTHING) -> str:
     scope = _scope(start, end, f)
     return f"""
 select month, {_money('s')} as start_mrr, {_money('e')} as end_mrr, {_money('k')} as retained_mrr,
@@ -272,7 +283,7 @@ from (select t.month, sum(t.c) as s, sum(coalesce(u.c, 0)) as e,
 """
 
 
-def _closed_series(start: date, end: date, f: q.DimFilter = q.filters.EVERYTHING) -> str:
+def _closed_series(start: date | str, end: date | str, f: q.DimFilter = q.filters.EVERYTHING) -> str:
     return f"""
 select close_month, {_money('a')} as total_closed_revenue,
   {_money('coalesce(won_a, 0)')} as total_won_revenue,
@@ -285,7 +296,7 @@ from (select close_month, sum(a) as a, sum(a) filter (where is_won) as won_a, co
 """
 
 
-def _coverage(start: date, end: date, f: q.DimFilter = q.filters.EVERYTHING) -> str:
+def _coverage(start: date | str, end: date | str, f: q.DimFilter = q.filters.EVERYTHING) -> str:
     return f"""
 select {_money('o')} as total_open_pipeline,
   cast(s as double) / 100 / n as avg_3m_closed_revenue,
@@ -308,13 +319,13 @@ from deals d where not is_closed and {_deal_passes(f)} group by current_stage
 """
 
 
-def _arr(start: date, end: date, f: q.DimFilter = q.filters.EVERYTHING) -> str:
+def _arr(start: date | str, end: date | str, f: q.DimFilter = q.filters.EVERYTHING) -> str:
     return f"""
 select month, {_money('sum(c) * 12')} as total_arr from {_scope(start, end, f)} group by month
 """
 
 
-def _summary(start: date, end: date, f: q.DimFilter = q.filters.EVERYTHING) -> str:
+def _summary(start: date | str, end: date | str, f: q.DimFilter = q.filters.EVERYTHING) -> str:
     return f"""
 select movement_type, count(*) as rows_count, {_money('sum(c - coalesce(b, 0))')} as net_mrr_change
 from (select c, b, {_movement('c', 'b', 'app')} as movement_type
@@ -324,7 +335,7 @@ group by movement_type
 """
 
 
-def _movers(start: date, end: date, order: str) -> str:
+def _movers(start: date | str, end: date | str, order: str) -> str:
     scope = _scope(start, end)
     return f"""
 select s.account_id, {_money('s.c')} as mrr_curr, {_money('s.b')} as mrr_prev,
@@ -342,7 +353,7 @@ order by s.c - s.b {order}, s.account_id limit 10
 """
 
 
-def _health(start: date, end: date) -> str:
+def _health(start: date | str, end: date | str) -> str:
     scope = _scope(start, end)
     newest = f"(select max(month) from {scope})"
     return f"""
@@ -410,12 +421,12 @@ left join (select * from {ranked} where pos = 2) s on true
 
 
 def _alerts(nrr: float = 90, grr: float = 90, coverage: float = 3) -> str:
-    ret = _retention(q.START, q.END)
+    ret = _retention(START, END)
     return f"""
 with ret as (select * from ({_with(ret)}) where start_mrr > 0 order by month desc limit 1),
-cov as ({_with(_coverage(q.START, q.END))}),
+cov as ({_with(_coverage(START, END))}),
 arr as (select row_number() over (order by month desc) as pos, total_arr
-  from ({_with(_arr(q.START, q.BOUNDARY_END))}))
+  from ({_with(_arr(START, BOUNDARY_END))}))
 select 'nrr' as rule, nrr_pct as value, cast({nrr} as double) as threshold,
   'Net Revenue Retention below {nrr:.0f}% (NRR=' || format('{{:.2f}}', nrr_pct) || '%).' as message
 from ret where nrr_pct < {nrr}
@@ -434,7 +445,7 @@ def _tail_records() -> str:
     return f"""
 select cast(row_number() over (order by month) - 1 as integer) as place,
   strftime(month, '%Y-%m-%dT00:00:00.000') as month, total_arr
-from (select * from ({_with(_arr(q.START, q.END))}) order by month desc limit 12)
+from (select * from ({_with(_arr(START, END))}) order by month desc limit 12)
 """
 
 
@@ -446,15 +457,15 @@ def _assessment(r: str) -> str:
 
 
 def _evidence() -> str:
-    arr, ret = _arr(q.START, q.END), _retention(q.START, q.END)
-    closed, stage = _closed_series(q.START, q.END), _by_stage()
+    arr, ret = _arr(START, END), _retention(START, END)
+    closed, stage = _closed_series(START, END), _by_stage()
     steps = {
         "a": _newest(arr, "month", "total_arr", {"total_arr": "v"}),
         "r": _newest(ret, "month", "start_mrr", {"nrr_pct": "n", "grr_pct": "g"}),
         "w": _newest(closed, "close_month", "total_closed_revenue", {"win_rate_pct": "v"}),
-        "c": _coverage(q.START, q.END),
+        "c": _coverage(START, END),
         "h": f"select max(month) as m from ({_with(ret)}) where start_mrr > 0",
-        "d": _quality(False, q.COHORT, q.END),
+        "d": _quality(False, COHORT, END),
     }
     singles = (
         (str(q.TARGET_X), "(select 1)"), ("v_latest", "a"), ("v_delta", "a"), ("n_latest", "r"),
@@ -463,7 +474,8 @@ def _evidence() -> str:
         ("next_month_accounts", "d"), ("next_month_coverage_pct", "d"), ("coverage_threshold_pct", "d"),
     )
     texts = (
-        (f"'{q.START} to {q.END}'", "(select 1)"), (f"'{q.START}'", "(select 1)"), (f"'{q.END}'", "(select 1)"),
+        (f"{START}::varchar || ' to ' || {END}::varchar", "(select 1)"),
+        (f"{START}::varchar", "(select 1)"), (f"{END}::varchar", "(select 1)"),
         ("cast(m as varchar)", "h"), (_assessment("pipeline_coverage_ratio"), "c"),
         ("cast(retention_interpretable as varchar)", "d"), ("retention_note", "d"),
         *((f"'{x.replace(chr(39), chr(39) * 2)}'", "(select 1)") for x in (GROUNDING_RULE, RETENTION_RULE, PIPELINE_RULE)),
@@ -473,11 +485,11 @@ def _evidence() -> str:
         "series.arr_trend_last_12": (arr, "month desc", "month desc"),
         "series.retention_last_12": (ret, "month desc", "month desc"),
         "series.closed_rev_last_12": (closed, "close_month desc", "close_month desc"),
-        "pipeline.coverage_row": (_coverage(q.START, q.END), "1", None),
+        "pipeline.coverage_row": (_coverage(START, END), "1", None),
         "pipeline.open_by_stage_top_8": (stage, "open_pipeline desc nulls last, current_stage", None),
-        "mrr_movement.movement_summary": (_summary(q.START, q.END), "movement_type", None),
-        "mrr_movement.top_expansions": (_movers(q.START, q.END, "desc"), "mrr_delta desc, account_id", None),
-        "mrr_movement.top_contractions": (_movers(q.START, q.END, "asc"), "mrr_delta, account_id", None),
+        "mrr_movement.movement_summary": (_summary(START, END), "movement_type", None),
+        "mrr_movement.top_expansions": (_movers(START, END, "desc"), "mrr_delta desc, account_id", None),
+        "mrr_movement.top_contractions": (_movers(START, END, "asc"), "mrr_delta, account_id", None),
     }
     rows = [f"select '{f}' as field, cast({x} as double) as value, cast(null as varchar) as text from {source}" for f, (x, source) in zip(q.EVIDENCE_NUMBERS, singles, strict=True)]
     rows += [f"select '{f}', cast(null as double), {x} from {source}" for f, (x, source) in zip(q.EVIDENCE_TEXTS, texts, strict=True)]
@@ -495,9 +507,9 @@ def _evidence() -> str:
     return f"with {ctes}\nselect * from (" + "\nunion all ".join(rows) + ")\nwhere value is not null or text is not null"
 
 
-def _quality(strict: bool, cohort: date, end: date) -> str:
-    scope = _scope(q.START, end)
-    following = f"(date '{cohort}' + interval 1 month)"
+def _quality(strict: bool, cohort: date | str, end: date | str) -> str:
+    scope = _scope(START, end)
+    following = f"({_day(cohort)} + interval 1 month)"
     in_cohort = f"select account_id from {scope} where c > 0 and month = {_day(cohort)}"
     in_next = f"select account_id from {scope} where month = {following}"
     if strict:
@@ -528,7 +540,7 @@ def _two_decimals(v: str, suffix: str) -> str:
     return f"coalesce(format('{{:.2f}}{suffix}', cast({v} as double)), '—')"
 
 
-def _months_until(last: date) -> str:
+def _months_until(last: date | str) -> str:
     """Months of the calendar up to ``last``."""
     return f"month <= {_day(last)}"
 
@@ -599,8 +611,8 @@ BODIES: dict[str, str] = {
     "load_row_counts": "\nunion all ".join(
         f"select '{t}' as table_name, count(*) as row_count from {t}" for t in LOADED_TABLES
     ),
-    "filtered_arr_trend": _arr(q.START, q.END, q.OWNER_FILTER),
-    "filtered_by_industry_and_team": _arr(q.START, q.END, q.TEAM_FILTER),
+    "filtered_arr_trend": _arr(START, END, q.OWNER_FILTER),
+    "filtered_by_industry_and_team": _arr(START, END, q.TEAM_FILTER),
     "filtered_open_pipeline": f"""
 select opp_id, account_id, rep_id, current_stage, {_money('a')} as amount,
   cast(w as double) / 10000 as weighted_pipeline
@@ -620,11 +632,11 @@ select account_id, coalesce(account_name, '') as account_name, segment, region,
 from accounts
 """,
     "account_mrr_series": f"""
-select account_id, month, {_money('c')} as total_mrr from dense where {_months_until(q.END)}
+select account_id, month, {_money('c')} as total_mrr from dense where {_months_until(END)}
 """,
     "account_mrr_one_account": f"""
 select account_id, month, {_money('c')} as total_mrr from dense
-where {_months_until(q.END)} and account_id = '{q.ACCOUNT_ID}'
+where {_months_until(END)} and account_id = '{q.ACCOUNT_ID}'
 """,
     "account_opportunities": f"""
 select opp_id, created_date, close_date, current_stage, cast(probability as double) as probability,
@@ -746,40 +758,40 @@ left join closed_months m on m.close_month = r.month
 cross join (select a, (select sum(a) from deals where not is_closed) as o
   from closed_months where close_month is not null order by close_month desc limit 1) v
 """,
-    "app_arr_trend": _arr(q.START, q.END),
-    "app_retention_trend": _retention(q.START, q.END),
-    "app_retention_trend_boundary": _retention(q.START, q.BOUNDARY_END),
-    "app_retention_trend_filtered": _retention(q.START, q.END, q.OWNER_FILTER),
-    "app_closed_revenue_monthly": _closed_series(q.START, q.END),
-    "app_closed_revenue_monthly_filtered": _closed_series(date(1996, 3, 15), q.END, q.REP_FILTER),
-    "app_pipeline_coverage": _coverage(q.START, q.END),
-    "app_pipeline_coverage_filtered": _coverage(q.START, q.END, q.REP_FILTER),
+    "app_arr_trend": _arr(START, END),
+    "app_retention_trend": _retention(START, END),
+    "app_retention_trend_boundary": _retention(START, BOUNDARY_END),
+    "app_retention_trend_filtered": _retention(START, END, q.OWNER_FILTER),
+    "app_closed_revenue_monthly": _closed_series(START, END),
+    "app_closed_revenue_monthly_filtered": _closed_series(date(1996, 3, 15), END, q.REP_FILTER),
+    "app_pipeline_coverage": _coverage(START, END),
+    "app_pipeline_coverage_filtered": _coverage(START, END, q.REP_FILTER),
     "app_open_pipeline_by_stage": _by_stage(),
     "app_open_pipeline_by_stage_filtered": _by_stage(q.REP_FILTER),
-    "app_mrr_movement_summary": _summary(q.START, q.END),
-    "app_mrr_movement_summary_filtered": _summary(date(1999, 1, 1), q.END, q.OWNER_FILTER),
-    "app_top_expansions": _movers(q.START, q.END, "desc"),
-    "app_top_contractions": _movers(q.START, q.END, "asc"),
+    "app_mrr_movement_summary": _summary(START, END),
+    "app_mrr_movement_summary_filtered": _summary(date(1999, 1, 1), END, q.OWNER_FILTER),
+    "app_top_expansions": _movers(START, END, "desc"),
+    "app_top_contractions": _movers(START, END, "asc"),
     "latest_snapshot": f"""
 select account_id, month, {_money('c')} as total_mrr from mrr_cents
-where month = (select max(month) from mrr_cents where {_months_until(q.END)})
+where month = (select max(month) from mrr_cents where {_months_until(END)})
 """,
-    "app_computed_health": _health(q.START, q.END),
-    "app_computed_health_boundary": _health(q.START, q.BOUNDARY_END),
+    "app_computed_health": _health(START, END),
+    "app_computed_health_boundary": _health(START, BOUNDARY_END),
     "app_stage_duration": _stage_days(),
     "app_stage_duration_filtered": _stage_days(q.OWNER_FILTER),
     "app_stage_transitions": _stage_moves(),
     "app_stage_transitions_filtered": _stage_moves(q.OWNER_FILTER),
-    "kpi_arr": _newest(_arr(q.START, q.BOUNDARY_END), "month", "total_arr", {"total_arr": "arr"}),
+    "kpi_arr": _newest(_arr(START, BOUNDARY_END), "month", "total_arr", {"total_arr": "arr"}),
     "kpi_retention": _newest(
-        _retention(q.START, q.END),
+        _retention(START, END),
         "month",
         "start_mrr",
         {"nrr_pct": "nrr", "grr_pct": "grr"},
         "r.start_mrr as start_mrr_latest, ",
     ),
     "kpi_win_rate": _newest(
-        _closed_series(q.START, q.END),
+        _closed_series(START, END),
         "close_month",
         "total_closed_revenue",
         {"win_rate_pct": "win_rate"},
@@ -794,16 +806,16 @@ select month, {', '.join(
     f"case when start_mrr > 0 and {c}_pct = 0 then 'Data not loaded for selected period'"
     f" else coalesce(format('{{:.2f}}%', {c}_pct), 'Not available') end as {c}_text"
     for c in ('nrr', 'grr'))}
-from ({_retention(q.START, q.BOUNDARY_END)})
+from ({_retention(START, BOUNDARY_END)})
 """,
     "health_distribution": f"""
-select health_status, count(*) as count from ({_health(q.START, q.END)}) group by health_status
+select health_status, count(*) as count from ({_health(START, END)}) group by health_status
 """,
     "at_risk_accounts": f"""
-select * from ({_health(q.START, q.END)}) order by health_score, account_id limit 50
+select * from ({_health(START, END)}) order by health_score, account_id limit 50
 """,
-    "retention_quality": _quality(False, q.COHORT, q.END),
-    "retention_quality_strict": _quality(True, q.END, q.BOUNDARY_END),
+    "retention_quality": _quality(False, COHORT, END),
+    "retention_quality_strict": _quality(True, END, BOUNDARY_END),
     "quality_checks": """
 select 'MRR date bounds' as check, min(month) as min, max(month) as max, cast(null as bigint) as rows
 from dense
@@ -822,8 +834,8 @@ select opp_id,
 from (select *, {_VALUE} as v from deals)
 """,
     "retention_series_long": f"""
-select month, 'nrr_pct' as series, nrr_pct as value from ({_retention(q.START, q.END)})
-union all select month, 'grr_pct', grr_pct from ({_retention(q.START, q.END)})
+select month, 'nrr_pct' as series, nrr_pct as value from ({_retention(START, END)})
+union all select month, 'grr_pct', grr_pct from ({_retention(START, END)})
 """,
 }
 

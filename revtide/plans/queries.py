@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.functions import display
+from revtide.functions.periods import months_after
 from revtide.operators import (
     deals,
     evidence,
@@ -21,19 +22,14 @@ from revtide.operators import (
     retention,
     stages,
 )
-from revtide.operators.filters import Context, DimFilter
+from revtide.operators.filters import Context, DimFilter, MonthRange, loaded_range
 from revtide.plans.marts import Marts
 from revtide.schemas import LOADED_TABLES
 from revtide.sources.csv_files import row_counts
-from revtide.sources.star_schema import RawTables
+from revtide.sources.star_schema import RawTables, order_months
 
-# The month range of the queries; END is the last month with loaded revenue, and the
-# calendar goes on until BOUNDARY_END.
-START = date(1995, 1, 1)
-END = date(2001, 8, 1)
-BOUNDARY_END = date(2001, 10, 1)
+#: Stands for today: ages of open deals are counted up to it.
 AS_OF = date(2001, 9, 1)
-COHORT = date(2001, 7, 1)
 ACCOUNT_ID = "7"
 TARGET_X = 3.0
 # Rows of the lists that show a few only.
@@ -81,10 +77,24 @@ def _on_context(build: Callable[[Context], DataFrame]) -> Query:
     return lambda spark, folder: _plain(build(_marts(spark, folder).context()))
 
 
-def _alerts(ctx: Context, thresholds: kpi.Thresholds = kpi.Thresholds()) -> DataFrame:
-    kpis = kpi.kpi_retention(retention.retention_trend(ctx, START, END))
-    coverage = deals.coverage_3m(ctx, START, END)
-    return kpi.alerts(kpis, coverage, mrr.arr_trend(ctx, START, BOUNDARY_END), thresholds)
+def _in_months(build: Callable[[Context, MonthRange], DataFrame]) -> Query:
+    """A metric over all loaded months, which are read before its plan is made."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        marts = _marts(spark, folder)
+        return _plain(build(marts.context(), _loaded(marts)))
+
+    return query
+
+
+def _loaded(marts: Marts) -> MonthRange:
+    return loaded_range(order_months(marts.raw.source), AS_OF)
+
+
+def _alerts(ctx: Context, m: MonthRange, thresholds: kpi.Thresholds = kpi.Thresholds()) -> DataFrame:
+    kpis = kpi.kpi_retention(retention.retention_trend(ctx, m.start, m.end))
+    coverage = deals.coverage_3m(ctx, m.start, m.end)
+    return kpi.alerts(kpis, coverage, mrr.arr_trend(ctx, m.start, m.boundary), thresholds)
 
 
 def _coverage_classes(ctx: Context) -> DataFrame:
@@ -100,8 +110,8 @@ def _coverage_classes(ctx: Context) -> DataFrame:
     )
 
 
-def _retention_texts(ctx: Context) -> DataFrame:
-    series = retention.retention_trend(ctx, START, BOUNDARY_END)
+def _retention_texts(ctx: Context, m: MonthRange) -> DataFrame:
+    series = retention.retention_trend(ctx, m.start, m.boundary)
     shown = {
         name: display.retention_display(F.col(f"{name}_pct"), F.col("start_mrr"))
         for name in ("nrr", "grr")
@@ -168,12 +178,14 @@ def _filtered_open_pipeline(ctx: Context) -> DataFrame:
 
 
 def _evidence_pack(spark: SparkSession, folder: str) -> DataFrame:
-    return evidence.evidence_pack(_marts(spark, folder).context(), START, END, target_x=TARGET_X)
+    marts = _marts(spark, folder)
+    m = _loaded(marts)
+    return evidence.evidence_pack(marts.context(), m.start, m.end, target_x=TARGET_X)
 
 
-def _tail_records(ctx: Context) -> DataFrame:
+def _tail_records(ctx: Context, m: MonthRange) -> DataFrame:
     """The last twelve months of revenue as records, one row each."""
-    series = mrr.arr_trend(ctx, START, END)
+    series = mrr.arr_trend(ctx, m.start, m.end)
     records = evidence.tail_records(series, evidence.SERIES_ROWS, "month", ["month", "total_arr"])
     return records.select(F.posexplode("records").alias("place", "r")).select(
         "place", F.col("r.MONTH").alias("month"), F.col("r.TOTAL_ARR").alias("total_arr")
@@ -182,10 +194,15 @@ def _tail_records(ctx: Context) -> DataFrame:
 
 def _health_snapshot(marts: Marts) -> DataFrame:
     """The health mart as the snapshot of the last month; it has rows, so it is shown."""
-    ctx = marts.context()
-    stored_health = marts.fct_account_health.withColumn("month", F.lit(END))
+    ctx, m = marts.context(), _loaded(marts)
+    stored_health = marts.fct_account_health.withColumn("month", F.lit(m.end))
     kept = Context(ctx.mrr, ctx.pipeline, ctx.accounts, ctx.reps, tickets=ctx.tickets, health=stored_health)
-    return health.health_snapshot(kept, START, END)
+    return health.health_snapshot(kept, m.start, m.end)
+
+
+def _latest_snapshot(marts: Marts) -> DataFrame:
+    m = _loaded(marts)
+    return health.latest_snapshot(marts.fct_mrr, m.start, m.end)
 
 
 # The evidence document's fields, numbers and texts; [*] stands for 12, 8
@@ -263,15 +280,15 @@ QUERIES: dict[str, Query] = {
     # Sources.
     "load_row_counts": _load_row_counts,
     # Filters and lookups.
-    "filtered_arr_trend": _on_context(lambda c: mrr.arr_trend(c, START, END, OWNER_FILTER)),
-    "filtered_by_industry_and_team": _on_context(lambda c: mrr.arr_trend(c, START, END, TEAM_FILTER)),
+    "filtered_arr_trend": _in_months(lambda c, m: mrr.arr_trend(c, m.start, m.end, OWNER_FILTER)),
+    "filtered_by_industry_and_team": _in_months(lambda c, m: mrr.arr_trend(c, m.start, m.end, TEAM_FILTER)),
     "filtered_open_pipeline": _on_context(_filtered_open_pipeline),
     "filter_domains": _on_context(lambda c: filters.filter_domains(c.accounts, c.reps)),
     "mrr_month_bounds": _on_context(lambda c: filters.month_bounds(c.mrr, AS_OF)),
     "account_directory": _on_context(lambda c: filters.account_directory(c.accounts)),
-    "account_mrr_series": _on_context(lambda c: filters.account_mrr(c, START, END)),
-    "account_mrr_one_account": _on_context(
-        lambda c: filters.account_mrr(c, START, END, account_id=ACCOUNT_ID)
+    "account_mrr_series": _in_months(lambda c, m: filters.account_mrr(c, m.start, m.end)),
+    "account_mrr_one_account": _in_months(
+        lambda c, m: filters.account_mrr(c, m.start, m.end, account_id=ACCOUNT_ID)
     ),
     "account_opportunities": _on_context(
         lambda c: filters.account_opportunities(c.pipeline, ACCOUNT_ID, n=ACCOUNT_ROWS)
@@ -299,38 +316,38 @@ QUERIES: dict[str, Query] = {
     "fct_account_health": _on_marts(lambda m: m.fct_account_health),
     "v_gtm_metrics": _on_marts(lambda m: m.v_gtm_metrics),
     # Filterable metrics.
-    "app_arr_trend": _on_context(lambda c: mrr.arr_trend(c, START, END)),
-    "app_retention_trend": _on_context(lambda c: retention.retention_trend(c, START, END)),
-    "app_retention_trend_boundary": _on_context(
-        lambda c: retention.retention_trend(c, START, BOUNDARY_END)
+    "app_arr_trend": _in_months(lambda c, m: mrr.arr_trend(c, m.start, m.end)),
+    "app_retention_trend": _in_months(lambda c, m: retention.retention_trend(c, m.start, m.end)),
+    "app_retention_trend_boundary": _in_months(
+        lambda c, m: retention.retention_trend(c, m.start, m.boundary)
     ),
-    "app_retention_trend_filtered": _on_context(
-        lambda c: retention.retention_trend(c, START, END, OWNER_FILTER)
+    "app_retention_trend_filtered": _in_months(
+        lambda c, m: retention.retention_trend(c, m.start, m.end, OWNER_FILTER)
     ),
-    "app_closed_revenue_monthly": _on_context(
-        lambda c: deals.closed_revenue_monthly(c, START, END)
+    "app_closed_revenue_monthly": _in_months(
+        lambda c, m: deals.closed_revenue_monthly(c, m.start, m.end)
     ),
-    "app_closed_revenue_monthly_filtered": _on_context(
-        lambda c: deals.closed_revenue_monthly(c, date(1996, 3, 15), END, REP_FILTER)
+    "app_closed_revenue_monthly_filtered": _in_months(
+        lambda c, m: deals.closed_revenue_monthly(c, date(1996, 3, 15), m.end, REP_FILTER)
     ),
-    "app_pipeline_coverage": _on_context(lambda c: deals.coverage_3m(c, START, END)),
-    "app_pipeline_coverage_filtered": _on_context(
-        lambda c: deals.coverage_3m(c, START, END, REP_FILTER)
+    "app_pipeline_coverage": _in_months(lambda c, m: deals.coverage_3m(c, m.start, m.end)),
+    "app_pipeline_coverage_filtered": _in_months(
+        lambda c, m: deals.coverage_3m(c, m.start, m.end, REP_FILTER)
     ),
     "app_open_pipeline_by_stage": _on_context(lambda c: deals.open_pipeline_by_stage(c)),
     "app_open_pipeline_by_stage_filtered": _on_context(
         lambda c: deals.open_pipeline_by_stage(c, REP_FILTER)
     ),
-    "app_mrr_movement_summary": _on_context(lambda c: mrr.movement_summary(c, START, END)),
-    "app_mrr_movement_summary_filtered": _on_context(
-        lambda c: mrr.movement_summary(c, date(1999, 1, 1), END, OWNER_FILTER)
+    "app_mrr_movement_summary": _in_months(lambda c, m: mrr.movement_summary(c, m.start, m.end)),
+    "app_mrr_movement_summary_filtered": _in_months(
+        lambda c, m: mrr.movement_summary(c, date(1999, 1, 1), m.end, OWNER_FILTER)
     ),
-    "app_top_expansions": _on_context(lambda c: mrr.top_movers(c, START, END)[0]),
-    "app_top_contractions": _on_context(lambda c: mrr.top_movers(c, START, END)[1]),
-    "latest_snapshot": _on_marts(lambda m: health.latest_snapshot(m.fct_mrr, START, END)),
-    "app_computed_health": _on_context(lambda c: health.computed_health(c, START, END)),
-    "app_computed_health_boundary": _on_context(
-        lambda c: health.computed_health(c, START, BOUNDARY_END)
+    "app_top_expansions": _in_months(lambda c, m: mrr.top_movers(c, m.start, m.end)[0]),
+    "app_top_contractions": _in_months(lambda c, m: mrr.top_movers(c, m.start, m.end)[1]),
+    "latest_snapshot": _on_marts(_latest_snapshot),
+    "app_computed_health": _in_months(lambda c, m: health.computed_health(c, m.start, m.end)),
+    "app_computed_health_boundary": _in_months(
+        lambda c, m: health.computed_health(c, m.start, m.boundary)
     ),
     "app_stage_duration": _on_context(lambda c: stages.stage_duration(c)),
     "app_stage_duration_filtered": _on_context(lambda c: stages.stage_duration(c, OWNER_FILTER)),
@@ -339,39 +356,39 @@ QUERIES: dict[str, Query] = {
         lambda c: stages.stage_transitions(c, OWNER_FILTER)
     ),
     # Headline figures, gates and evidence.
-    "kpi_arr": _on_context(lambda c: kpi.kpi_arr(mrr.arr_trend(c, START, BOUNDARY_END))),
-    "kpi_retention": _on_context(
-        lambda c: kpi.kpi_retention(retention.retention_trend(c, START, END))
+    "kpi_arr": _in_months(lambda c, m: kpi.kpi_arr(mrr.arr_trend(c, m.start, m.boundary))),
+    "kpi_retention": _in_months(
+        lambda c, m: kpi.kpi_retention(retention.retention_trend(c, m.start, m.end))
     ),
-    "kpi_win_rate": _on_context(
-        lambda c: kpi.kpi_win_rate(deals.closed_revenue_monthly(c, START, END))
+    "kpi_win_rate": _in_months(
+        lambda c, m: kpi.kpi_win_rate(deals.closed_revenue_monthly(c, m.start, m.end))
     ),
-    "kpi_alerts": _on_context(_alerts),
-    "kpi_alerts_tight": _on_context(lambda c: _alerts(c, TIGHT)),
-    "tail_records": _on_context(_tail_records),
+    "kpi_alerts": _in_months(_alerts),
+    "kpi_alerts_tight": _in_months(lambda c, m: _alerts(c, m, TIGHT)),
+    "tail_records": _in_months(_tail_records),
     "coverage_assessment": _on_context(_coverage_classes),
-    "retention_display": _on_context(_retention_texts),
-    "health_distribution": _on_context(
-        lambda c: health.health_distribution(health.computed_health(c, START, END))
+    "retention_display": _in_months(_retention_texts),
+    "health_distribution": _in_months(
+        lambda c, m: health.health_distribution(health.computed_health(c, m.start, m.end))
     ),
     "health_snapshot": _on_marts(_health_snapshot),
-    "at_risk_accounts": _on_context(
-        lambda c: health.at_risk(health.computed_health(c, START, END), n=AT_RISK_ROWS)
+    "at_risk_accounts": _in_months(
+        lambda c, m: health.at_risk(health.computed_health(c, m.start, m.end), n=AT_RISK_ROWS)
     ),
-    "retention_quality": _on_context(
-        lambda c: retention.retention_quality(c, START, END, filters.EVERYTHING, COHORT)
+    "retention_quality": _in_months(
+        lambda c, m: retention.retention_quality(c, m.start, m.end, filters.EVERYTHING, months_after(m.end, -1))
     ),
-    "retention_quality_strict": _on_context(
-        lambda c: retention.retention_quality(
-            c, START, BOUNDARY_END, filters.EVERYTHING, END, strict=True
+    "retention_quality_strict": _in_months(
+        lambda c, m: retention.retention_quality(
+            c, m.start, m.boundary, filters.EVERYTHING, m.end, strict=True
         )
     ),
     "quality_checks": _on_context(quality.quality_checks),
     "display_formats": _on_marts(_formats),
     "evidence_pack": _evidence_fields,
-    "retention_series_long": _on_context(
-        lambda c: kpi.melt_series(
-            retention.retention_trend(c, START, END), "month", ["nrr_pct", "grr_pct"]
+    "retention_series_long": _in_months(
+        lambda c, m: kpi.melt_series(
+            retention.retention_trend(c, m.start, m.end), "month", ["nrr_pct", "grr_pct"]
         )
     ),
     "response_sections": _response_sections,

@@ -97,6 +97,19 @@ def contacts(read: Reader) -> DataFrame:
     )
 
 
+def order_months(read: Reader) -> DataFrame:
+    """(month, has_revenue): first and last month of the orders, and the calendar's last.
+
+    As a month index it has the same bounds as that of the dense fact, but for
+    orders it reads their day alone.
+    """
+    seen = read("orders").agg(F.min(_order_day()).alias("first"), F.max(_order_day()).alias("last"))
+    after = F.add_months(F.trunc("last", "MM"), CALENDAR_MONTHS_AFTER)
+    ends = ((F.trunc("first", "MM"), True), (F.trunc("last", "MM"), True), (after, False))
+    rows = F.array(*(F.struct(day.alias("month"), F.lit(paid).alias("has_revenue")) for day, paid in ends))
+    return seen.select(F.inline(rows)).where("month is not null")
+
+
 def dim_date(read: Reader) -> DataFrame:
     """Every day from the first order's month to the second month after the last order's."""
     seen = read("orders").agg(F.min(_order_day()).alias("first"), F.max(_order_day()).alias("last"))

@@ -1,5 +1,7 @@
 """From CSV files over stored tables to metrics, as a user would run it."""
 
+import months
+
 from revtide.operators import health, mrr
 from revtide.plans import queries as q
 from revtide.plans.marts import build_marts, context_of, governed_view
@@ -35,12 +37,12 @@ def test_files_to_metrics(spark, small, tmp_path):
     ctx = context_of(tables)
     assert ctx.tickets is None
     lazy = q._marts(spark, small).context()
-    assert same(mrr.arr_trend(ctx, q.START, q.END), mrr.arr_trend(lazy, q.START, q.END))
-    assert same(mrr.movers(ctx, q.START, q.END), mrr.movers(lazy, q.START, q.END))
+    assert same(mrr.arr_trend(ctx, months.START, months.END), mrr.arr_trend(lazy, months.START, months.END))
+    assert same(mrr.movers(ctx, months.START, months.END), mrr.movers(lazy, months.START, months.END))
     # The stored health mart holds no months, so health is computed.
-    snapshot = health.health_snapshot(ctx, q.START, q.END)
-    assert same(snapshot, health.computed_health(ctx, q.START, q.END).select(snapshot.columns)) and snapshot.count() == 150
-    scored = health.computed_health(ctx, q.START, q.END)
+    snapshot = health.health_snapshot(ctx, months.START, months.END)
+    assert same(snapshot, health.computed_health(ctx, months.START, months.END).select(snapshot.columns)) and snapshot.count() == 150
+    scored = health.computed_health(ctx, months.START, months.END)
     assert scored.where("ticket_cnt_90d <> 0").count() == 0 and scored.count() == 150
 
 

@@ -1,6 +1,7 @@
 from datetime import date, timedelta
 from decimal import Decimal
 
+import months
 import pytest
 
 from revtide.operators import health as h
@@ -133,15 +134,15 @@ def test_stored_snapshot_or_computed(spark, small):
     ctx = q._marts(spark, small).context()
     account = ctx.accounts.first().account_id
     schema = "account_id string, month date, health_score int, health_status string"
-    kept = [(account, date(2001, 7, 1), 3, "Old"), (account, q.END, 5, "New"), (account, date(2002, 1, 1), 9, "Later")]
+    kept = [(account, date(2001, 7, 1), 3, "Old"), (account, months.END, 5, "New"), (account, date(2002, 1, 1), 9, "Later")]
 
     def shown(rows):
         stored = spark.createDataFrame(rows, schema)
         own = Context(ctx.mrr, ctx.pipeline, ctx.accounts, ctx.reps, tickets=ctx.tickets, health=stored)
-        return sorted(map(tuple, health_snapshot(own, q.START, q.END).collect()))
+        return sorted(map(tuple, health_snapshot(own, months.START, months.END).collect()))
 
     assert shown(kept) == [(account, 5, "New")]
-    computed = computed_health(ctx, q.START, q.END).select("account_id", "health_score", "health_status")
+    computed = computed_health(ctx, months.START, months.END).select("account_id", "health_score", "health_status")
     assert shown(kept[2:]) == shown([]) == sorted(map(tuple, computed.collect()))
 
 
@@ -155,10 +156,10 @@ def test_an_unreadable_snapshot_falls_back(spark, small, tmp_path):
     (tmp_path / "broken").mkdir()
     (tmp_path / "broken" / "part-0.parquet").write_text("no parquet at all, but long enough to be read")
     broken = spark.read.schema(schema).parquet(str(tmp_path / "broken"))
-    wanted = sorted(map(tuple, computed_health(ctx, q.START, q.END).select("account_id", "health_score", "health_status").collect()))
+    wanted = sorted(map(tuple, computed_health(ctx, months.START, months.END).select("account_id", "health_score", "health_status").collect()))
     for stored in (broken, broken.drop("month"), broken.drop("health_status")):
         own = Context(ctx.mrr, ctx.pipeline, ctx.accounts, ctx.reps, tickets=ctx.tickets, health=stored)
-        found = health_snapshot(own, q.START, q.END)
+        found = health_snapshot(own, months.START, months.END)
         assert sorted(map(tuple, found.collect())) == wanted
         assert "broken" not in found._jdf.queryExecution().executedPlan().toString()
 
@@ -170,8 +171,8 @@ def test_a_snapshot_that_serves_is_read_alone(spark, small, tmp_path):
 
     ctx = q._marts(spark, small).context()
     schema = "account_id string, month date, health_score int, health_status string"
-    spark.createDataFrame([("1", q.END, 5, "New")], schema).write.parquet(str(tmp_path / "kept"))
+    spark.createDataFrame([("1", months.END, 5, "New")], schema).write.parquet(str(tmp_path / "kept"))
     own = Context(ctx.mrr, ctx.pipeline, ctx.accounts, ctx.reps, tickets=ctx.tickets, health=spark.read.parquet(str(tmp_path / "kept")))
-    found = health_snapshot(own, q.START, q.END)
+    found = health_snapshot(own, months.START, months.END)
     text = found._jdf.queryExecution().executedPlan().toString()
     assert "orders" not in text and [tuple(r) for r in found.collect()] == [("1", 5, "New")]

@@ -2,6 +2,7 @@ import json
 from datetime import date
 from decimal import Decimal
 
+import months
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,16 +159,16 @@ def test_evidence_pack(spark, small):
                                "retention_cohort_month": "2001-07-01"}
 
     ctx = q._marts(spark, small).context()
-    arr = mrr.arr_trend(ctx, q.START, q.END).collect()
+    arr = mrr.arr_trend(ctx, months.START, months.END).collect()
     assert [r["TOTAL_ARR"] for r in pack["series"]["arr_trend_last_12"]] == [
         float(r.total_arr) for r in arr[-12:]
     ]
     assert pack["series"]["arr_trend_last_12"][-1]["MONTH"] == "2001-08-01T00:00:00.000"
     assert pack["metrics"]["arr_latest"] == float(arr[-1].total_arr)
-    last = retention.retention_trend(ctx, q.START, q.END).collect()[-1]
+    last = retention.retention_trend(ctx, months.START, months.END).collect()[-1]
     assert pack["metrics"]["nrr_pct"] == last.nrr_pct
     assert pack["series"]["retention_last_12"][-1]["GRR_PCT"] == last.grr_pct
-    cover = deals.coverage_3m(ctx, q.START, q.END).first()
+    cover = deals.coverage_3m(ctx, months.START, months.END).first()
     assert pack["metrics"]["total_open_pipeline"] == float(cover.total_open_pipeline)
     assert pack["pipeline"]["coverage_row"][0]["PIPELINE_COVERAGE_RATIO"] == cover.pipeline_coverage_ratio
     stages = [r["OPEN_PIPELINE"] for r in pack["pipeline"]["open_by_stage_top_8"]]

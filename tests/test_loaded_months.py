@@ -1,0 +1,113 @@
+"""Month ranges taken from the data, and ratios of operands with many decimals."""
+
+from datetime import date
+from decimal import Decimal
+from fractions import Fraction
+from pathlib import Path
+
+import months
+import pytest
+from compare import assert_same, open_database
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from revtide.functions.numbers import ratio
+from revtide.functions.periods import months_after
+from revtide.operators.filters import FALLBACK_FIRST_MONTH, MonthRange, loaded_range, month_index
+from revtide.plans import queries as q
+from revtide.plans.oracle_sql import ORACLE_SQL
+from revtide.sources.star_schema import RawTables, order_months
+
+TODAY = date(2030, 5, 1)
+GIVEN = MonthRange(months.START, months.END, months.BOUNDARY_END)
+INDEX = "month date, row_count long, has_revenue boolean"
+
+
+def test_range_of_the_given_tables(spark, small):
+    marts = q._marts(spark, small)
+    assert loaded_range(month_index(marts.fct_mrr_complete), TODAY) == GIVEN
+    assert loaded_range(order_months(marts.raw.source), TODAY) == GIVEN
+
+
+def test_range_without_months_or_revenue(spark, frame):
+    assert loaded_range(frame(INDEX, []), TODAY) == MonthRange(FALLBACK_FIRST_MONTH, TODAY, TODAY)
+    none = frame(INDEX, [(date(2020, 1, 1), 1, False), (date(2020, 3, 1), 1, None)])
+    assert loaded_range(none, TODAY) == MonthRange(date(2020, 1, 1), date(2020, 3, 1), date(2020, 3, 1))
+
+
+def test_no_orders_have_no_months(spark, small):
+    raw = RawTables(spark, small)
+    assert order_months(lambda name: raw.source(name).where("false")).count() == 0
+
+
+def test_months_after():
+    assert months_after(date(2020, 1, 31), -1) == date(2019, 12, 1)
+    assert [months_after(date(2019, 12, 5), n) for n in (0, 1, 13)] == [date(2019, 12, 1), date(2020, 1, 1), date(2021, 1, 1)]
+
+
+@pytest.fixture(scope="module")
+def moved(spark, small, tmp_path_factory):
+    """The given tables with some orders three years later and some a year earlier."""
+    folder = tmp_path_factory.mktemp("moved")
+    for source in Path(small).glob("*.parquet"):
+        if source.name != "orders.parquet":
+            (folder / source.name).symlink_to(source)
+    by = F.when(F.col("o_orderkey") % 5 == 0, 36).when(F.col("o_orderkey") % 5 == 1, -12).otherwise(0)
+    day = F.add_months(F.col("o_orderdate").cast("date"), by).cast("timestamp_ntz")
+    orders = spark.read.parquet(f"{small}/orders.parquet").withColumn("o_orderdate", day)
+    orders.coalesce(1).write.parquet(str(folder / "written"))
+    next((folder / "written").glob("*.parquet")).rename(folder / "orders.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["app_arr_trend", "account_mrr_series", "latest_snapshot", "app_computed_health", "retention_quality",
+     "app_closed_revenue_monthly", "kpi_arr", "kpi_retention", "evidence_pack"],
+)
+def test_queries_follow_the_data(name, spark, moved):
+    assert_same(q.QUERIES[name](spark, moved), open_database(moved), ORACLE_SQL[name])
+
+
+def test_moved_orders_move_the_range(spark, moved):
+    found = q._loaded(q._marts(spark, moved))
+    assert found.start < GIVEN.start and found.end > GIVEN.end
+    rows = q.QUERIES["app_arr_trend"](spark, moved).agg(F.min("month"), F.max("month")).first()
+    assert tuple(rows) == (found.start, found.end)
+
+
+def rounded(a, b, digits, factor):
+    """Half away from zero, in whole numbers."""
+    x = Fraction(a) * factor * 10**digits / Fraction(b)
+    whole = int(abs(x) + Fraction(1, 2))
+    return float(Decimal(whole if x >= 0 else -whole)) / 10**digits
+
+
+def ratios(spark, pairs, kind, digits, factor):
+    df = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], f"k int, a {kind}, b {kind}").coalesce(1)
+    return [r.x for r in df.select("k", ratio(F.col("a"), F.col("b"), digits, factor).alias("x")).orderBy("k").collect()]
+
+
+def test_ratio_of_parts_of_a_cent(spark):
+    pairs = [(Decimal("0.004"), Decimal("0.008")), (Decimal("1.005"), Decimal("0.001")), (Decimal("-0.125"), Decimal(100)), (Decimal(1), Decimal(0)), (None, Decimal(1)), (Decimal(1), None), (Decimal(0), Decimal(-3))]
+    assert ratios(spark, pairs, "decimal(18,4)", 2, 1) == [0.5, 1005.0, 0.0, None, None, None, 0.0]
+    assert ratios(spark, [(0.5, 0.25), (1e-3, 2e-3)], "double", 2, 100) == [200.0, 50.0]
+    assert ratios(spark, [(2**62, 1), (1, 2**62)], "long", 4, 100) == [float(2**62) * 100, 0.0]
+
+
+def test_ratio_just_off_a_tie(spark):
+    """A quotient cut to a few decimals before it is rounded would be taken for a tie."""
+    big = Decimal(10) ** 15
+    pairs = [(big * Decimal("0.125") - Decimal("0.0001"), big), (big * Decimal("0.125"), big)]
+    assert ratios(spark, pairs, "decimal(24,4)", 2, 1) == [0.12, 0.13]
+
+
+cents = st.decimals(min_value=-(10**9), max_value=10**9, places=4)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(cents, cents.filter(lambda x: abs(x) > Decimal("0.01"))), min_size=1, max_size=60), st.sampled_from([(2, 1), (2, 100), (4, 1)]))
+def test_ratio_as_whole_numbers(spark, pairs, shape):
+    digits, factor = shape
+    assert ratios(spark, pairs, "decimal(18,4)", digits, factor) == [rounded(a, b, digits, factor) for a, b in pairs]

@@ -3,6 +3,7 @@
 import re
 from datetime import date
 
+import months
 import pytest
 
 from revtide.operators import health, mrr, retention
@@ -32,7 +33,7 @@ def test_evidence_runs_nothing_before_it_is_asked_for(spark, small):
     assert None not in [ctx.mrr.columns, ctx.pipeline.columns, ctx.accounts.columns, ctx.reps.columns]
     spark.sparkContext.setJobGroup("evidence", "declared")
     try:
-        df = evidence.evidence_pack(ctx, q.START, q.END)
+        df = evidence.evidence_pack(ctx, months.START, months.END)
         assert df.columns == ["pack_json"]
         assert list(jobs.getJobIdsForGroup("evidence")) == []
     finally:
@@ -62,7 +63,7 @@ def test_close_month_range_reaches_the_reader(spark, frame, tmp_path, small):
     marts = q._marts(spark, small)
     pipe = write_mart(marts.fct_pipeline, str(tmp_path / "pipe"))
     ctx = Context(marts.fct_mrr_complete, pipe, marts.raw["accounts"])
-    text = plan(deals.closed_revenue_monthly(ctx, q.START, q.END))
+    text = plan(deals.closed_revenue_monthly(ctx, months.START, months.END))
     scan = next(line for line in text.splitlines() if "/pipe]" in line)
     assert "GreaterThanOrEqual(close_date,1995-01-01)" in scan
     assert "LessThan(close_date,2001-09-01)" in scan
@@ -193,13 +194,13 @@ def test_newest_months_come_from_the_index(built, spark, small):
     assert months_read(health_, folder) == [3]
     assert rows_of(health_) == rows_of(health.account_health(ctx.accounts, ctx.mrr, ctx.pipeline))
     for filt in (EVERYTHING, q.OWNER_FILTER):
-        for end in (q.END, q.BOUNDARY_END):
-            both = mrr.movers(ctx, q.START, end, filt, n=20)
+        for end in (months.END, months.BOUNDARY_END):
+            both = mrr.movers(ctx, months.START, end, filt, n=20)
             assert months_read(both, folder) == [2]
-            assert rows_of(both) == rows_of(mrr.movers(lazy, q.START, end, filt, n=20))
-            scored = health.computed_health(ctx, q.START, end, filt)
+            assert rows_of(both) == rows_of(mrr.movers(lazy, months.START, end, filt, n=20))
+            scored = health.computed_health(ctx, months.START, end, filt)
             assert months_read(scored, folder) == [3]
-            assert rows_of(scored) == rows_of(health.computed_health(lazy, q.START, end, filt))
+            assert rows_of(scored) == rows_of(health.computed_health(lazy, months.START, end, filt))
 
 
 def test_index_of_a_range_without_months(built):
@@ -233,11 +234,11 @@ def test_windows_by_account_need_no_shuffle_on_stored_marts(built, spark, small)
     assert rows_of(enriched) == rows_of(marts["fct_mrr_enriched"]) == rows_of(lazy.fct_mrr_enriched)
     for filt in (EVERYTHING, q.OWNER_FILTER):
         for metric in (mrr.movement_summary, retention.retention_trend):
-            found = metric(ctx, q.START, q.END, filt)
+            found = metric(ctx, months.START, months.END, filt)
             assert not moves_the_fact(found)
-            assert rows_of(found) == rows_of(metric(lazy.context(), q.START, q.END, filt))
+            assert rows_of(found) == rows_of(metric(lazy.context(), months.START, months.END, filt))
     # Month ranges still prune the layout by month.
-    assert months_read(mrr.arr_trend(ctx, q.COHORT, q.END), dense_folder(built)) == [2]
+    assert months_read(mrr.arr_trend(ctx, months.COHORT, months.END), dense_folder(built)) == [2]
 
 
 def test_without_an_index_the_stored_fact_is_read_once(spark, small, tmp_path):
@@ -245,10 +246,10 @@ def test_without_an_index_the_stored_fact_is_read_once(spark, small, tmp_path):
     folder = str(tmp_path / "dense")
     fact = write_mart(marts.fct_mrr_complete, folder, ["month"])
     ctx = Context(fact, marts.fct_pipeline, marts.raw["accounts"])
-    assert 1 in months_read(health.latest_snapshot(fact, q.START, q.END), folder)
+    assert 1 in months_read(health.latest_snapshot(fact, months.START, months.END), folder)
     # The newest rows of each account and the newest month come from one scan of all months.
-    assert months_read(mrr.top_movers(ctx, q.START, q.END)[0], folder) == [80]
-    assert months_read(mrr.arr_trend(ctx, q.COHORT, q.END), folder) == [2]
+    assert months_read(mrr.top_movers(ctx, months.START, months.END)[0], folder) == [80]
+    assert months_read(mrr.arr_trend(ctx, months.COHORT, months.END), folder) == [2]
     scored = health.account_health(ctx.accounts, fact, ctx.pipeline)
     # Its bound reads every month.
     assert sorted(months_read(scored, folder)) == [3, 82]
