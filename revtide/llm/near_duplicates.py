@@ -134,6 +134,86 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"key": keys.reshape(-1).view(np.int64), "node": nodes})
 
 
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole buckets, of batches that come sorted by key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column("key").to_numpy()
+        last = int(np.searchsorted(keys, keys[-1]))
+        if held and (last or held[-1].column("key")[0].as_py() != keys[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        elif last:
+            yield pa.Table.from_batches([batch.slice(0, last)])
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _bucket_links(table: pa.Table, percent: int, miss: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the rows of each bucket whose signatures pass the sequential test.
+
+    All rows meet their bucket's first; only those that it does not join meet the others.
+    """
+    key, node = (table.column(c).to_numpy() for c in ("key", "node"))
+    values = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(key))
+    bucket = np.cumsum(new) - 1
+    rows = np.flatnonzero(~new)
+    joined = rows[likely(values[starts[bucket[rows]]], values[rows], percent, miss)]
+    apart = np.setdiff1d(rows, joined)
+    apart = apart[(ends - starts)[bucket[apart]] > 2]
+    a, b = [starts[bucket[joined]]], [joined]
+    edges = np.flatnonzero(np.concatenate([[True], bucket[apart][1:] != bucket[apart][:-1], [True]])) if len(apart) else ()
+    for k, stop in zip(edges[:-1], edges[1:]):
+        own = apart[k:stop]
+        first, end = starts[bucket[own[0]]], ends[bucket[own[0]]]
+        others = np.arange(first + 1, end)
+        alone = np.isin(others, own)
+        forest = Forest(end - first)
+        for row in joined[(joined > first) & (joined < end)].tolist():
+            forest.link(0, row - first)
+        for step in range(0, len(own), 128):
+            x, y = (m.reshape(-1) for m in np.meshgrid(own[step : step + 128], others, indexing="ij"))
+            # Of two rows apart, the later one meets the earlier.
+            good = ~np.tile(alone, len(x) // len(others)) | (y < x)
+            x, y = x[good], y[good]
+            good = likely(values[x], values[y], percent, miss)
+            found = [(i, j) for i, j in zip(x[good].tolist(), y[good].tolist()) if forest.link(i - first, j - first)]
+            if found:
+                left, right = np.array(found).T
+                a.append(left)
+                b.append(right)
+    return node[np.concatenate(a)], node[np.concatenate(b)]
+
+
+def candidate_groups(classes: DataFrame, percent: int, miss: float) -> DataFrame:
+    """node and candidates (the smallest node of its group) of the nodes that may have a partner.
+
+    Bands deal nodes into buckets. Nodes of a bucket whose signatures pass the sequential
+    test are linked, and what hangs together is a group; so a chain of bands that texts of
+    little likeness share makes none. A bucket of more than BLOCK nodes is one group's as it
+    is: that can only make the group larger than needed.
+    """
+    bands = classes.select("node", "signature").mapInArrow(_bands, "key long, node long")
+    shared = bands.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("rows")).where("hub < last")
+    placed = stored(bands.join(shared, "key").select("key", "node", "hub", "rows"))
+    meeting = placed.where(F.col("rows") <= BLOCK).select("key", "node").join(classes.select("node", "signature"), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_buckets(batches):
+            a, b = _bucket_links(table, percent, miss)
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+
+    similar = meeting.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long")
+    stars = placed.where((F.col("rows") > BLOCK) & (F.col("node") > F.col("hub"))).select("hub", "node")
+    return components(similar.union(stars)).withColumnRenamed("component", "candidates")
+
+
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the shingle set of each row's text as bytes."""
     for part in steps(batches):
@@ -207,8 +287,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = MISS) -> D
     """doc_id, n_shingles, component_id and kept of each row of docs (doc_id, text).
 
     Rows of equal sets are one node, so copies are never compared. Bands deal nodes into
-    buckets; each bucket's nodes are linked to its smallest, and what hangs together is a
-    candidate group. A group's rows meet in blocks, with the group's smallest node in each;
+    buckets; a bucket's nodes whose signatures pass the sequential test are linked, and what
+    hangs together is a candidate group. A group's rows meet in blocks, with the group's smallest node in each;
     pairs that share a band pass the sequential test and are confirmed on their full sets.
     Blocks of a group that is not yet joined are then compared with each other.
 
@@ -221,10 +301,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = MISS) -> D
     classes = stored(
         known.where("n_shingles > 0 and doc_id is not null").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
     )
-    bands = classes.select("node", "signature").mapInArrow(_bands, "key long, node long")
-    hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
-    stars = bands.join(hubs, "key").where("node > hub").select("hub", "node")
-    members = components(stars).withColumnRenamed("component", "candidates")
+    members = stored(candidate_groups(classes, percent, miss))
     blocks = members.groupBy("candidates").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = stored(members.join(blocks, "candidates").select("node", "candidates", "blocks"))
     with_text = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(members, "node").select("node", "candidates", "blocks", "text")

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from revtide.llm import near_duplicates as near
 from revtide.llm.components import components
@@ -84,6 +85,83 @@ def test_large_group_in_blocks(spark, monkeypatch):
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
+def altered(rng, words, n, mark):
+    words = list(words)
+    for k in rng.sample(range(len(words)), n):
+        words[k] = f"{mark}{rng.random()}"
+    return words
+
+
+def classes_of(spark, rows):
+    known = near.sketch(spark.createDataFrame(rows, "doc_id long, text string"))
+    return known.select(known.doc_id.alias("node"), "signature")
+
+
+def test_weak_likeness_chains_no_groups(spark):
+    """Each text is like the next one by 0.5: bands are shared all along, similar is none."""
+    rng = random.Random(8)
+    stream = [f"w{rng.random()}" for _ in range(100 * 301)]
+    rows = [(k, " ".join(stream[100 * k : 100 * k + 300])) for k in range(299)]
+    bands = classes_of(spark, rows).mapInArrow(near._bands, "key long, node long")
+    assert bands.groupBy("key").count().where("count > 1").count() > 200
+    assert near.candidate_groups(classes_of(spark, rows), 85, near.MISS).count() == 0
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
+def test_groups_do_not_hang_on_a_buckets_first(spark):
+    """Pairs that are similar to each other and not to the smallest node of their bucket."""
+    rng = random.Random(9)
+    rows = []
+    for group in range(12):
+        base = [f"g{group}x{k}" for k in range(400)]
+        rows.append((100 * group, " ".join(altered(rng, base, 40, "a"))))
+        for k in range(1, 15):
+            family = altered(random.Random(1000 * group + k % 4), base, 45, "f")
+            rows.append((100 * group + k, " ".join(altered(rng, family, 2, "n"))))
+    made = near.candidate_groups(classes_of(spark, rows), 85, near.MISS).collect()
+    group_of = {r.node: r.candidates for r in made}
+    wanted = expected(rows)
+    assert len({c for _, c in wanted.values()}) > 30
+    assert all(group_of[d] == group_of[c] for d, (_, c) in wanted.items() if c != d)
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), rows)
+
+
+def test_bucket_links_join_what_passes(spark):
+    """Against all pairs of each bucket, over several batches and bucket sizes."""
+    rng = np.random.default_rng(4)
+    centres = rng.integers(0, 2**32, (5, near.SIGNATURE), np.uint32)
+    keys = np.sort(rng.integers(0, 60, 700))
+    keys[200:420] = keys[200]
+    keys.sort()
+    values = np.where(rng.random((700, near.SIGNATURE)) < 0.93, centres[rng.integers(0, 5, 700)], rng.integers(0, 2**32, (700, near.SIGNATURE), np.uint32))
+    nodes = np.arange(700) * 3
+    batch = pa.RecordBatch.from_pydict({"key": keys, "node": nodes, "signature": [v.tobytes() for v in values]})
+    tables = list(near._whole_buckets(iter([batch.slice(k, 90) for k in range(0, 700, 90)])))
+    assert sum(t.num_rows for t in tables) == 700
+    made, want = near.Forest(700 * 61), near.Forest(700 * 61)
+    links = 0
+    for table in tables:
+        own = table.column("key").to_numpy()
+        assert not set(own) & {k for t in tables if t is not table for k in t.column("key").to_pylist()}
+        for a, b in zip(*near._bucket_links(table, 85, near.MISS)):
+            assert keys[a // 3] == keys[b // 3]
+            links += made.link(int(a // 3), int(b // 3))
+    for key in set(keys.tolist()):
+        rows = np.flatnonzero(keys == key)
+        x, y = np.triu_indices(len(rows), 1)
+        for k in near.likely(values[rows[x]], values[rows[y]], 85, near.MISS):
+            want.link(int(rows[x[k]]), int(rows[y[k]]))
+    assert made.roots().tolist() == want.roots().tolist() and links > 300
+
+
+def test_large_buckets_are_groups(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 4)
+    rng = random.Random(10)
+    base = [f"b{k}" for k in range(200)]
+    rows = [(k, " ".join(altered(rng, base, k % 7, "n"))) for k in range(60)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
 def test_sequential_test_keeps_similar_pairs():
     rng = np.random.default_rng(3)
     pairs = 20_000
