@@ -92,6 +92,17 @@ def likely(left: np.ndarray, right: np.ndarray, percent: int, miss: float) -> np
     return alive
 
 
+#: Pairs whose signatures or bands are laid side by side at a time.
+PAIRS = 1 << 14
+
+
+def likely_pairs(values: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int, miss: float) -> np.ndarray:
+    """Indexes of the pairs (x, y) of rows of a signature table that no batch rules out."""
+    parts = (slice(k, k + PAIRS) for k in range(0, len(x), PAIRS))
+    found = [likely(values[x[p]], values[y[p]], percent, miss) + p.start for p in parts]
+    return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
 def band_keys(values: np.ndarray) -> np.ndarray:
     """Hash of each band of each signature."""
     out = np.empty((len(values), BANDS), np.uint64)
@@ -164,7 +175,7 @@ def _bucket_links(table: pa.Table, percent: int, miss: float) -> tuple[np.ndarra
     ends = np.append(starts[1:], len(key))
     bucket = np.cumsum(new) - 1
     rows = np.flatnonzero(~new)
-    joined = rows[likely(values[starts[bucket[rows]]], values[rows], percent, miss)]
+    joined = rows[likely_pairs(values, starts[bucket[rows]], rows, percent, miss)]
     apart = np.setdiff1d(rows, joined)
     apart = apart[(ends - starts)[bucket[apart]] > 2]
     a, b = [starts[bucket[joined]]], [joined]
@@ -182,7 +193,7 @@ def _bucket_links(table: pa.Table, percent: int, miss: float) -> tuple[np.ndarra
             # Of two rows apart, the later one meets the earlier.
             good = ~np.tile(alone, len(x) // len(others)) | (y < x)
             x, y = x[good], y[good]
-            good = likely(values[x], values[y], percent, miss)
+            good = likely_pairs(values, x, y, percent, miss)
             found = [(i, j) for i, j in zip(x[good].tolist(), y[good].tolist()) if forest.link(i - first, j - first)]
             if found:
                 left, right = np.array(found).T
@@ -240,34 +251,27 @@ def _links_of(group: pa.Table, percent: int, miss: float, across: bool) -> tuple
         for k, x in enumerate(label.tolist()):
             forest.link(first.setdefault(x, k), k)
     keys = band_keys(values)
-    pairs: list[np.ndarray] = []
-    for k in range(BANDS):
-        order = np.argsort(keys[:, k], kind="stable")
-        same = keys[order, k]
-        edges = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1], [True]]))
-        for a, b in zip(edges[:-1][np.diff(edges) > 1], edges[1:][np.diff(edges) > 1]):
-            x, y = np.triu_indices(b - a, 1)
-            x, y = order[a + x], order[a + y]
-            pairs.append(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
-            if len(pairs) > 64:
-                pairs = [np.unique(np.concatenate(pairs))]
-    if not pairs:
-        return nodes[:0], nodes[:0]
-    x, y = np.divmod(np.unique(np.concatenate(pairs)), len(nodes))
-    good = 100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y])
-    if across:
-        good &= (side[x] != side[y]) & (label[x] != label[y])
-    x, y = x[good], y[good]
-    good = likely(values[x], values[y], percent, miss)
     out = []
-    for a, b in zip(x[good].tolist(), y[good].tolist()):
-        if forest.root(a) != forest.root(b):
-            # Both are sorted and without repeats: equal neighbours are common shingles.
-            both = np.sort(np.concatenate([sets[a], sets[b]]))
-            common = int((both[1:] == both[:-1]).sum())
-            if 100 * common >= percent * (len(both) - common):
-                forest.link(a, b)
-                out.append((a, b))
+    # Some rows at a time meet all rows after them, so that no list of all pairs is held.
+    step = max(16, PAIRS // len(nodes))
+    for begin in range(0, len(nodes), step):
+        met = (keys[begin : begin + step, None] == keys[None, begin:]).any(2)
+        x, y = (k + begin for k in np.nonzero(np.triu(met, 1)))
+        good = 100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y])
+        if across:
+            good &= (side[x] != side[y]) & (label[x] != label[y])
+        roots = forest.roots()
+        good &= roots[x] != roots[y]
+        x, y = x[good], y[good]
+        good = likely_pairs(values, x, y, percent, miss)
+        for a, b in zip(x[good].tolist(), y[good].tolist()):
+            if forest.root(a) != forest.root(b):
+                # Both are sorted and without repeats: equal neighbours are common shingles.
+                both = np.sort(np.concatenate([sets[a], sets[b]]))
+                common = int((both[1:] == both[:-1]).sum())
+                if 100 * common >= percent * (len(both) - common):
+                    forest.link(a, b)
+                    out.append((a, b))
     found = np.array(out, np.int64).reshape(-1, 2)
     return nodes[found[:, 0]], nodes[found[:, 1]]
 

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -194,3 +195,37 @@ def test_components_with_hubs(spark, monkeypatch):
     nodes = {x for a, b in links if a != b and a is not None for x in (a, b)}
     made = c.components(spark.createDataFrame(links, "a long, b long").repartition(5)).collect()
     assert {r.node: r.component for r in made} == {x: forest.root(x) for x in nodes} and len(made) == len(nodes)
+
+
+def near_copies(n, rng, size=300):
+    base = rng.integers(0, 2**63, size, np.uint64)
+    sets = []
+    for _ in range(n):
+        own = base.copy()
+        at = rng.choice(size, 6, replace=False)
+        own[at] = rng.integers(0, 2**63, 6, np.uint64)
+        sets.append(np.sort(own).tobytes())
+    return {"node": np.arange(n), "grams": pa.array(sets, pa.binary())}
+
+
+def test_group_of_near_copies_takes_little_memory():
+    """A full block, and two blocks whose rows meet across; all pairs of either held at once take 600 and 1,300 MB."""
+    rng = np.random.default_rng(6)
+    block = pa.table(near_copies(near.BLOCK, rng))
+    two = pa.table(near_copies(2 * near.BLOCK, rng) | {"side": np.arange(2 * near.BLOCK) % 2, "label": np.arange(2 * near.BLOCK) // 4})
+    for table, across, links in ((block, False, near.BLOCK - 1), (two, True, near.BLOCK // 2 - 1)):
+        tracemalloc.start()
+        a, _ = near._links_of(table, 80, near.MISS, across)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(a) == links and peak < 100e6
+
+
+def test_bucket_of_unlike_signatures_takes_little_memory():
+    values = np.random.default_rng(7).integers(0, 2**32, (near.BLOCK, near.SIGNATURE), np.uint32)
+    table = pa.table({"key": np.zeros(near.BLOCK, np.int64), "node": np.arange(near.BLOCK), "signature": pa.array([v.tobytes() for v in values], pa.binary())})
+    tracemalloc.start()
+    a, _ = near._bucket_links(table, 80, near.MISS)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not len(a) and peak < 60e6
