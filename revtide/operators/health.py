@@ -21,6 +21,7 @@ from revtide.operators.filters import (
     newest_rows,
     scoped_mrr,
 )
+from revtide.operators.mrr import fct_mrr
 
 _log = logging.getLogger(__name__)
 
@@ -55,20 +56,51 @@ def _recent_months(complete: DataFrame) -> Column:
     ).scalar()
 
 
+def _planned_months(accounts: DataFrame, sub_mrr: DataFrame, dim_date: DataFrame) -> Column:
+    """What ``_recent_months`` gives for the dense fact, from the rows it is made of.
+
+    A month with revenue but no negative row has an account above zero, so the last of
+    these bounds the answer from below, and only rows from it on are summed by account.
+    """
+    calendar = dim_date.agg(F.array_sort(F.collect_set("month_start"))).scalar()
+    known = sub_mrr.where(F.array_contains(calendar, F.col("month"))).join(
+        accounts.select("account_id"), "account_id", "left_semi"
+    )
+    by_month = known.groupBy("month").agg(F.min("mrr").alias("least"), F.max("mrr").alias("most"))
+    bound = by_month.where("least >= 0 and most > 0").agg(F.max("month")).scalar()
+    late = known.where(F.col("month") >= F.coalesce(bound, F.get(calendar, F.lit(0))))
+    paid = fct_mrr(late).where("total_mrr > 0").agg(F.max("month").alias("latest"))
+    at = F.array_position(calendar, F.col("latest")).cast("int")
+    return paid.select(
+        F.struct(
+            F.col("latest").alias("m0"),
+            F.get(calendar, at - 2).alias("m1"),
+            F.get(calendar, at - 3).alias("m2"),
+        ).alias("recent")
+    ).scalar()
+
+
 def account_health(
     accounts: DataFrame,
     complete: DataFrame,
     pipe: DataFrame,
     months: DataFrame | None = None,
+    rows_of: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per account for the last month with revenue.
 
     ``complete`` is the dense fact, where the previous row is the previous calendar
     month, so three months of it are enough: they are picked out and summed up per
     account instead of ordering every account's whole history. ``months``, the fact's
-    month index, tells which three without reading the fact.
+    month index, tells which three without reading the fact. Of a fact that is still a
+    plan, ``rows_of`` has the subscription rows and calendar it is made of: then three
+    months of these are summed, and the fact is not computed.
     """
-    if months is None:
+    if rows_of is not None:
+        recent = _planned_months(accounts, *rows_of)
+        newest = [recent[name] for name in ("m0", "m1", "m2")]
+        complete = fct_mrr(rows_of[0]).where(F.col("account_id").isNotNull())
+    elif months is None:
         recent = _recent_months(complete)
         newest = [recent[name] for name in ("m0", "m1", "m2")]
     else:
@@ -93,6 +125,12 @@ def account_health(
         .join(revenue, "account_id", "left")
         .join(open_value, "account_id", "left")
     )
+    if rows_of is not None:
+        # The dense fact has a zero for each of its accounts and months.
+        kind = revenue.schema["m0"].dataType
+        in_fact = {name: F.col("account_id").isNotNull() & month.isNotNull() for name, month in recent.items()}
+        zeros = {name: F.when(known, F.lit(0).cast(kind)) for name, known in in_fact.items()}
+        joined = joined.withColumns({name: F.coalesce(name, zero) for name, zero in zeros.items()})
     now, one_ago, two_ago = F.col("m0"), F.col("m1"), F.col("m2")
     has_open = F.coalesce(F.col("open_value") > 0, F.lit(False))
     no_open = zero_if_null(F.col("open_value")) == 0

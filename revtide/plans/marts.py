@@ -115,8 +115,9 @@ class Marts:
 
     @property
     def fct_account_health(self) -> DataFrame:
+        rows_of = None if self.stored else (self.raw["subscription_monthly_mrr"], self.raw["dim_date"])
         return health.account_health(
-            self.raw["accounts"], self.fct_mrr_complete, self.fct_pipeline, self.fct_mrr_complete_months
+            self.raw["accounts"], self.fct_mrr_complete, self.fct_pipeline, self.fct_mrr_complete_months, rows_of
         )
 
     @property

@@ -25,6 +25,7 @@ from revtide.operators import (
 from revtide.operators.filters import Context, DimFilter, MonthRange, loaded_range
 from revtide.plans.marts import Marts
 from revtide.schemas import LOADED_TABLES
+from revtide.session import stored
 from revtide.sources.csv_files import row_counts
 from revtide.sources.star_schema import RawTables, order_months
 
@@ -193,9 +194,10 @@ def _tail_records(ctx: Context, m: MonthRange) -> DataFrame:
 
 
 def _health_snapshot(marts: Marts) -> DataFrame:
-    """The health mart as the snapshot of the last month; it has rows, so it is shown."""
+    """The health mart, stored as the snapshot of the last month; it has rows, so it is shown."""
     ctx, m = marts.context(), _loaded(marts)
-    stored_health = marts.fct_account_health.withColumn("month", F.lit(m.end))
+    snapshot = marts.fct_account_health.withColumn("month", F.lit(m.end))
+    stored_health = stored(snapshot.select(*health.SNAPSHOT_COLUMNS))
     kept = Context(ctx.mrr, ctx.pipeline, ctx.accounts, ctx.reps, tickets=ctx.tickets, health=stored_health)
     return health.health_snapshot(kept, m.start, m.end)
 

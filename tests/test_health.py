@@ -176,3 +176,45 @@ def test_a_snapshot_that_serves_is_read_alone(spark, small, tmp_path):
     found = health_snapshot(own, months.START, months.END)
     text = found._jdf.queryExecution().executedPlan().toString()
     assert "orders" not in text and [tuple(r) for r in found.collect()] == [("1", 5, "New")]
+
+
+SUBSCRIPTIONS = "account_id string, month date, mrr decimal(18,2)"
+
+
+@pytest.mark.parametrize("case", ["odd", "one_month", "all_negative", "no_rows", "no_calendar"])
+def test_stored_model_from_the_rows_of_a_planned_fact(frame, accounts, case):
+    """The same as from the dense fact, with negative rows, unknown accounts and months off the calendar."""
+    from revtide.operators.mrr import fct_mrr, fct_mrr_complete
+
+    def day(k):
+        return date(2024, k, 1)
+
+    rows = {
+        "odd": [("a", day(1), 5), ("a", day(2), 7), ("b", day(2), 9), ("b", day(3), 4), ("b", day(3), -4), ("c", day(3), -1),
+                ("x", day(4), 9), ("a", day(6), 9), ("c", day(1), 3), (None, day(4), 9), ("a", None, 1), ("d", day(2), None), ("a", day(2), 1)],
+        "one_month": [("a", day(1), 5), ("b", day(1), 0)],
+        "all_negative": [("a", day(2), -5), ("b", day(3), -1), ("b", day(3), 2), ("c", day(3), 0)],
+        "no_rows": [],
+        "no_calendar": [("a", day(1), 5)],
+    }[case]
+    sub = frame(SUBSCRIPTIONS, [(a, m, None if v is None else money(v)) for a, m, v in rows])
+    calendar = frame("month_start date", [] if case == "no_calendar" else [(day(k),) for k in (1, 1, 2, 3, 4, 5)])
+    ids = accounts(["a", "b", "c", "d", "none"]).union(accounts(["a"])).union(accounts(["a"]).selectExpr("null", *["segment"] * 5))
+    pipe = frame("account_id string, is_closed boolean, amount decimal(18,2)", [("a", False, money(9)), (None, False, money(1))])
+    dense = fct_mrr_complete(fct_mrr(sub), ids, calendar)
+    wanted = h.account_health(ids, dense, pipe)
+    made = h.account_health(ids, dense, pipe, rows_of=(sub, calendar))
+    assert made.schema == wanted.schema
+    assert sorted(map(tuple, made.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+
+
+def test_snapshot_query_computes_the_mart_once(spark, small):
+    from revtide.plans import queries as q
+
+    snapshot = q.QUERIES["health_snapshot"](spark, small)
+    assert "orders" not in snapshot._jdf.queryExecution().executedPlan().toString()
+    mart = q.QUERIES["fct_account_health"](spark, small)
+    text = mart._jdf.queryExecution().executedPlan().toString()
+    assert "orders" in text and "Window" not in text
+    told = mart.select("account_id", "health_score", "health_status")
+    assert sorted(map(tuple, snapshot.collect())) == sorted(map(tuple, told.collect()))
