@@ -15,6 +15,8 @@ from revtide.llm.common import gram_hashes, grouped, mixed, random_odd, steps, s
 from revtide.llm.components import Forest, components
 
 SHINGLE = 5
+#: Bytes of text whose shingles are made at a time; eight and more bytes of memory go with each.
+SHINGLE_BYTES = 1 << 19
 BANDS, ROWS = 24, 5
 SIGNATURE = BANDS * ROWS
 _FACTORS = random_odd(11, SIGNATURE)
@@ -118,7 +120,7 @@ def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, two checksums of the shingle set (null if empty) and the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, size=SHINGLE_BYTES):
             grams, bounds = shingles(part)
             some = np.diff(bounds) > 0
             sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(grams ^ np.uint64(x)))]) for x in (0x9E37, 0x79B9)]
@@ -227,7 +229,7 @@ def candidate_groups(classes: DataFrame, percent: int, miss: float) -> DataFrame
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the shingle set of each row's text as bytes."""
-    for part in steps(batches):
+    for part in steps(batches, size=SHINGLE_BYTES):
         grams, bounds = shingles(part)
         rows = pa.array([grams[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
         yield pa.RecordBatch.from_arrays([part.column("node"), part.column("candidates"), part.column("blocks"), rows], ["node", "candidates", "blocks", "grams"])
