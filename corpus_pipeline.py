@@ -25,7 +25,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similarity 0.8 or more on five-word shingles, the smallest id."""
     report = near_duplicates.near_duplicates(docs.select("doc_id", "text"), percent=80)
     # Written, so that the planner knows its size when it chooses the join.
-    copies = stored(report.where("not kept").select("doc_id").distinct())
+    copies = stored(report.where("not kept").select("doc_id").distinct(), docs.count(), per_file=20_000)
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -50,6 +50,9 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"u": nodes[more], "v": nodes[roots[more]]})
 
 
+#: Links a written file, where there are as many.
+FILE_LINKS = 20_000
+
 #: A node of this many links, or of this share of all of them, is a hub.
 HUB_LINKS, HUB_SHARE = 1_000, 1e-4
 
@@ -95,4 +98,6 @@ def components(links: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(pairs.select("v", "v").distinct())
         before = now
-        pairs = stored(_small_star(stored(_large_star(pairs, now[0])), now[0]))
+        # Neither star makes more links than there were.
+        for star in (_large_star, _small_star):
+            pairs = stored(star(pairs, now[0]), now[0], FILE_LINKS)

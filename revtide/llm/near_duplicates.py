@@ -11,12 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import gram_hashes, grouped, mixed, random_odd, steps, stored, text_bytes, within, word_hashes, word_spans
+from revtide.llm.common import SMALL_STEP_BYTES, gram_hashes, grouped, mixed, random_odd, steps, stored, text_bytes, within, word_hashes, word_spans
 from revtide.llm.components import Forest, components
 
 SHINGLE = 5
-#: Bytes of text whose shingles are made at a time; eight and more bytes of memory go with each.
-SHINGLE_BYTES = 1 << 19
 BANDS, ROWS = 24, 5
 SIGNATURE = BANDS * ROWS
 _FACTORS = random_odd(11, SIGNATURE)
@@ -120,7 +118,7 @@ def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, two checksums of the shingle set (null if empty) and the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches, size=SHINGLE_BYTES):
+        for part in steps(batches, size=SMALL_STEP_BYTES):
             grams, bounds = shingles(part)
             some = np.diff(bounds) > 0
             sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(grams ^ np.uint64(x)))]) for x in (0x9E37, 0x79B9)]
@@ -214,7 +212,7 @@ def candidate_groups(classes: DataFrame, percent: int, miss: float) -> DataFrame
     """
     bands = classes.select("node", "signature").mapInArrow(_bands, "key long, node long")
     shared = bands.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("rows")).where("hub < last")
-    placed = stored(bands.join(shared, "key").select("key", "node", "hub", "rows"))
+    placed = stored(bands.join(shared, "key").select("key", "node", "hub", "rows"), BANDS * classes.count(), per_file=100_000)
     meeting = placed.where(F.col("rows") <= BLOCK).select("key", "node").join(classes.select("node", "signature"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +227,7 @@ def candidate_groups(classes: DataFrame, percent: int, miss: float) -> DataFrame
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the shingle set of each row's text as bytes."""
-    for part in steps(batches, size=SHINGLE_BYTES):
+    for part in steps(batches, size=SMALL_STEP_BYTES):
         grams, bounds = shingles(part)
         rows = pa.array([grams[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
         yield pa.RecordBatch.from_arrays([part.column("node"), part.column("candidates"), part.column("blocks"), rows], ["node", "candidates", "blocks", "grams"])
@@ -304,19 +302,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = MISS) -> D
     """
     known = stored(sketch(docs))
     same_set = ["n_shingles", "low", "high"]
-    classes = stored(
-        known.where("n_shingles > 0 and doc_id is not null").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
-    )
-    members = stored(candidate_groups(classes, percent, miss))
+    n = known.count()
+    classes = known.where("n_shingles > 0 and doc_id is not null").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
+    classes = stored(classes, n)
+    members = stored(candidate_groups(classes, percent, miss), n)
     blocks = members.groupBy("candidates").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = stored(members.join(blocks, "candidates").select("node", "candidates", "blocks"))
+    members = stored(members.join(blocks, "candidates").select("node", "candidates", "blocks"), n)
     with_text = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(members, "node").select("node", "candidates", "blocks", "text")
     sets = stored(with_text.mapInArrow(_with_sets, "node long, candidates long, blocks int, grams binary").where(F.length("grams") > 0))
     own_block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     everywhere = F.when(F.col("node") == F.col("candidates"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own_block))
     links = stored(_verified(sets.withColumn("block", F.explode(everywhere)), ["candidates", "block"], percent, miss))
     same_id = known.where("doc_id is not null and n_shingles > 0").join(classes.drop("signature"), same_set).select("doc_id", "node")
-    links = links.union(same_id.where("doc_id != node"))
+    links = links.union(stored(same_id.where("doc_id != node"), n))
     split = sets.where("blocks > 1")
     if split.select("node").head(1):
         joined = components(links)

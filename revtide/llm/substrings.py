@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import gram_hashes, grouped, steps, stored, text_bytes, within, word_hashes, word_spans
+from revtide.llm.common import SMALL_STEP_BYTES, gram_hashes, grouped, steps, stored, text_bytes, within, word_hashes, word_spans
 from revtide.llm.fm_index import FMIndex
 
 #: Words of the runs of which the smallest hash routes a window.
@@ -68,7 +68,7 @@ def _routes(docs: DataFrame, length: int, with_doc: bool) -> DataFrame:
     """The minimizers of all windows: each with how often it starts a stretch, or once a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, size=SMALL_STEP_BYTES):
             _, _, _, bounds, words = _words(part)
             if len(words) < length:
                 continue
@@ -114,7 +114,7 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
     """Segments with a route that others have too; those without text are repeated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, size=SMALL_STEP_BYTES):
             data, starts, ends, bounds, words = _words(part)
             docs, digests = part.column("doc").to_pylist(), part.column("digest").to_pylist()
             routes, often = part.column("routes").to_pylist(), part.column("often").to_pylist()
@@ -250,7 +250,7 @@ def changed_texts(docs: DataFrame, length: int = 20) -> DataFrame:
     runs = windows.groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, size=SMALL_STEP_BYTES):
             rows = [_kept(t, r, length) for t, r in zip(part.column("text").to_pylist(), part.column("runs").to_pylist())]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -270,7 +270,7 @@ def removal_report(docs: DataFrame, length: int = 20) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, size=SMALL_STEP_BYTES):
             words = [(t or "").encode().split() for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {

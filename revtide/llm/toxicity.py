@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import gram_hashes, mixed, steps, stored, text_bytes, training_rows, word_hashes, word_spans
+from revtide.llm.common import SMALL_STEP_BYTES, gram_hashes, mixed, steps, stored, text_bytes, training_rows, word_hashes, word_spans
 
 #: Labelled documents learned from, at most.
 TRAINING_ROWS = 12_000
@@ -254,7 +254,7 @@ def _sightings(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     their sightings there: one text counts for SIGHTINGS at most, its copies together as one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, size=SMALL_STEP_BYTES):
             forms, texts, seen = [], [], []
             for text, signature in zip(part.column("text").to_pylist(), _signatures(part)):
                 found: Counter[str] = Counter()
@@ -305,7 +305,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
 
     What the driver gathers is bounded by n: forms, spellings, context words and figures of those rows.
     """
-    train = stored(training_rows(docs, labels, label, folds, held_out, n))
+    train = stored(training_rows(docs, labels, label, folds, held_out, n), n, per_file=200)
     sides = [train.where(F.col("label") == k).select("text") for k in (0, 1)]
     sizes = {k: _texts(rows) for k, rows in enumerate(sides)}
     if not sizes[0] or not sizes[1]:
@@ -325,7 +325,7 @@ def _texts(rows: DataFrame) -> int:
     """Number of different texts, copies taken as one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, size=SMALL_STEP_BYTES):
             yield pa.RecordBatch.from_pydict({"text": pa.array(_signatures(part), pa.int64())})
 
     return rows.mapInArrow(run, "text long").distinct().count()
@@ -341,7 +341,7 @@ def _set_apart(model: Model, clean: DataFrame, n_clean: int) -> None:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(terms)
-        for part in steps(batches):
+        for part in steps(batches, size=SMALL_STEP_BYTES):
             words, terms_, texts = [], [], []
             for text, signature in zip(part.column("text").to_pylist(), _signatures(part)):
                 for word in set(map(plain, (text or "").lower().split())):
