@@ -38,6 +38,8 @@ TRAINING_ROWS = 12_000
 LEAST, LEAST_RATIO, LEAST_EVIDENCE = 5, 3, 40.0
 #: Sightings of a form that one document counts for, at most.
 SIGHTINGS = 3
+#: Tasks that share the training texts; forms that one adds up before it sends them on.
+TASKS, FORMS = 24, 100_000
 #: Letters of a stem.
 STEMS = range(3, 9)
 #: Words on each side of a match that weigh it.
@@ -249,26 +251,56 @@ def _forms(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in STEMS if len(word) > k)]
 
 
+def _signed(rows: DataFrame) -> DataFrame:
+    """Texts with their signatures."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in steps(batches, size=SMALL_STEP_BYTES):
+            yield pa.RecordBatch.from_pydict({"signature": pa.array(_signatures(part), pa.int64()), "text": part.column("text")})
+
+    return rows.select("text").mapInArrow(run, "signature long, text string")
+
+
 def _sightings(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     """Forms (the wanted ones, or all) with the number of different texts that hold them, and
-    their sightings there: one text counts for SIGHTINGS at most, its copies together as one."""
+    their sightings there: one text counts for SIGHTINGS at most, its copies together as one.
+
+    Copies meet as texts, which are far smaller than their forms; a task adds its forms up.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: Counter[str] = Counter()
+        seen: Counter[str] = Counter()
+        most: dict[str, int] = {}  # of the copies so far
+
+        def summed() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_pydict({"form": pa.array(texts.keys(), pa.string()), "texts": pa.array(texts.values(), pa.int64()), "seen": pa.array([seen[x] for x in texts], pa.int64())})
+            texts.clear()
+            seen.clear()
+            return out
+
+        last = None
         for part in steps(batches, size=SMALL_STEP_BYTES):
-            forms, texts, seen = [], [], []
-            for text, signature in zip(part.column("text").to_pylist(), _signatures(part)):
+            for signature, text in zip(part.column("signature").to_pylist(), part.column("text").to_pylist()):
+                if signature != last:
+                    texts.update(most.keys())
+                    seen.update(most)
+                    last, most = signature, {}
+                    if len(texts) > FORMS:
+                        yield summed()
                 found: Counter[str] = Counter()
                 for word, n in Counter(map(plain, (text or "").lower().split())).items():
                     for form in _forms(word):
                         if wanted is None or form in wanted:
                             found[form] += n
-                forms += found.keys()
-                seen += [min(n, SIGHTINGS) for n in found.values()]
-                texts += [signature] * len(found)
-            yield pa.RecordBatch.from_pydict({"form": pa.array(forms, pa.string()), "text": pa.array(texts, pa.int64()), "seen": pa.array(seen, pa.int64())})
-
-    once = rows.select("text").mapInArrow(run, "form string, text long, seen long").groupBy("form", "text").agg(F.max("seen").alias("seen"))
-    return once.groupBy("form").agg(F.count("*").alias("texts"), F.sum("seen").alias("seen"))
+                for form, n in found.items():
+                    most[form] = max(most.get(form, 0), min(n, SIGHTINGS))
+        texts.update(most.keys())
+        seen.update(most)
+        yield summed()
+
+    dealt = _signed(rows).repartition(TASKS, "signature").sortWithinPartitions("signature")
+    return dealt.mapInArrow(run, "form string, texts long, seen long").groupBy("form").agg(F.sum("texts").alias("texts"), F.sum("seen").alias("seen"))
 
 
 def evidence(a: float, c: float, size_a: float, size_c: float) -> float:

@@ -23,7 +23,7 @@ class _Captured:
         return lambda *_: self
 
 
-def test_steps_over_texts_take_little_memory():
+def test_steps_over_texts_take_little_memory(spark):
     """Workers keep what a step of theirs took; with 2 MB of text a step these took 60 to 160 MB."""
     rng = np.random.default_rng(5)
     words = np.array([f"w{k}" for k in range(5000)])
@@ -61,3 +61,15 @@ def test_small_tables_are_stored_in_few_files(spark):
     finally:
         for k, v in kept.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_forms_of_training_texts_are_summed_before_they_travel(spark):
+    """A row a form, not one a form and text; copies (equal signatures) count once, by the most sightings."""
+    table = _Captured()
+    toxicity._sightings(table, None)
+    texts = ["word other", "word word other", None, *["word other"] * 40]
+    batch = pa.RecordBatch.from_pydict({"signature": [1, 1, 2, *range(3, 43)], "text": texts})
+    rows = [r for b in table.run(iter([batch])) for r in b.to_pylist()]
+    assert len(rows) == len({r["form"] for r in rows}) == 5
+    made = {r["form"]: (r["texts"], r["seen"]) for r in rows}
+    assert made == {"word": (41, 42), "wor*": (41, 42), "other": (41, 41), "oth*": (41, 41), "othe*": (41, 41)}
